@@ -66,6 +66,11 @@ def _as_lists(values: pa.Array, lengths: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
+def _once(udf):
+    """Keep the optimizer from copying the call into the expressions that use its result."""
+    return udf.asNondeterministic()
+
+
 def _codes(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
     encoded = words.dictionary_encode()
     return encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), encoded.dictionary
@@ -81,7 +86,7 @@ def word_ranks(
         parts = [_rank_words(lists[rows], window, damping, max_rounds, min_diff) for rows in _blocks(_lengths(lists))]
         return pa.concat_arrays(parts) if parts else _rank_words(lists, window, damping, max_rounds, min_diff)
 
-    return rank(kept)
+    return _once(rank)(kept)
 
 
 def _rank_words(lists: pa.Array, window: int, damping: float, max_rounds: int, min_diff: float) -> pa.Array:
@@ -174,25 +179,25 @@ def sentence_ranks(sentences: Column, damping: float, max_rounds: int, min_diff:
 
         return pa.concat_arrays([solve(documents[rows]) for rows in _blocks(_token_counts(documents))] or [solve(documents)])
 
-    return rank(sentences)
+    return _once(rank)(sentences)
 
 
 def distinct_picks(
     sentences: Column, weights: Column, size: Column, threshold: float
 ) -> Column:
-    """array<int>: sentences by falling weight, later first when equal, without those too similar to one taken before.
+    """array<struct<at, weight>>: sentences by falling weight, later first when equal, without those too similar to one taken before.
 
     ``size - 1`` sentences are taken, at least one.
     """
 
-    @arrow_udf("array<int>")
+    @arrow_udf("array<struct<at:int,weight:double>>")
     def pick(documents: pa.Array, weight_lists: pa.Array, limits: pa.Array) -> pa.Array:
         def solve(rows: slice) -> pa.Array:
             return _pick(Postings(documents[rows]), weight_lists[rows], limits[rows], threshold)
 
         return pa.concat_arrays([solve(rows) for rows in _blocks(_token_counts(documents))] or [solve(slice(0, 0))])
 
-    return pick(sentences, weights, size)
+    return _once(pick)(sentences, weights, size)
 
 
 def _pick(postings: Postings, weight_lists: pa.Array, limits: pa.Array, threshold: float) -> pa.Array:
@@ -208,17 +213,18 @@ def _pick(postings: Postings, weight_lists: pa.Array, limits: pa.Array, threshol
     while open_sentences.any():
         waiting = order[open_sentences[order]]
         best = waiting[np.flatnonzero(np.diff(doc[waiting], prepend=-1))]
-        taken.append(best - first[doc[best]])
+        taken.append(best)
         taken_by.append(doc[best])
         count[doc[best]] += 1
         picked = np.zeros(len(doc), dtype=bool)
         picked[best] = True
         alike = postings.similarity_to(picked) >= threshold
         open_sentences &= ~alike & ~picked & (count < limit)[doc]
-    if not taken:
-        return _as_lists(pa.array([], pa.int32()), np.zeros(n_docs, dtype=np.int64))
-    by_doc = np.argsort(np.concatenate(taken_by), kind="stable")
-    return _as_lists(pa.array(np.concatenate(taken)[by_doc].astype(np.int32)), count)
+    by_doc = np.argsort(np.concatenate([[], *taken_by]), kind="stable")
+    best = np.concatenate([[], *taken]).astype(np.int64)[by_doc]
+    at = (best - first[doc[best]]).astype(np.int32)
+    picks = pa.StructArray.from_arrays([pa.array(at), pa.array(weight[best])], ["at", "weight"])
+    return _as_lists(picks, count)
 
 
 def _token_counts(documents: pa.Array) -> np.ndarray:

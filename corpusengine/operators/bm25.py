@@ -82,22 +82,28 @@ def similarity_sums(posted: DataFrame, id_col: str) -> DataFrame:
 
 
 def rank_sentences_by_joins(posted: DataFrame, sentences: DataFrame, id_col: str, **limits) -> DataFrame:
-    """(id, node, score) for ``sentences`` (id, node). Scores travel sentence to term to sentence; see above."""
-    sums = similarity_sums(posted, id_col).where(F.col("to_others") != 0).select(id_col, "sent", "to_others")
-    passing = stage(posted.join(sums, [id_col, "sent"], "left"), "passing")
-
-    def flow(scores: DataFrame) -> DataFrame:
-        share = F.coalesce(F.col("tf") * F.col("score") / F.col("to_others"), F.lit(0.0))
-        sent = passing.join(scores.withColumnRenamed("node", "sent"), [id_col, "sent"]).withColumn("passed", share)
-        at_term = sent.groupBy(id_col, "term").agg(F.sum("passed").alias("all_passed"))
-        received = F.sum(F.col("gain") * (F.col("all_passed") - F.col("passed")))
-        return (
-            sent.join(at_term, [id_col, "term"])
-            .groupBy(id_col, F.col("sent").alias("node"))
-            .agg(received.alias("inflow"))
-        )
+    """(id, node, score) for ``sentences`` (id, node).
 
-    return iterate_rank(sentences.withColumn("score", F.lit(1.0)), flow, id_col, **limits)
+    Scores travel from sentences to terms and on to sentences, so no pair of sentences is formed. What a sentence would
+    receive from itself that way is taken back on its way to itself.
+    """
+    sums = stage(similarity_sums(posted, id_col), "similarity-sums")
+    share = F.when(F.col("to_others") != 0, 1 / F.col("to_others")).otherwise(0.0)
+    numbered = sentences.withColumnRenamed("node", "sent").join(sums, [id_col, "sent"], "left")
+    node, term = F.col("sent").cast("string").alias("node"), F.concat(F.lit("term "), "term")
+    itself = F.concat(F.lit("sentence "), "sent")
+    to_terms = posted.join(sums, [id_col, "sent"]).select(
+        id_col, node, term.alias("to"), (F.col("tf") * share).alias("weight"), F.lit(False).alias("keeps")
+    )
+    to_itself = numbered.select(id_col, node, itself.alias("to"), F.coalesce(share, F.lit(0.0)), F.lit(True))
+    from_terms = posted.select(
+        id_col, term.alias("node"), F.col("sent").cast("string").alias("to"), F.col("gain").alias("weight"),
+        F.lit(False).alias("keeps"),
+    )
+    from_itself = numbered.select(id_col, itself, node, F.coalesce(-F.col("to_self"), F.lit(0.0)), F.lit(True))
+    hops = [stage(to_terms.union(to_itself), "to-terms"), stage(from_terms.union(from_itself), "from-terms")]
+    nodes = sentences.select(id_col, F.col("node").cast("string"), F.lit(1.0).alias("score"))
+    return iterate_rank(nodes, hops, id_col, **limits).withColumn("node", F.col("node").cast("int"))
 
 
 def bm25_search(

@@ -7,12 +7,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusengine import constants as C
 from corpusengine.functions.solve import word_ranks
 from corpusengine.functions.text import contains_either_way, is_keyword_token, parse_tagged
-from corpusengine.operators.lookup import attach, without_words
+from corpusengine.operators.lookup import apart, attach, without_words
 from corpusengine.operators.rank import rank_linked
-from corpusengine.session import stage
 
-# Documents with more kept words than this are ranked by joins, all others inside their row.
-ROW_LIMIT = 1_000_000
+# Longer texts (in characters) and longer word lists (in words) are ranked by joins, all others inside their row.
+ROW_LIMIT = 4_000_000
 
 
 def tagged_words(df: DataFrame, id_col: str, title: str, content: str) -> DataFrame:
@@ -59,14 +58,20 @@ def textrank_words(
 ) -> DataFrame:
     """``df`` (one row per ``id_col``) with ``ranked``: array<struct<word, score>> of the kept words."""
     limits = {"damping": damping, "max_rounds": max_rounds, "min_diff": min_diff}
-    in_row = df.where(F.size(kept) <= row_limit).withColumn("ranked", word_ranks(F.col(kept), window, **limits))
-    long = df.where(F.size(kept) > row_limit)
-    if long.isEmpty():
+    small, large = apart(df, F.size(kept), row_limit)
+    return _ranked(small, large, id_col, kept, window, limits)
+
+
+def _ranked(
+    small: DataFrame, large: DataFrame | None, id_col: str, kept: str, window: int, limits: dict
+) -> DataFrame:
+    in_row = small.withColumn("ranked", word_ranks(F.col(kept), window, **limits))
+    if large is None:
         return in_row
-    long = stage(long, "long-documents")
-    scores = textrank_words_by_joins(long, id_col, kept, window, **limits)
+    scores = textrank_words_by_joins(large, id_col, kept, window, **limits)
     lists = scores.groupBy(id_col).agg(F.collect_list(F.struct("word", "score")).alias("ranked"))
-    return in_row.unionByName(long.join(lists, id_col))
+    none = F.array().cast("array<struct<word:string,score:double>>")
+    return in_row.unionByName(large.join(lists, id_col, "left").withColumn("ranked", F.coalesce("ranked", none)))
 
 
 def textrank_words_by_joins(
@@ -160,16 +165,22 @@ def keywords(
     n_keywords: int = C.KEYWORD_COUNT,
     window: int = C.KEYWORD_WINDOW,
     banned: list[str] = C.BANNED_SUBSTRINGS,
+    row_limit: int = ROW_LIMIT,
+    damping: float = C.DAMPING,
+    max_rounds: int = C.MAX_ROUNDS,
+    min_diff: float = C.MIN_DIFF,
     out: str = "keywords",
-    **ranking,
 ) -> DataFrame:
     """(id, keywords): up to ``n_keywords`` words of the tagged texts, best first, joined by spaces.
 
     Null without content. Nothing is shuffled: a document stays in its row from scan to result.
     """
     has_content = F.coalesce(F.col(content) != "", F.lit(False))
-    words = tagged_words(df.select(id_col, title, content).where(has_content), id_col, title, content)
-    ranked = textrank_words(kept_words(words, id_col, stop_words=stop_words), id_col, window=window, **ranking)
+    limits = {"damping": damping, "max_rounds": max_rounds, "min_diff": min_diff}
+    texts = df.select(id_col, title, content).where(has_content)
+    parts = apart(texts, F.length(content) + F.coalesce(F.length(title), F.lit(0)), row_limit)
+    words = [p and kept_words(tagged_words(p, id_col, title, content), id_col, stop_words=stop_words) for p in parts]
+    ranked = _ranked(*words, id_col, "kept", window, limits)
     candidates = title_boost(candidate_words("ranked", n_keywords), F.col("title_words"))
     chosen = ranked.select(id_col, F.col("words.word").alias("text"), candidates.alias("candidates"))
     chosen = chosen.select(id_col, "text", select_distinct_keywords("candidates", n_keywords).alias("chosen"))

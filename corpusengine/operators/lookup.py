@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from corpusengine.session import stage
 
 # A dictionary below both bounds is broadcast; any other goes through a shuffle.
 BROADCAST_ROWS = 200_000
@@ -57,6 +59,14 @@ def join_hot_apart(
     return salted_rows.join(salted_entries, [*keys, "_salt"], how).drop("_salt")
 
 
+def apart(df: DataFrame, size: Column, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows up to a size and, if there are any, the rows above it."""
+    large = df.where(size > limit)
+    if large.isEmpty():
+        return df, None
+    return df.where(~(size > limit)), stage(large, "large-rows")
+
+
 def drop_words(tokens: DataFrame, words: DataFrame, word: str = "word") -> DataFrame:
     """Token rows whose word is not in the list."""
     return attach(tokens, words.select(F.col(words.columns[0]).alias(word)).distinct(), word, "left_anti")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, functions as F
 
 from corpusengine import constants as C
@@ -17,63 +15,65 @@ BLOCK_ROUNDS = 8
 
 def iterate_rank(
     nodes: DataFrame,
-    flow: Callable[[DataFrame], DataFrame],
+    hops: list[DataFrame],
     graph: str,
     damping: float = C.DAMPING,
     max_rounds: int = C.MAX_ROUNDS,
     min_diff: float = C.MIN_DIFF,
 ) -> DataFrame:
-    """(graph, node, score) after repeating ``score = 1 - d + d * flow(score)``.
+    """(graph, node, score) after repeating ``score = 1 - d + d * inflow``.
+
+    ``nodes`` is (graph, node, score) with the first scores. A round sends the scores along each of ``hops`` in turn:
+    (graph, node, to, weight, keeps), where ``to`` receives score times weight. Every node has one way back to itself
+    marked ``keeps``, with whatever weight: it also carries the node's earlier scores, so a round reads its
+    predecessor once.
 
-    ``nodes`` is (graph, node, score) with the first scores. ``flow`` maps such a table to (graph, node, inflow);
-    nodes without inflow may be missing. Each graph stops at its own first round in which no score moved by more
-    than ``min_diff``. Rounds run in blocks: a block keeps the scores of all its rounds, finds the round each graph
-    stopped in, and only graphs still moving enter the next block.
+    Each graph stops at its own first round in which no score moved by more than ``min_diff``. Rounds run in blocks:
+    a block keeps the scores of all its rounds and finds the round each graph stopped in; only graphs still moving
+    enter the next block.
     """
     if not 0 < damping < 1:
         raise ValueError("damping must lie between 0 and 1")
-    state = stage(nodes.select(graph, "node", "score"), "rank")
+    state = stage(nodes.select(graph, "node", F.col("score").alias("s0")), "rank")
     finished: list[DataFrame] = []
     done = 0
     while done < max_rounds:
         rounds = min(BLOCK_ROUNDS, max_rounds - done)
-        run = state.withColumn("history", F.array("score"))
-        for _ in range(rounds):
-            now = run.select(graph, "node", F.element_at("history", -1).alias("score"))
-            inflow = F.coalesce(F.col("inflow"), F.lit(0.0))
-            run = run.join(flow(now), [graph, "node"], "left").select(
-                graph, "node", F.concat("history", F.array(F.lit(1 - damping) + F.lit(damping) * inflow)).alias("history")
-            )
+        run = state
+        for r in range(rounds):
+            run = run.withColumn("passed", F.col(f"s{r}"))
+            earlier = [f"s{e}" for e in range(r + 1)]
+            for hop in hops:
+                kept = [F.max(F.when(F.col("keeps"), F.col(e))).alias(e) for e in earlier]
+                received = F.sum(F.col("passed") * F.col("weight")).alias("passed")
+                run = run.join(hop, [graph, "node"]).groupBy(graph, F.col("to").alias("node")).agg(received, *kept)
+            run = run.withColumn(f"s{r + 1}", F.lit(1 - damping) + F.lit(damping) * F.col("passed")).drop("passed")
         run = stage(run, "rank")
-        moved = [
-            F.max(F.abs(F.col("history")[r] - F.col("history")[r - 1])).alias(f"moved_{r}") for r in range(1, rounds + 1)
-        ]
-        stopped = F.array_position(F.transform(F.array(*[m.alias("m") for m in moved]), lambda m: m <= min_diff), True)
-        verdict = stage(run.groupBy(graph).agg(stopped.alias("stopped")), "rank-verdict")
         done += rounds
         last = done >= max_rounds
+
+        moved = [F.max(F.abs(F.col(f"s{r}") - F.col(f"s{r - 1}"))) for r in range(1, rounds + 1)]
+        stopped = F.coalesce(*[F.when(m <= min_diff, r) for r, m in enumerate(moved, 1)], F.lit(0))
+        verdict = stage(run.groupBy(graph).agg(stopped.alias("stopped")), "rank-verdict")
         judged = attach(run, verdict, graph)
+        at_stop = F.coalesce(*[F.when(F.col("stopped") == r, F.col(f"s{r}")) for r in range(1, rounds + 1)])
         ended = judged if last else judged.where(F.col("stopped") > 0)
-        at = F.when(F.col("stopped") > 0, F.col("stopped").cast("int")).otherwise(rounds)
-        finished.append(ended.select(graph, "node", F.col("history")[at].alias("score")))
+        finished.append(ended.select(graph, "node", F.coalesce(at_stop, F.col(f"s{rounds}")).alias("score")))
         if last or verdict.where(F.col("stopped") == 0).isEmpty():
             break
-        state = judged.where(F.col("stopped") == 0).select(graph, "node", F.col("history")[rounds].alias("score"))
+        state = judged.where(F.col("stopped") == 0).select(graph, "node", F.col(f"s{rounds}").alias("s0"))
     result = finished[0]
     for part in finished[1:]:
         result = result.unionByName(part)
     return result.withColumn("score", F.round("score", SCORE_DIGITS))
 
 
-def rank_linked(
-    links: DataFrame, nodes: DataFrame, graph: str, **limits
-) -> DataFrame:
+def rank_linked(links: DataFrame, nodes: DataFrame, graph: str, **limits) -> DataFrame:
     """Unweighted rank over (graph, src, dst) links, each direction listed; ``nodes`` is (graph, node)."""
-    links = stage(links.join(links.groupBy(graph, "src").agg(F.count("*").alias("degree")), [graph, "src"]), "links")
+    degrees = links.groupBy(graph, "src").agg((F.lit(1.0) / F.count("*")).alias("weight"))
+    sent = links.join(degrees, [graph, "src"]).select(
+        graph, F.col("src").alias("node"), F.col("dst").alias("to"), "weight", F.lit(False).alias("keeps")
+    )
+    back = nodes.select(graph, "node", F.col("node").alias("to"), F.lit(0.0), F.lit(True))
     sizes = nodes.groupBy(graph).agg((F.lit(1.0) / F.count("*")).alias("score"))
-
-    def flow(scores: DataFrame) -> DataFrame:
-        sent = links.join(scores.withColumnRenamed("node", "src"), [graph, "src"])
-        return sent.groupBy(graph, F.col("dst").alias("node")).agg(F.sum(F.col("score") / F.col("degree")).alias("inflow"))
-
-    return iterate_rank(attach(nodes, sizes, graph), flow, graph, **limits)
+    return iterate_rank(attach(nodes, sizes, graph), [stage(sent.union(back), "links")], graph, **limits)

@@ -8,11 +8,11 @@ from corpusengine import constants as C
 from corpusengine.functions.solve import SCORE_DIGITS, distinct_picks, sentence_ranks
 from corpusengine.functions.text import clean_text, split_sentences, tokens
 from corpusengine.operators import bm25
-from corpusengine.operators.lookup import without_words
+from corpusengine.operators.lookup import apart, without_words
 from corpusengine.session import stage
 
-# Documents with more sentence tokens than this are ranked by joins, all others inside their row.
-ROW_LIMIT = 1_000_000
+# Longer texts (in characters) and longer sentence lists (in tokens) are ranked by joins, all others inside their row.
+ROW_LIMIT = 4_000_000
 
 
 def sentence_tokens(
@@ -55,15 +55,24 @@ def candidate_count(cleaned: Column | str, sentences: Column | str, max_length:
     return F.floor(F.lit(max_length) / F.nullif(mean, F.lit(0))).cast("int")
 
 
-def textrank_sentences(df: DataFrame, id_col: str, tokens_col: str = "tokens", row_limit: int = ROW_LIMIT, **limits) -> DataFrame:
+def textrank_sentences(
+    df: DataFrame, id_col: str, tokens_col: str = "tokens", row_limit: int = ROW_LIMIT, **limits
+) -> DataFrame:
     """``df`` (one row per ``id_col``) with ``scores``: array<double>, one per sentence."""
+    small, large = apart(df, _token_count(tokens_col), row_limit)
+    ranked = _scores_in_rows(small, tokens_col, limits)
+    return ranked if large is None else ranked.unionByName(_scores_by_joins(large, id_col, tokens_col, limits))
+
+
+def _scores_in_rows(df: DataFrame, tokens_col: str, limits: dict) -> DataFrame:
     limits = {"damping": C.DAMPING, "max_rounds": C.MAX_ROUNDS, "min_diff": C.MIN_DIFF, **limits}
-    in_row, long = _by_size(df, tokens_col, row_limit)
-    in_row = in_row.withColumn("scores", sentence_ranks(F.col(tokens_col), **limits))
-    if long.isEmpty():
-        return in_row
-    scores = textrank_sentences_by_joins(long, id_col, tokens_col, **limits)
-    return in_row.unionByName(long.join(_in_order(scores, id_col, "node", "score", "scores"), id_col))
+    return df.withColumn("scores", sentence_ranks(F.col(tokens_col), **limits))
+
+
+def _scores_by_joins(df: DataFrame, id_col: str, tokens_col: str, limits: dict) -> DataFrame:
+    scores = textrank_sentences_by_joins(df, id_col, tokens_col, **limits)
+    lists = _in_order(scores, id_col, "node", F.col("score"), "scores")
+    return df.join(lists, id_col, "left").withColumn("scores", F.coalesce("scores", F.array().cast("array<double>")))
 
 
 def textrank_sentences_by_joins(df: DataFrame, id_col: str, tokens_col: str = "tokens", **limits) -> DataFrame:
@@ -82,19 +91,28 @@ def redundancy_topk(
     threshold: float = C.REDUNDANCY_THRESHOLD,
     row_limit: int = ROW_LIMIT,
 ) -> DataFrame:
-    """``df`` with ``picks``: sentence numbers in the order taken, near repeats left out."""
-    in_row, long = _by_size(df, tokens_col, row_limit)
-    in_row = in_row.withColumn("picks", distinct_picks(F.col(tokens_col), F.col(weights), F.col(size), threshold))
-    if long.isEmpty():
-        return in_row
-    picks = redundancy_topk_by_joins(long, id_col, tokens_col, weights, size, threshold)
-    return in_row.unionByName(long.join(_in_order(picks, id_col, "turn", "sent", "picks"), id_col))
+    """``df`` with ``picks``: array<struct<at, weight>>, sentences in the order taken, near repeats left out."""
+    columns = (id_col, tokens_col, weights, size, threshold)
+    small, large = apart(df, _token_count(tokens_col), row_limit)
+    picked = _picks_in_rows(small, *columns)
+    return picked if large is None else picked.unionByName(_picks_by_joins(large, *columns))
+
+
+def _picks_in_rows(df: DataFrame, id_col: str, tokens_col: str, weights: str, size: str, threshold: float) -> DataFrame:
+    return df.withColumn("picks", distinct_picks(F.col(tokens_col), F.col(weights), F.col(size), threshold))
+
+
+def _picks_by_joins(df: DataFrame, id_col: str, tokens_col: str, weights: str, size: str, threshold: float) -> DataFrame:
+    turns = redundancy_topk_by_joins(df, id_col, tokens_col, weights, size, threshold)
+    lists = _in_order(turns, id_col, "turn", F.struct(F.col("sent").alias("at"), "weight"), "picks")
+    none = F.array().cast("array<struct<at:int,weight:double>>")
+    return df.join(lists, id_col, "left").withColumn("picks", F.coalesce("picks", none))
 
 
 def redundancy_topk_by_joins(
     df: DataFrame, id_col: str, tokens_col: str, weights: str, size: str, threshold: float = C.REDUNDANCY_THRESHOLD
 ) -> DataFrame:
-    """(id, turn, sent). Each turn takes the best open sentence of every document and closes those too similar to it."""
+    """(id, turn, sent, weight). Each turn takes the best open sentence of every document and closes those too similar to it."""
     posted = stage(bm25.postings(df, id_col, tokens_col), "postings")
     count = F.size(weights)
     turns = F.greatest(F.least(F.col(size), count) - 1, F.lit(1))
@@ -103,9 +121,9 @@ def redundancy_topk_by_joins(
     taken: list[DataFrame] = []
     while not waiting.isEmpty():
         best = waiting.groupBy(id_col, "turns").agg(F.max(F.struct("weight", "sent")).alias("best"))
-        best = stage(best.select(id_col, "turns", F.col("best.sent").alias("other")), "picks")
-        taken.append(best.select(id_col, F.lit(len(taken)).alias("turn"), F.col("other").alias("sent")))
-        chosen = posted.join(best.select(id_col, F.col("other").alias("sent")), [id_col, "sent"], "left_semi")
+        best = stage(best.select(id_col, F.lit(len(taken)).alias("turn"), "best.sent", "best.weight"), "picks")
+        taken.append(best)
+        chosen = posted.join(best, [id_col, "sent"], "left_semi")
         alike = (
             posted.drop("gain")
             .join(chosen.select(id_col, "term", "gain"), [id_col, "term"])
@@ -113,7 +131,7 @@ def redundancy_topk_by_joins(
             .agg(F.sum(F.col("tf") * F.col("gain")).alias("sim"))
             .where(F.col("sim") >= threshold)
         )
-        closed = alike.select(id_col, "sent").union(best.select(id_col, "other"))
+        closed = alike.select(id_col, "sent").union(best.select(id_col, "sent"))
         rest = waiting.where(F.col("turns") > len(taken)).join(closed, [id_col, "sent"], "left_anti")
         waiting = stage(rest, "open-sentences")
     result = taken[0]
@@ -122,20 +140,23 @@ def redundancy_topk_by_joins(
     return result
 
 
-def length_budget_pick(sentences: Column | str, weights: Column | str, max_length: int = C.SUMMARY_LENGTH) -> Column:
-    """Positions of the sentences that fit: heaviest first, a sentence too long for what is left is passed over."""
-    sized = F.transform(
-        F.arrays_zip(_named(sentences, "sentence"), _named(weights, "weight")),
-        lambda s, at: F.struct((-s["weight"]).alias("down"), at.alias("at"), F.length(s["sentence"]).alias("length")),
+def length_budget_pick(ordered: Column | str, max_length: int = C.SUMMARY_LENGTH) -> Column:
+    """The entries that fit, in their order: heaviest first, a sentence too long for what is left is passed over.
+
+    ``ordered`` is array<struct<place, sentence, weight>> in text order.
+    """
+    heaviest_first = F.sort_array(
+        F.transform(ordered, lambda s, at: F.struct((-s["weight"]).alias("down"), at.alias("at"), s["sentence"].alias("sentence")))
     )
-    start = F.struct(F.lit(0).alias("used"), F.array().cast("array<int>").alias("kept"))
+    start = F.struct(F.lit(0).alias("used"), F.array().cast("array<struct<at:int,sentence:string>>").alias("kept"))
 
     def take(state: Column, s: Column) -> Column:
-        used = state["used"] + s["length"]
-        taken = F.struct(used.alias("used"), F.concat(state["kept"], F.array(s["at"])).alias("kept"))
+        used = state["used"] + F.length(s["sentence"])
+        entry = F.struct(s["at"].alias("at"), s["sentence"].alias("sentence"))
+        taken = F.struct(used.alias("used"), F.concat(state["kept"], F.array(entry)).alias("kept"))
         return F.when(used <= max_length, taken).otherwise(state)
 
-    return F.sort_array(F.aggregate(F.sort_array(sized), start, take, lambda state: state["kept"]))
+    return F.sort_array(F.aggregate(heaviest_first, start, take, lambda state: state["kept"]))
 
 
 def summary(
@@ -147,51 +168,52 @@ def summary(
     mode: str = "word",
     marks: str = C.SENTENCE_MARKS,
     cue_phrases: list[str] = C.CUE_PHRASES,
+    threshold: float = C.REDUNDANCY_THRESHOLD,
+    row_limit: int = ROW_LIMIT,
     out: str = "summary",
     **ranking,
 ) -> DataFrame:
     """(id, summary). Null without text; the cleaned text itself when it has no sentence."""
     has_text = F.coalesce(F.col(text) != "", F.lit(False))
-    split = sentence_tokens(df.select(id_col, text).where(has_text), id_col, text, stop_words, mode, marks)
-    row_limit = ranking.get("row_limit", ROW_LIMIT)
-    ranked = textrank_sentences(split, id_col, **ranking)
-    weighed = ranked.withColumn("weights", sentence_weight_rules("sentences", "scores", cue_phrases)).withColumn(
-        "size", F.coalesce(candidate_count("cleaned", "sentences", max_length), F.lit(0))
-    )
-    picked = redundancy_topk(weighed, id_col, row_limit=row_limit)
+    small, large = apart(df.select(id_col, text).where(has_text), F.length(text), row_limit)
+
+    def split(part: DataFrame) -> DataFrame:
+        return sentence_tokens(part, id_col, text, stop_words, mode, marks)
+
+    def weigh(ranked: DataFrame) -> DataFrame:
+        size = F.coalesce(candidate_count("cleaned", "sentences", max_length), F.lit(0))
+        weights = sentence_weight_rules("sentences", "scores", cue_phrases)
+        return ranked.withColumn("weights", weights).withColumn("size", size)
+
+    columns = (id_col, "tokens", "weights", "size", threshold)
+    picked = _picks_in_rows(weigh(_scores_in_rows(split(small), "tokens", ranking)), *columns)
+    if large is not None:
+        by_joins = stage(weigh(_scores_by_joins(split(large), id_col, "tokens", ranking)), "weighed-sentences")
+        picked = picked.unionByName(_picks_by_joins(by_joins, *columns))
+
     # Equal sentences share the place of the first of them.
-    in_order = F.array_sort(
-        F.transform(
-            "picks",
-            lambda at: F.struct(
-                F.array_position("sentences", F.get("sentences", at)).alias("place"),
-                F.get("sentences", at).alias("sentence"),
-                F.get("weights", at).alias("weight"),
-            ),
-        )
-    )
-    ordered = picked.select(id_col, "cleaned", "sentences", "picks", in_order.alias("ordered"))
-    kept = length_budget_pick(F.col("ordered.sentence"), F.col("ordered.weight"), max_length)
-    joined = ordered.withColumn("kept", kept)
-    best = F.concat(F.get("sentences", F.get("picks", F.lit(0))), F.lit(C.FULL_STOP))
-    whole = F.array_join(F.transform("kept", lambda at: F.get("ordered", at)["sentence"]), C.FULL_STOP)
-    result = (
-        F.when(F.size("sentences") == 0, F.col("cleaned"))
-        .when((F.size("picks") == 1) | (F.size("kept") == 0), best)
-        .otherwise(whole)
+    placed = F.transform(
+        "picks",
+        lambda pick: F.struct(
+            F.array_position("sentences", F.get("sentences", pick["at"])).alias("place"),
+            F.get("sentences", pick["at"]).alias("sentence"),
+            pick["weight"].alias("weight"),
+        ),
     )
-    return joined.select(id_col, result.alias(out)).unionByName(
+    best = F.concat(F.get("sentences", F.get("picks", F.lit(0))["at"]), F.lit(C.FULL_STOP))
+    ordered = picked.select(id_col, "cleaned", best.alias("best"), F.size("picks").alias("n"), F.array_sort(placed).alias("ordered"))
+    kept = F.array_join(length_budget_pick("ordered", max_length)["sentence"], C.FULL_STOP)
+    result = F.when(F.col("n") == 0, F.col("cleaned")).when(F.col("n") > 1, F.coalesce(F.nullif(kept, F.lit("")), "best"))
+    return ordered.select(id_col, result.otherwise(F.col("best")).alias(out)).unionByName(
         df.where(~has_text).select(id_col, F.lit(None).cast("string").alias(out))
     )
 
 
-def _by_size(df: DataFrame, tokens_col: str, row_limit: int) -> tuple[DataFrame, DataFrame]:
-    count = F.aggregate(tokens_col, F.lit(0), lambda total, sentence: total + F.size(sentence) + 1)
-    long = df.where(count > row_limit)
-    return df.where(count <= row_limit), long if long.isEmpty() else stage(long, "long-documents")
+def _token_count(tokens_col: str) -> Column:
+    return F.aggregate(tokens_col, F.lit(0), lambda total, sentence: total + F.size(sentence) + 1)
 
 
-def _in_order(rows: DataFrame, id_col: str, position: str, value: str, out: str) -> DataFrame:
+def _in_order(rows: DataFrame, id_col: str, position: str, value: Column, out: str) -> DataFrame:
     """One array per document; its length is the number of sentences of one text."""
-    listed = F.sort_array(F.collect_list(F.struct(F.col(position).alias("at"), F.col(value).alias("value"))))
+    listed = F.sort_array(F.collect_list(F.struct(F.col(position).alias("at"), value.alias("value"))))
     return rows.groupBy(id_col).agg(F.transform(listed, lambda entry: entry["value"]).alias(out))
