@@ -39,13 +39,15 @@ def settle(
     first = np.flatnonzero(np.diff(owner, prepend=-1))
     open_nodes = np.ones(len(score), dtype=bool)
     spans = np.diff(first, append=len(score))
-    for _ in range(max_rounds if len(score) else 0):
-        fresh = np.where(open_nodes, (1 - damping) + damping * flow(score), score)
-        settled = np.maximum.reduceat(np.abs(fresh - score), first) <= min_diff
-        open_nodes &= np.repeat(~settled, spans)
-        score = fresh
-        if not open_nodes.any():
-            break
+    # Negative similarities can drive a document's scores beyond all bounds; that is its result.
+    with np.errstate(over="ignore", invalid="ignore"):
+        for _ in range(max_rounds if len(score) else 0):
+            fresh = np.where(open_nodes, (1 - damping) + damping * flow(score), score)
+            settled = np.maximum.reduceat(np.abs(fresh - score), first) <= min_diff
+            open_nodes &= np.repeat(~settled, spans)
+            score = fresh
+            if not open_nodes.any():
+                break
     return np.round(score, SCORE_DIGITS)
 
 

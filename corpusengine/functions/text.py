@@ -64,11 +64,18 @@ def _bigrams_of_cjk_run(run: Column) -> Column:
 
 def parse_tagged(text: Column | str) -> Column:
     """``word/tag word/tag`` as an array of (word, tag); parts without a tag are left out."""
-    pairs = F.transform(F.split(as_column(text), C.TOKEN_SEPARATOR), lambda part: split_java(part, C.TAG_SEPARATOR))
-    return F.transform(
-        F.filter(pairs, lambda pair: F.size(pair) > 1),
-        lambda pair: F.struct(pair[0].alias("word"), pair[1].alias("tag")),
-    )
+
+    def split_once(part: Column) -> tuple[Column, Column]:
+        word = F.substring_index(part, C.TAG_SEPARATOR, 1)
+        return word, part.substr(F.length(word) + 2, F.length(part))
+
+    def pair(part: Column) -> Column:
+        word, rest = split_once(part)
+        return F.struct(word.alias("word"), F.substring_index(rest, C.TAG_SEPARATOR, 1).alias("tag"))
+
+    parts = F.split(as_column(text), C.TOKEN_SEPARATOR)
+    tagged = F.filter(parts, lambda part: F.ltrim(split_once(part)[1], F.lit(C.TAG_SEPARATOR)) != "")
+    return F.transform(tagged, pair)
 
 
 def is_keyword_token(word: Column, tag: Column) -> Column:

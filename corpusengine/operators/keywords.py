@@ -15,10 +15,11 @@ ROW_LIMIT = 4_000_000
 
 
 def tagged_words(df: DataFrame, id_col: str, title: str, content: str) -> DataFrame:
-    """(id, title_words, words): the tagged words of the title, and of title and content."""
-    empty = F.lit("")
-    in_title, in_content = (parse_tagged(F.coalesce(F.col(c), empty)) for c in (title, content))
-    return df.select(id_col, in_title["word"].alias("title_words"), F.concat(in_title, in_content).alias("words"))
+    """(id, title_words, words): the tagged words of the title, and of title and content; null without content."""
+    in_title = parse_tagged(F.coalesce(F.col(title), F.lit("")))
+    has_content = F.col(content) != ""
+    words = F.when(has_content, F.concat(in_title, parse_tagged(content)))
+    return df.select(id_col, in_title["word"].alias("title_words"), words.alias("words"))
 
 
 def kept_words(
@@ -119,7 +120,7 @@ def merge_adjacent(keywords: Column | str, words: Column | str) -> Column:
 
     ``words`` is the text as a word array. Merges follow the text, and a merged keyword can merge again.
     """
-    size = F.size(words)
+    size = F.size(F.coalesce(words, F.array().cast("array<string>")))
     pairs = F.arrays_zip(
         F.slice(words, 1, F.greatest(size - 1, F.lit(0))).alias("left"),
         F.slice(words, 2, F.greatest(size - 1, F.lit(0))).alias("right"),
@@ -175,21 +176,18 @@ def keywords(
 
     Null without content. Nothing is shuffled: a document stays in its row from scan to result.
     """
-    has_content = F.coalesce(F.col(content) != "", F.lit(False))
     limits = {"damping": damping, "max_rounds": max_rounds, "min_diff": min_diff}
-    texts = df.select(id_col, title, content).where(has_content)
-    parts = apart(texts, F.length(content) + F.coalesce(F.length(title), F.lit(0)), row_limit)
+    length = F.coalesce(F.length(title), F.lit(0)) + F.coalesce(F.length(content), F.lit(0))
+    parts = apart(df.select(id_col, title, content), length, row_limit)
     words = [p and kept_words(tagged_words(p, id_col, title, content), id_col, stop_words=stop_words) for p in parts]
     ranked = _ranked(*words, id_col, "kept", window, limits)
     candidates = title_boost(candidate_words("ranked", n_keywords), F.col("title_words"))
     chosen = ranked.select(id_col, F.col("words.word").alias("text"), candidates.alias("candidates"))
     chosen = chosen.select(id_col, "text", select_distinct_keywords("candidates", n_keywords).alias("chosen"))
-    merged = chosen.select(id_col, _best_first(merge_adjacent(F.col("chosen"), F.col("text"))).alias("merged"))
+    merged = chosen.select(id_col, "text", _best_first(merge_adjacent(F.col("chosen"), F.col("text"))).alias("merged"))
     if banned:
-        merged = merged.withColumn(
-            "merged",
-            F.filter("merged", lambda k: ~F.exists(F.array(*map(F.lit, banned)), lambda b: F.contains(k["word"], b))),
-        )
-    names = merged.select(id_col, F.array(F.col("merged.word")).alias("names"))
-    joined = without_words(names, id_col, "names", remove).select(id_col, F.array_join(F.flatten("names"), " ").alias(out))
-    return joined.unionByName(df.where(~has_content).select(id_col, F.lit(None).cast("string").alias(out)))
+        allowed = F.filter("merged", lambda k: ~F.exists(F.array(*map(F.lit, banned)), lambda b: F.contains(k["word"], b)))
+        merged = merged.withColumn("merged", allowed)
+    names = merged.select(id_col, F.col("text").isNotNull().alias("any"), F.array(F.col("merged.word")).alias("names"))
+    left = without_words(names, id_col, "names", remove)
+    return left.select(id_col, F.when(F.col("any"), F.array_join(F.flatten("names"), " ")).alias(out))

@@ -23,9 +23,10 @@ def sentence_tokens(
     mode: str = "word",
     marks: str = C.SENTENCE_MARKS,
 ) -> DataFrame:
-    """(id, cleaned, sentences, tokens): cleaned text, its sentences and their tokens."""
+    """(id, cleaned, sentences, tokens): cleaned text, its sentences and their tokens; none for a null text."""
     cleaned = df.select(id_col, clean_text(text).alias("cleaned"))
-    split = cleaned.withColumn("sentences", split_sentences("cleaned", marks))
+    none = F.array().cast("array<string>")
+    split = cleaned.withColumn("sentences", F.coalesce(split_sentences("cleaned", marks), none))
     segmented = split.withColumn("tokens", F.transform("sentences", lambda sentence: tokens(sentence, mode)))
     return without_words(segmented, id_col, "tokens", stop_words)
 
@@ -143,11 +144,13 @@ def redundancy_topk_by_joins(
 def length_budget_pick(ordered: Column | str, max_length: int = C.SUMMARY_LENGTH) -> Column:
     """The entries that fit, in their order: heaviest first, a sentence too long for what is left is passed over.
 
-    ``ordered`` is array<struct<place, sentence, weight>> in text order.
+    ``ordered`` is array<struct<place, sentence, weight>> in text order. An entry without a number as its
+    weight, or with minus infinity, is never taken.
     """
     heaviest_first = F.sort_array(
         F.transform(ordered, lambda s, at: F.struct((-s["weight"]).alias("down"), at.alias("at"), s["sentence"].alias("sentence")))
     )
+    finite = F.filter(heaviest_first, lambda s: s["down"] < float("inf"))
     start = F.struct(F.lit(0).alias("used"), F.array().cast("array<struct<at:int,sentence:string>>").alias("kept"))
 
     def take(state: Column, s: Column) -> Column:
@@ -156,7 +159,7 @@ def length_budget_pick(ordered: Column | str, max_length: int = C.SUMMARY_LENGTH
         taken = F.struct(used.alias("used"), F.concat(state["kept"], F.array(entry)).alias("kept"))
         return F.when(used <= max_length, taken).otherwise(state)
 
-    return F.sort_array(F.aggregate(heaviest_first, start, take, lambda state: state["kept"]))
+    return F.sort_array(F.aggregate(finite, start, take, lambda state: state["kept"]))
 
 
 def summary(
@@ -174,8 +177,8 @@ def summary(
     **ranking,
 ) -> DataFrame:
     """(id, summary). Null without text; the cleaned text itself when it has no sentence."""
-    has_text = F.coalesce(F.col(text) != "", F.lit(False))
-    small, large = apart(df.select(id_col, text).where(has_text), F.length(text), row_limit)
+    texts = df.select(id_col, F.nullif(text, F.lit("")).alias(text))
+    small, large = apart(texts, F.coalesce(F.length(text), F.lit(0)), row_limit)
 
     def split(part: DataFrame) -> DataFrame:
         return sentence_tokens(part, id_col, text, stop_words, mode, marks)
@@ -204,9 +207,7 @@ def summary(
     ordered = picked.select(id_col, "cleaned", best.alias("best"), F.size("picks").alias("n"), F.array_sort(placed).alias("ordered"))
     kept = F.array_join(length_budget_pick("ordered", max_length)["sentence"], C.FULL_STOP)
     result = F.when(F.col("n") == 0, F.col("cleaned")).when(F.col("n") > 1, F.coalesce(F.nullif(kept, F.lit("")), "best"))
-    return ordered.select(id_col, result.otherwise(F.col("best")).alias(out)).unionByName(
-        df.where(~has_text).select(id_col, F.lit(None).cast("string").alias(out))
-    )
+    return ordered.select(id_col, result.otherwise(F.col("best")).alias(out))
 
 
 def _token_count(tokens_col: str) -> Column:

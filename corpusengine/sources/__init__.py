@@ -1,4 +1,5 @@
 from corpusengine.sources.files import (  # noqa: F401
+    bad_lexicon_lines,
     load_model,
     register_view,
     save_model,
