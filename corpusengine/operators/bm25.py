@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from corpusengine import constants as C
+from corpusengine.operators.each import each
 from corpusengine.operators.lookup import attach
 from corpusengine.operators.rank import iterate_rank
 from corpusengine.session import stage
@@ -20,17 +21,12 @@ def sentence_terms(df: DataFrame, id_col: str, sentences: str) -> DataFrame:
     """(id, sent, term, tf, length, n_sents, mean_length) from sentences given as token arrays."""
     sizes = F.transform(sentences, lambda tokens: F.size(tokens))
     total = F.aggregate(sizes, F.lit(0).cast("long"), lambda a, b: a + b)
-    return (
-        df.select(
-            id_col,
-            F.size(sentences).alias("n_sents"),
-            (total / F.nullif(F.size(sentences), F.lit(0))).alias("mean_length"),
-            F.posexplode(sentences).alias("sent", "tokens"),
-        )
-        .select(id_col, "n_sents", "mean_length", "sent", F.size("tokens").alias("length"), F.explode("tokens").alias("term"))
-        .groupBy(id_col, "n_sents", "mean_length", "sent", "length", "term")
-        .agg(F.count("*").alias("tf"))
-    )
+    mean = total / F.nullif(F.size(sentences), F.lit(0))
+    of_text = [id_col, F.size(sentences).alias("n_sents"), mean.alias("mean_length")]
+    rows = each(df, of_text, sentences, "sent", "tokens")
+    terms = each(rows, [id_col, "n_sents", "mean_length", "sent", F.size("tokens").alias("length")], "tokens", "term")
+    # Hashed on (id, term), the rows stay in place for all that is counted or joined per term of a document.
+    return terms.repartition(id_col, "term").groupBy(*terms.columns).agg(F.count("*").alias("tf"))
 
 
 def term_stats(df: DataFrame, id_col: str, sentences: str) -> DataFrame:
@@ -41,10 +37,10 @@ def term_stats(df: DataFrame, id_col: str, sentences: str) -> DataFrame:
 
 def postings(df: DataFrame, id_col: str, sentences: str) -> DataFrame:
     """(id, sent, term, tf, gain)."""
-    terms = stage(sentence_terms(df, id_col, sentences), "sentence-terms")
-    spread = terms.groupBy(id_col, "term").agg(F.count("*").alias("df"))
+    df_of_term = F.count("*").over(W.partitionBy(id_col, "term"))
+    terms = sentence_terms(df, id_col, sentences).withColumn("df", df_of_term)
     weight = gain(F.col("tf"), F.col("df"), F.col("n_sents"), F.col("length"), F.col("mean_length"))
-    return terms.join(spread, [id_col, "term"]).select(id_col, "sent", "term", "tf", weight.alias("gain"))
+    return terms.select(id_col, "sent", "term", "tf", weight.alias("gain"))
 
 
 def pair_similarity(posted: DataFrame, pairs: DataFrame, id_col: str) -> DataFrame:
@@ -57,10 +53,17 @@ def pair_similarity(posted: DataFrame, pairs: DataFrame, id_col: str) -> DataFra
 
 def neighbour_similarity(df: DataFrame, id_col: str, sentences: str) -> DataFrame:
     """(id, sent, other, sim) of each sentence with the one before and the one after."""
-    posted = stage(postings(df, id_col, sentences), "postings")
-    numbers = df.select(id_col, F.posexplode(sentences).alias("sent", "tokens"), F.size(sentences).alias("n"))
-    others = F.filter(F.array(F.col("sent") - 1, F.col("sent") + 1), lambda at: (at >= 0) & (at < F.col("n")))
-    return pair_similarity(posted, numbers.select(id_col, "sent", F.explode(others).alias("other")), id_col)
+    posted = postings(df, id_col, sentences)
+    next_to = F.array(F.col("sent") - 1, F.col("sent") + 1)
+    asked = posted.select(id_col, "term", "sent", "tf", F.explode(next_to).alias("other"))
+    given = posted.select(id_col, "term", F.col("sent").alias("other"), "gain")
+    shared = asked.join(given, [id_col, "term", "other"]).select(id_col, "sent", "other", (F.col("tf") * F.col("gain")).alias("sim"))
+    # Neighbours without a shared term count as well.
+    last = F.size(sentences) - 1
+    sents = each(df, [id_col, last.alias("last")], F.when(last >= 0, F.sequence(F.lit(0), last)), "sent")
+    inside = F.filter(next_to, lambda at: (at >= 0) & (at <= F.col("last")))
+    none = each(sents, [id_col, "sent"], inside, "other").withColumn("sim", F.lit(0.0))
+    return shared.unionByName(none).groupBy(id_col, "sent", "other").agg(F.sum("sim").alias("sim"))
 
 
 def similarity_sums(posted: DataFrame, id_col: str) -> DataFrame:
@@ -69,14 +72,14 @@ def similarity_sums(posted: DataFrame, id_col: str) -> DataFrame:
     A similarity is a sum over shared terms, so the sum over all other sentences is, term by term, the gain the term
     has in all sentences less the gain it has in this one.
     """
-    at_term = posted.groupBy(id_col, "term").agg(F.sum("gain").alias("all_gain"), F.count("*").alias("df"))
-    elsewhere = F.when(F.col("df") > 1, F.col("all_gain") - F.col("gain")).otherwise(0.0)
+    of_term = W.partitionBy(id_col, "term")
+    elsewhere = F.when(F.count("*").over(of_term) > 1, F.sum("gain").over(of_term) - F.col("gain")).otherwise(0.0)
     return (
-        posted.join(at_term, [id_col, "term"])
+        posted.withColumn("elsewhere", elsewhere)
         .groupBy(id_col, "sent")
         .agg(
             F.sum(F.col("tf") * F.col("gain")).alias("to_self"),
-            F.sum(F.col("tf") * elsewhere).alias("to_others"),
+            F.sum(F.col("tf") * F.col("elsewhere")).alias("to_others"),
         )
     )
 
@@ -115,13 +118,13 @@ def bm25_search(
     by text, and only each task's best ``k`` per query are ranked together.
     """
     asked = (
-        queries.select(query_id, F.explode(query_tokens).alias("term"))
+        each(queries, [query_id], query_tokens, "term")
         .groupBy(query_id, "term")
         .agg(F.count("*").alias("query_tf"))
     )
     asked = stage(asked, "query-terms")
     sizes = collection.agg(F.count("*").alias("n"), F.avg(F.size(tokens)).alias("mean"))
-    words = collection.select(id_col, F.size(tokens).alias("length"), F.explode(tokens).alias("term"))
+    words = each(collection, [id_col, F.size(tokens).alias("length")], tokens, "term")
     wanted = attach(words, asked.select("term").distinct(), "term", "left_semi")
     counted = stage(wanted.groupBy(id_col, "length", "term").agg(F.count("*").alias("tf")), "query-postings")
     spread = counted.groupBy("term").agg(F.count("*").alias("df"))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusengine import constants as C
 from corpusengine.functions.solve import word_ranks
 from corpusengine.functions.text import contains_either_way, is_keyword_token, parse_tagged
+from corpusengine.operators.each import each
 from corpusengine.operators.lookup import apart, attach, without_words
 from corpusengine.operators.rank import rank_linked
 
@@ -15,11 +16,18 @@ ROW_LIMIT = 4_000_000
 
 
 def tagged_words(df: DataFrame, id_col: str, title: str, content: str) -> DataFrame:
-    """(id, title_words, words): the tagged words of the title, and of title and content; null without content."""
+    """(id, title_words, words, chars): the tagged words of the title, and of title and content, and their length.
+
+    Words are null without content.
+    """
     in_title = parse_tagged(F.coalesce(F.col(title), F.lit("")))
     has_content = F.col(content) != ""
     words = F.when(has_content, F.concat(in_title, parse_tagged(content)))
-    return df.select(id_col, in_title["word"].alias("title_words"), words.alias("words"))
+    return df.select(id_col, in_title["word"].alias("title_words"), words.alias("words"), _chars(title, content))
+
+
+def _chars(*texts: str) -> Column:
+    return sum((F.coalesce(F.length(text), F.lit(0)) for text in texts), F.lit(0)).alias("chars")
 
 
 def kept_words(
@@ -41,7 +49,7 @@ def sliding_cooccurrence(df: DataFrame, id_col: str, kept: str = "kept", window:
         F.arrays_zip(F.slice(kept, 1, size - gap).alias("src"), F.slice(kept, 1 + gap, size - gap).alias("dst"))
         for gap in range(1, window)
     ]
-    near = df.where(size >= window).select(id_col, F.explode(F.concat(*ahead)).alias("pair"))
+    near = each(df, [id_col], F.when(size >= window, F.concat(*ahead)), "pair")
     pairs = near.select(id_col, "pair.src", "pair.dst").where(F.col("src") != F.col("dst"))
     both = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
     return pairs.select(id_col, F.explode(both).alias("link")).select(id_col, "link.src", "link.dst").distinct()
@@ -57,9 +65,12 @@ def textrank_words(
     max_rounds: int = C.MAX_ROUNDS,
     min_diff: float = C.MIN_DIFF,
 ) -> DataFrame:
-    """``df`` (one row per ``id_col``) with ``ranked``: array<struct<word, score>> of the kept words."""
+    """``df`` (one row per ``id_col``) with ``ranked``: array<struct<word, score>> of the kept words.
+
+    A column ``chars`` spares a count of the words in finding the long documents.
+    """
     limits = {"damping": damping, "max_rounds": max_rounds, "min_diff": min_diff}
-    small, large = apart(df, F.size(kept), row_limit)
+    small, large = apart(df, F.col("chars") if "chars" in df.columns else F.size(kept), row_limit)
     return _ranked(small, large, id_col, kept, window, limits)
 
 
@@ -79,7 +90,7 @@ def textrank_words_by_joins(
     df: DataFrame, id_col: str, kept: str = "kept", window: int = C.KEYWORD_WINDOW, **limits
 ) -> DataFrame:
     """(id, word, score), with the co-occurrence graph as a table."""
-    nodes = df.select(id_col, F.explode(kept).alias("node")).distinct()
+    nodes = each(df, [id_col], kept, "node").distinct()
     links = sliding_cooccurrence(df, id_col, kept, window)
     return rank_linked(links, nodes, id_col, **limits).withColumnRenamed("node", "word")
 
@@ -177,8 +188,7 @@ def keywords(
     Null without content. Nothing is shuffled: a document stays in its row from scan to result.
     """
     limits = {"damping": damping, "max_rounds": max_rounds, "min_diff": min_diff}
-    length = F.coalesce(F.length(title), F.lit(0)) + F.coalesce(F.length(content), F.lit(0))
-    parts = apart(df.select(id_col, title, content), length, row_limit)
+    parts = apart(df.select(id_col, title, content), _chars(title, content), row_limit)
     words = [p and kept_words(tagged_words(p, id_col, title, content), id_col, stop_words=stop_words) for p in parts]
     ranked = _ranked(*words, id_col, "kept", window, limits)
     candidates = title_boost(candidate_words("ranked", n_keywords), F.col("title_words"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusengine.operators.each import each
 from corpusengine.session import stage
 
 # A dictionary below both bounds is broadcast; any other goes through a shuffle.
@@ -86,8 +87,8 @@ def without_words(df: DataFrame, id_col: str, lists: str, words: DataFrame | lis
         return df.withColumn(lists, kept if literal else F.col(lists))
     if isinstance(words, list):
         words = df.sparkSession.createDataFrame([(word,) for word in words], "word string")
-    parts = df.select(id_col, F.posexplode(lists).alias("_part", "_tokens"))
-    tokens = parts.select(id_col, "_part", F.posexplode("_tokens").alias("_at", "_word"))
+    parts = each(df, [id_col], lists, "_part", "_tokens")
+    tokens = each(parts, [id_col, "_part"], "_tokens", "_at", "_word")
     kept = drop_words(tokens, words, "_word").groupBy(id_col, "_part").agg(
         F.sort_array(F.collect_list(F.struct("_at", "_word"))).alias("_kept")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from corpusengine import constants as C
 from corpusengine.functions.text import round_half_up_2, split_clauses, tokens, trim_control
+from corpusengine.operators.each import each
 from corpusengine.operators.lookup import attach
 
 
@@ -38,7 +39,7 @@ def clause_sentiment(
     A sentiment word is changed by the negations and adverbs between it and the sentiment word before it. Before the
     first one they count from position 1, so the token at position 0 changes nothing.
     """
-    clauses = df.select(id_col, F.posexplode(split_clauses(title, content, marks)).alias("clause", "text"))
+    clauses = each(df, [id_col], split_clauses(title, content, marks), "clause", "text")
     words = clauses.select(id_col, "clause", F.posexplode_outer(tokens("text", mode)).alias("pos", "word"))
     words = words.withColumn("word", trim_control("word"))
     known = attach(words, modifier_dictionary(lexicon, adverbs, negations), "word", "left")

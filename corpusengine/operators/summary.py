@@ -8,6 +8,7 @@ from corpusengine import constants as C
 from corpusengine.functions.solve import SCORE_DIGITS, distinct_picks, sentence_ranks
 from corpusengine.functions.text import clean_text, split_sentences, tokens
 from corpusengine.operators import bm25
+from corpusengine.operators.each import each
 from corpusengine.operators.lookup import apart, without_words
 from corpusengine.session import stage
 
@@ -23,8 +24,8 @@ def sentence_tokens(
     mode: str = "word",
     marks: str = C.SENTENCE_MARKS,
 ) -> DataFrame:
-    """(id, cleaned, sentences, tokens): cleaned text, its sentences and their tokens; none for a null text."""
-    cleaned = df.select(id_col, clean_text(text).alias("cleaned"))
+    """(id, chars, cleaned, sentences, tokens): cleaned text, its sentences and their tokens; none for a null text."""
+    cleaned = df.select(id_col, F.coalesce(F.length(text), F.lit(0)).alias("chars"), clean_text(text).alias("cleaned"))
     none = F.array().cast("array<string>")
     split = cleaned.withColumn("sentences", F.coalesce(split_sentences("cleaned", marks), none))
     segmented = split.withColumn("tokens", F.transform("sentences", lambda sentence: tokens(sentence, mode)))
@@ -59,8 +60,11 @@ def candidate_count(cleaned: Column | str, sentences: Column | str, max_length:
 def textrank_sentences(
     df: DataFrame, id_col: str, tokens_col: str = "tokens", row_limit: int = ROW_LIMIT, **limits
 ) -> DataFrame:
-    """``df`` (one row per ``id_col``) with ``scores``: array<double>, one per sentence."""
-    small, large = apart(df, _token_count(tokens_col), row_limit)
+    """``df`` (one row per ``id_col``) with ``scores``: array<double>, one per sentence.
+
+    A column ``chars`` spares a count of the tokens in finding the long documents.
+    """
+    small, large = apart(df, _extent(df, tokens_col), row_limit)
     ranked = _scores_in_rows(small, tokens_col, limits)
     return ranked if large is None else ranked.unionByName(_scores_by_joins(large, id_col, tokens_col, limits))
 
@@ -79,7 +83,8 @@ def _scores_by_joins(df: DataFrame, id_col: str, tokens_col: str, limits: dict)
 def textrank_sentences_by_joins(df: DataFrame, id_col: str, tokens_col: str = "tokens", **limits) -> DataFrame:
     """(id, node, score), with the sentence-term weights as a table."""
     posted = stage(bm25.postings(df, id_col, tokens_col), "postings")
-    numbers = df.select(id_col, F.posexplode(tokens_col).alias("node", "_tokens")).drop("_tokens")
+    last = F.size(tokens_col) - 1
+    numbers = each(df, [id_col], F.when(last >= 0, F.sequence(F.lit(0), last)), "node")
     return bm25.rank_sentences_by_joins(posted, numbers, id_col, **limits)
 
 
@@ -94,7 +99,7 @@ def redundancy_topk(
 ) -> DataFrame:
     """``df`` with ``picks``: array<struct<at, weight>>, sentences in the order taken, near repeats left out."""
     columns = (id_col, tokens_col, weights, size, threshold)
-    small, large = apart(df, _token_count(tokens_col), row_limit)
+    small, large = apart(df, _extent(df, tokens_col), row_limit)
     picked = _picks_in_rows(small, *columns)
     return picked if large is None else picked.unionByName(_picks_by_joins(large, *columns))
 
@@ -117,8 +122,7 @@ def redundancy_topk_by_joins(
     posted = stage(bm25.postings(df, id_col, tokens_col), "postings")
     count = F.size(weights)
     turns = F.greatest(F.least(F.col(size), count) - 1, F.lit(1))
-    waiting = df.select(id_col, turns.alias("turns"), F.posexplode(weights).alias("sent", "weight"))
-    waiting = stage(waiting, "open-sentences")
+    waiting = stage(each(df, [id_col, turns.alias("turns")], weights, "sent", "weight"), "open-sentences")
     taken: list[DataFrame] = []
     while not waiting.isEmpty():
         best = waiting.groupBy(id_col, "turns").agg(F.max(F.struct("weight", "sent")).alias("best"))
@@ -210,7 +214,9 @@ def summary(
     return ordered.select(id_col, result.otherwise(F.col("best")).alias(out))
 
 
-def _token_count(tokens_col: str) -> Column:
+def _extent(df: DataFrame, tokens_col: str) -> Column:
+    if "chars" in df.columns:
+        return F.col("chars")
     return F.aggregate(tokens_col, F.lit(0), lambda total, sentence: total + F.size(sentence) + 1)
 
 

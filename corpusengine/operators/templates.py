@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, functions as F, Window as W
 from corpusengine import constants as C
 from corpusengine.functions.solve import SCORE_DIGITS
 from corpusengine.functions.text import split_java
-from corpusengine.operators.lookup import attach
+from corpusengine.operators.lookup import is_small, join_hot_apart
 from corpusengine.operators.tfidf import tfidf
+from corpusengine.session import stage
 
 
 def class_template(
@@ -42,11 +43,13 @@ def template_classify(
 ) -> DataFrame:
     """(id, docClass): the class with the largest weight over all word occurrences; ``unknown`` without any."""
     words = df.select(id_col, F.explode_outer(split_java(words_col)).alias("word"))
-    counted = words.groupBy(id_col, "word").agg(F.count("*").alias("n"))
-    entries = template.select("word", F.col("class").alias("_class"), F.col("tfidf").alias("_weight"))
+    entries = stage(template.select("word", F.col("class").alias("_class"), F.col("tfidf").alias("_weight")), "template")
+    if is_small(entries):
+        joined = words.withColumn("n", F.lit(1)).join(F.broadcast(entries), "word", "left")
+    else:
+        joined = join_hot_apart(words.groupBy(id_col, "word").agg(F.count("*").alias("n")), entries, "word", "left")
     scored = (
-        attach(counted, entries, "word", "left")
-        .groupBy(id_col, "_class")
+        joined.groupBy(id_col, "_class")
         .agg(F.round(F.sum(F.col("n") * F.col("_weight")), SCORE_DIGITS).alias("_score"))
     )
     # The smallest of (score downwards, class) is the best class; rows without a class do not take part.

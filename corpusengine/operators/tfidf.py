@@ -5,17 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from corpusengine.functions.text import split_java
+from corpusengine.operators.each import each
 from corpusengine.operators.lookup import hot_keys, is_small, join_hot_apart
 from corpusengine.session import stage
 
 
 def word_counts(df: DataFrame, id_col: str, words_col: str) -> DataFrame:
     """(id, word, n). A document is one row, so its repeats are summed before the shuffle."""
-    return (
-        df.select(F.col(id_col), F.explode(split_java(words_col)).alias("word"))
-        .groupBy(id_col, "word")
-        .agg(F.count("*").alias("n"))
-    )
+    words = each(df, [id_col], split_java(words_col), "word")
+    return words.groupBy(id_col, "word").agg(F.count("*").alias("n"))
 
 
 def tfidf(df: DataFrame, id_col: str, words_col: str, word_as: str | None = None) -> DataFrame:

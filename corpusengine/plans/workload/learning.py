@@ -35,7 +35,7 @@ def _split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _classifier(df: DataFrame) -> plan.Classifier:
-    return plan.train(df, "lang", "text", HIDDEN_LAYERS, vector_size=VECTOR_SIZE, max_iter=40, maxIter=1, numPartitions=4)
+    return plan.train(df, "lang", "text", HIDDEN_LAYERS, vector_size=VECTOR_SIZE, max_iter=40, maxIter=1, numPartitions=8)
 
 
 def _vectors(spark, sf) -> DataFrame:
@@ -54,7 +54,7 @@ def word2vec(spark, sf):
     path = scratch_path(spark, "word2vec")
     df = documents(spark, sf)
     train, _ = _split(df)
-    models.train_word2vec(train, "text", size=VECTOR_SIZE, path=path, maxIter=1, numPartitions=4)
+    models.train_word2vec(train, "text", size=VECTOR_SIZE, path=path, maxIter=1, numPartitions=8)
     applied = models.apply_word2vec(df, path)
     return applied.select("doc_id", F.size("words").cast("long").alias("tokens"), F.size(vector_to_array("wordVec")).alias("size"))
 
@@ -153,7 +153,7 @@ def enrich(spark, sf):
     """Class, origin, keywords, summary, sentiment and region of every document."""
     df = _enrichment_input(spark, sf)
     classifier = plan.train(
-        df, "lang", "segmentedWords", HIDDEN_LAYERS[:2], vector_size=VECTOR_SIZE, max_iter=20, maxIter=1, numPartitions=4
+        df, "lang", "segmentedWords", HIDDEN_LAYERS[:2], vector_size=VECTOR_SIZE, max_iter=20, maxIter=1, numPartitions=8
     )
     return _enriched(spark, sf, df, classifier)
 

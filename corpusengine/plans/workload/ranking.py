@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusengine.operators import keywords as K, summary as S
+from corpusengine.operators.each import each
 from corpusengine.plans.workload.registry import (
     SENTENCE_MARKS,
     TAGGED_WORDS_SQL,
@@ -51,7 +52,7 @@ def _kept(spark, sf):
 
 
 def _words(df, column):
-    return df.select("doc_id", F.explode(column).alias("w")).select("doc_id", "w.word", "w.score")
+    return each(df, ["doc_id"], column, "w").select("doc_id", "w.word", "w.score")
 
 
 @query("sliding_cooccurrence", LINKS_SQL)
@@ -170,7 +171,7 @@ FROM (SELECT doc_id, unnest(l) AS sentence, generate_subscripts(l, 1) - 1 AS sen
 def sentence_weight_rules(spark, sf):
     scores = F.transform("sentences", lambda s: F.length(s).cast("double"))
     weighed = S.sentence_weight_rules(F.col("sentences"), scores, CUES)
-    return _sentences(spark, sf).select("doc_id", F.posexplode(weighed).alias("sent", "weight"))
+    return each(_sentences(spark, sf), ["doc_id"], weighed, "sent", "weight")
 
 
 SENTENCE_ROUNDS = 3
@@ -207,7 +208,7 @@ QUALIFY row_number() OVER (PARTITION BY {key}, sent ORDER BY round DESC) = 1"""
 )
 def textrank_sentences(spark, sf):
     ranked = S.textrank_sentences(_sentences(spark, sf), "doc_id", max_rounds=SENTENCE_ROUNDS)
-    scores = ranked.select("doc_id", F.posexplode("scores").alias("sent", "score"))
+    scores = each(ranked, ["doc_id"], "scores", "sent", "score")
     return scores.withColumn("score", F.floor(F.col("score") * 10000 + 0.5) / 10000)
 
 
@@ -245,7 +246,7 @@ def redundancy_topk(spark, sf):
     weights = F.transform("sentences", lambda s: F.length(s).cast("double"))
     size = F.coalesce(S.candidate_count("cleaned", "sentences", 600), F.lit(0))
     weighed = _sentences(spark, sf).withColumn("weights", weights).withColumn("size", size)
-    picks = S.redundancy_topk(weighed, "doc_id").select("doc_id", F.posexplode("picks").alias("turn", "pick"))
+    picks = each(S.redundancy_topk(weighed, "doc_id"), ["doc_id"], "picks", "turn", "pick")
     return picks.select("doc_id", "turn", F.col("pick.at").alias("sent"), "pick.weight")
 
 
@@ -268,7 +269,7 @@ def length_budget_pick(spark, sf):
     )
     kept = S.length_budget_pick(entries)
     split = S.sentence_tokens(documents(spark, sf), "doc_id", "text", marks=SENTENCE_MARKS)
-    return split.select("doc_id", F.explode(kept).alias("entry")).select("doc_id", F.col("entry.at").alias("sent"))
+    return each(split, ["doc_id"], kept, "entry").select("doc_id", F.col("entry.at").alias("sent"))
 
 
 WEIGHTS_SQL = f"""

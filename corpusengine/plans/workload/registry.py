@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusengine import constants as C
+from corpusengine.operators.each import each
 from corpusengine.session import SETTINGS, apply_settings, stage
 from corpusengine.sources import scan_parquet
 
@@ -92,7 +93,7 @@ GROUP BY word HAVING count(*) * 4 >= (SELECT count(*) FROM documents)"""
 
 def stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = documents(spark, sf_dir)
-    words = df.select("doc_id", F.explode(F.array_distinct(F.split("text", " "))).alias("word"))
+    words = each(df, ["doc_id"], F.array_distinct(F.split("text", " ")), "word")
     n = df.agg(F.count("*")).scalar()
     common = words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") * 4 >= n)
     return stage(common.select("word"), "stop-words")

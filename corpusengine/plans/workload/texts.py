@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusengine import constants as C
 from corpusengine.functions import text as T
+from corpusengine.operators.each import each
 from corpusengine.operators.joins import join_results
 from corpusengine.operators.keywords import kept_words, remove_word_filter, tagged_words
 from corpusengine.operators.lookup import drop_words
@@ -42,7 +43,7 @@ FROM (SELECT doc_id, {lists} AS l FROM {of})"""
 
 
 def _exploded(df, tokens):
-    return df.select("doc_id", F.posexplode(tokens).alias("pos", "token"))
+    return each(df, ["doc_id"], tokens, "pos", "token")
 
 
 @query("tokenize_space", _unnested("list_filter(string_split(lower(text), ' '), lambda t: t <> '')"))
@@ -73,7 +74,7 @@ def tokenize_word(spark, sf):
 @query("parse_tagged", f"SELECT doc_id, word, tag, count(*) AS n FROM ({TAGGED_WORDS_SQL}) GROUP BY ALL")
 def parse_tagged(spark, sf):
     words = tagged_words(tagged_articles(spark, sf), "doc_id", "title", "content")
-    pairs = words.select("doc_id", F.explode("words").alias("w")).select("doc_id", "w.word", "w.tag")
+    pairs = each(words, ["doc_id"], "words", "w").select("doc_id", "w.word", "w.tag")
     return pairs.groupBy("doc_id", "word", "tag").agg(F.count("*").alias("n"))
 
 
@@ -95,7 +96,7 @@ WHERE tag IN ('n', 'v') AND length(word) > 1 AND word NOT IN (SELECT word FROM (
 def keyword_pos_filter(spark, sf):
     words = tagged_words(tagged_articles(spark, sf), "doc_id", "title", "content")
     kept = kept_words(words, "doc_id", stop_words=stop_words(spark, sf))
-    return kept.select("doc_id", F.posexplode("kept").alias("pos", "word"))
+    return each(kept, ["doc_id"], "kept", "pos", "word")
 
 
 @query("contains_cjk", "SELECT doc_id, regexp_matches(text || '来', '[一-龥]') AS joined, regexp_matches(text, '[一-龥]') AS plain FROM documents")
@@ -139,7 +140,7 @@ SELECT doc_id, list_filter(list_transform(string_split_regex({CLEAN_SQL.format("
 @query("split_sentences", f"SELECT doc_id, unnest(l) AS sentence, generate_subscripts(l, 1) - 1 AS sent FROM ({SENTENCES_SQL})")
 def split_sentences(spark, sf):
     cleaned = documents(spark, sf).select("doc_id", T.clean_text("text").alias("text"))
-    return cleaned.select("doc_id", F.posexplode(T.split_sentences("text", SENTENCE_MARKS)).alias("sent", "sentence"))
+    return each(cleaned, ["doc_id"], T.split_sentences("text", SENTENCE_MARKS), "sent", "sentence")
 
 
 CLAUSES_SQL = f"""SELECT doc_id, unnest(l) AS text, generate_subscripts(l, 1) - 1 AS clause
@@ -149,7 +150,7 @@ FROM (SELECT doc_id, string_split_regex(title || '。' || content, '{CLAUSE_SPLI
 @query("split_clauses", CLAUSES_SQL)
 def split_clauses(spark, sf):
     clauses = T.split_clauses("title", "content", CLAUSE_MARKS)
-    return articles(spark, sf).select("doc_id", F.posexplode(clauses).alias("clause", "text"))
+    return each(articles(spark, sf), ["doc_id"], clauses, "clause", "text")
 
 
 # (doc_id, sent, pos, term, length, n_sents): tokens of the sentences without stop words.
@@ -167,8 +168,8 @@ WHERE term NOT IN (SELECT word FROM ({STOP_WORDS_SQL}))"""
 @query("tokenize_sentence", f"SELECT doc_id, sent, pos, term FROM ({SENTENCE_TOKENS_SQL})")
 def tokenize_sentence(spark, sf):
     split = sentence_tokens(documents(spark, sf), "doc_id", "text", stop_words(spark, sf), marks=SENTENCE_MARKS)
-    sentences = split.select("doc_id", F.posexplode("tokens").alias("sent", "tokens"))
-    return sentences.select("doc_id", "sent", F.posexplode("tokens").alias("pos", "term"))
+    sentences = each(split, ["doc_id"], "tokens", "sent", "tokens")
+    return each(sentences, ["doc_id", "sent"], "tokens", "pos", "term")
 
 
 @query(
@@ -230,7 +231,7 @@ def bad_lines(spark, sf):
 def word_list(spark, sf):
     path = scratch_path(spark, "words")
     talk = scan_parquet(spark, f"{sf}/conversations.parquet", ["text"])
-    talk.select(F.explode(F.split("text", r"\s+"))).write.text(path)
+    each(talk, [], F.split("text", r"\s+"), "word").write.text(path)
     return scan_word_list(spark, path).groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -298,6 +299,6 @@ FROM (SELECT unnest(string_split(rtrim(text, ' '), ' ')) AS word FROM documents)
 )
 def distinct_counts(spark, sf):
     df = documents(spark, sf)
-    words = df.select(F.explode(T.split_java("text")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    words = each(df, [], T.split_java("text"), "word").groupBy("word").agg(F.count("*").alias("n"))
     ids = df.agg(F.countDistinct("doc_id")).scalar()
     return words.agg(ids.alias("ids"), F.sum("n").alias("tokens"), F.count("*").alias("words"))
