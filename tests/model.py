@@ -100,11 +100,11 @@ def budget(lengths, weights, limit):
     return sorted(kept)
 
 
-def summary(cleaned, sentences, tokens, limit=200, cue="综上所述"):
+def summary(cleaned, sentences, tokens, limit=200, cue="综上所述", max_rounds=200):
     if not sentences:
         return cleaned
     sims = similarities(tokens)
-    scores = rank_sentences(sims)
+    scores = rank_sentences(sims, max_rounds=max_rounds)
     last = len(sentences) - 1
     weights = [
         round(s * (2 if cue in text else 0.9 if i == last else 1), 9) for i, (s, text) in enumerate(zip(scores, sentences))
