@@ -7,15 +7,20 @@ documents above the row limit are ranked by joins instead (``corpusengine.operat
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql.functions import arrow_udf
 
-from corpusengine import constants as C
+from corpusengine.constants import BM25_B, BM25_K1
+
+# The functions below travel with the query: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Scores closer than this many decimals count as equal: a sum's last bits depend on the order of its terms.
 SCORE_DIGITS = 9
@@ -137,8 +142,8 @@ class Postings:
         total = np.bincount(self.doc, lengths, minlength=len(self.sizes))
         mean = (total / np.maximum(self.sizes, 1))[self.doc[self.sentence]]
         idf = np.log(d - df + 0.5) - np.log(df + 0.5)
-        damp = C.BM25_K1 * (1 - C.BM25_B + C.BM25_B * lengths[self.sentence] / mean)
-        self.gain = idf * tf * (C.BM25_K1 + 1) / (tf + damp)
+        damp = BM25_K1 * (1 - BM25_B + BM25_B * lengths[self.sentence] / mean)
+        self.gain = idf * tf * (BM25_K1 + 1) / (tf + damp)
 
     def spread(self, score: np.ndarray) -> np.ndarray:
         """Score each sentence receives from the others when every sentence passes its own on by similarity.
