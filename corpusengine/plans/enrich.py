@@ -27,6 +27,7 @@ class Columns:
     text: str = "text"
     title_places: str = "titlePlace"
     text_places: str = "textPlace"
+    words: str = "segmentedWords"
 
 
 @dataclass
@@ -58,7 +59,7 @@ def enrich(
     the articles once and each result once.
     """
     c = columns
-    base = df if classifier is None else classify_text(df, c.id, classifier, brands, **(rules or {}))
+    base = df if classifier is None else classify_text(df, c.id, classifier, brands, c.words, **(rules or {}))
     base = base.withColumn("original", origin_flag(c.site, c.source))
     clauses = clause_sentiment(
         df, c.id, c.title, c.text, words.sentiment, words.adverbs, words.negations, **(sentiment_options or {})

@@ -21,7 +21,9 @@ from corpusengine.plans.workload.registry import (
     tagged,
     values,
 )
-from corpusengine.plans.workload.scoring import ADVERBS, BRANDS, NEGATIONS, SENTIMENT
+from corpusengine.plans.workload.ranking import KEYWORDS_SQL, SUMMARY_SQL
+from corpusengine.plans.workload.scoring import ADVERBS, BRANDS, NEGATIONS, PERCENT_SQL, REGION_SQL, SENTIMENT
+from corpusengine.plans.workload.texts import ORIGIN_SQL, origin_line
 from corpusengine.session import scratch_path, stage
 from corpusengine.sources import load_model, save_model, scan_parquet
 
@@ -135,30 +137,21 @@ def classify_text(spark, sf):
 
 def _enrichment_input(spark, sf) -> DataFrame:
     """The documents in the shape of tagged and raw news articles."""
-    df = articles(spark, sf, "lang", "source")
-    named = F.concat(F.lit("from: "), "source", F.lit("-"), "lang")
+    df = articles(spark, sf, "lang", "source", "text")
+    content = F.nullif("content", F.lit(""))
     return stage(
         df.select(
-            "doc_id", "title", "content", "lang",
-            F.col("source").alias("media"), F.when(F.col("lang") != "es", named).alias("origin"),
-            tagged("title").alias("tagged_title"), F.when(F.col("content") != "", tagged("content")).alias("tagged_text"),
-            F.concat_ws(" ", "title", "content").alias("segmentedWords"),
+            "doc_id", "lang", "source", "title", "text", origin_line().alias("origin"),
+            tagged("title").alias("tagged_title"), tagged(content).alias("tagged_text"),
+            F.when(F.col("lang") != "fr", F.col("title")).alias("title_places"),
+            F.when(F.col("lang") != "de", content).alias("text_places"),
         ),
         "enrichment-input",
     )
 
 
-@query("enrich")
-def enrich(spark, sf):
-    """Class, origin, keywords, summary, sentiment and region of every document."""
-    df = _enrichment_input(spark, sf)
-    classifier = plan.train(
-        df, "lang", "segmentedWords", HIDDEN_LAYERS[:2], vector_size=VECTOR_SIZE, max_iter=20, maxIter=1, numPartitions=8
-    )
-    return _enriched(spark, sf, df, classifier)
-
-
-def _enriched(spark, sf, df, classifier=None):
+def _enriched(spark, sf, classifier=None, df=None):
+    df = df if df is not None else _enrichment_input(spark, sf)
     words = Dictionaries(
         values(spark, "word string, weight double", *SENTIMENT),
         values(spark, "word string, weight double", *ADVERBS),
@@ -166,12 +159,39 @@ def _enriched(spark, sf, df, classifier=None):
         stop_words=stop_words(spark, sf),
     )
     columns = Columns(
-        id="doc_id", site="media", source="origin", tagged_title="tagged_title", tagged_text="tagged_text",
-        title="title", text="content", title_places="media", text_places="title",
+        id="doc_id", site="source", source="origin", tagged_title="tagged_title", tagged_text="tagged_text",
+        title="title", text="text", title_places="title_places", text_places="text_places", words="text",
     )
-    result = enrich_plan(
+    return enrich_plan(
         df, words, columns, classifier, values(spark, "brand string", *BRANDS),
         summary_options={"marks": SENTENCE_MARKS}, sentiment_options={"marks": CLAUSE_MARKS}, rules=RULES,
     )
-    outputs = ["original", "keywords", "summary", "sentiment", "region"]
-    return result.select("doc_id", "lang", *(["docClass"] if classifier else []), *outputs)
+
+
+OUTPUTS = [
+    "doc_id", "original", "keywords", "summary", "sentiment[0] AS positive", "sentiment[1] AS negative", "region",
+]
+
+
+@query("enrich")
+def enrich(spark, sf):
+    """Class, origin, keywords, summary, sentiment and region of every document."""
+    df = _enrichment_input(spark, sf)
+    classifier = plan.train(
+        df, "lang", "text", HIDDEN_LAYERS[:2], vector_size=VECTOR_SIZE, max_iter=20, maxIter=1, numPartitions=8
+    )
+    return _enriched(spark, sf, classifier, df).selectExpr("lang", "docClass", *OUTPUTS)
+
+
+_WHOLE_TEXT_SHARES = PERCENT_SQL.replace("title || '。' || content", "title || '。' || text")
+
+
+@query(
+    "enrich_unclassified",
+    f"""SELECT doc_id, original, keywords, summary, positive, negative, region
+FROM ({ORIGIN_SQL}) JOIN ({KEYWORDS_SQL}) USING (doc_id) JOIN ({SUMMARY_SQL}) USING (doc_id)
+  JOIN ({_WHOLE_TEXT_SHARES}) USING (doc_id) JOIN ({REGION_SQL}) USING (doc_id)""",
+)
+def enrich_unclassified(spark, sf):
+    """All enrichments but the learned one."""
+    return _enriched(spark, sf).selectExpr(*OUTPUTS)

@@ -143,12 +143,13 @@ def merge_adjacent(spark, sf):
     return _words(chosen, K.merge_adjacent(F.col("chosen"), F.col("text")))
 
 
-@query(
-    "keywords",
-    f"""SELECT d.doc_id, CASE WHEN d.doc_id IN (SELECT doc_id FROM ({TAGGED_WORDS_SQL})) THEN coalesce(k.keywords, '') END AS keywords
+KEYWORDS_SQL = f"""
+SELECT d.doc_id, CASE WHEN d.doc_id IN (SELECT doc_id FROM ({TAGGED_WORDS_SQL})) THEN coalesce(k.keywords, '') END AS keywords
 FROM documents d LEFT JOIN (
-  SELECT doc_id, string_agg(word, ' ' ORDER BY round(score, 9) DESC, word) AS keywords FROM ({MERGED_SQL}) GROUP BY doc_id) k USING (doc_id)""",
-)
+  SELECT doc_id, string_agg(word, ' ' ORDER BY round(score, 9) DESC, word) AS keywords FROM ({MERGED_SQL}) GROUP BY doc_id) k USING (doc_id)"""
+
+
+@query("keywords", KEYWORDS_SQL)
 def keywords(spark, sf):
     return K.keywords(tagged_articles(spark, sf), "doc_id", "title", "content", stop_words(spark, sf))
 
@@ -277,9 +278,7 @@ SELECT doc_id, sent, round(score * CASE WHEN sent = n - 1 THEN 0.9::double ELSE
 FROM ({_sentence_rank_sql(POSTINGS_SQL, SENTENCES_SQL, "doc_id", "200")}) JOIN ({NUMBERED_SQL}) USING (doc_id, sent)"""
 
 
-@query(
-    "summary",
-    f"""WITH RECURSIVE numbered AS MATERIALIZED ({NUMBERED_SQL}),
+SUMMARY_SQL = f"""WITH RECURSIVE numbered AS MATERIALIZED ({NUMBERED_SQL}),
 picked AS MATERIALIZED (
   SELECT p.*, s.sentence, min(f.sent) AS place
   FROM ({_picks_sql(WEIGHTS_SQL, 200)}) p JOIN numbered s USING (doc_id, sent)
@@ -296,7 +295,9 @@ joined AS (SELECT doc_id, string_agg(sentence, '。' ORDER BY place) AS summary
 best AS (SELECT doc_id, count(*) AS n, max(sentence) FILTER (turn = 0) || '。' AS sentence FROM picked GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN b.n IS NULL THEN {CLEAN_SQL.format("text")} WHEN b.n = 1 THEN b.sentence
   ELSE coalesce(j.summary, b.sentence) END AS summary
-FROM documents d LEFT JOIN best b USING (doc_id) LEFT JOIN joined j USING (doc_id)""",
-)
+FROM documents d LEFT JOIN best b USING (doc_id) LEFT JOIN joined j USING (doc_id)"""
+
+
+@query("summary", SUMMARY_SQL)
 def summary(spark, sf):
     return S.summary(documents(spark, sf), "doc_id", "text", stop_words=stop_words(spark, sf), marks=SENTENCE_MARKS)

@@ -205,12 +205,12 @@ def place_count(spark, sf):
     return places.place_count(_places(spark, sf), "doc_id", "t", "c").where(F.col("place").isNotNull())
 
 
-@query(
-    "region",
-    f"""SELECT doc_id, string_agg(place, ' ' ORDER BY r) AS region FROM documents LEFT JOIN (
+REGION_SQL = f"""SELECT doc_id, string_agg(place, ' ' ORDER BY r) AS region FROM documents LEFT JOIN (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first_at) AS r FROM ({PLACES_SQL}) QUALIFY r <= 3) USING (doc_id)
-GROUP BY doc_id""",
-)
+GROUP BY doc_id"""
+
+
+@query("region", REGION_SQL)
 def region(spark, sf):
     return places.region(_places(spark, sf), "doc_id", "t", "c")
 
@@ -267,13 +267,11 @@ def clause_sentiment(spark, sf):
 SHARES_SQL = f"""
 SELECT doc_id, coalesce(sum(score) FILTER (score >= 0), 0) AS pos, coalesce(-sum(score) FILTER (score < 0), 0) AS neg
 FROM ({SENTIMENT_SQL}) GROUP BY doc_id"""
+PERCENT_SQL = f"""SELECT doc_id, CASE WHEN pos + neg = 0 THEN 0.5 ELSE floor(pos / (pos + neg) * 100 + 0.5) / 100 END AS positive,
+  CASE WHEN pos + neg = 0 THEN 0.5 ELSE floor(neg / (pos + neg) * 100 + 0.5) / 100 END AS negative FROM ({SHARES_SQL})"""
 
 
-@query(
-    "sentiment_percent",
-    f"""SELECT doc_id, CASE WHEN pos + neg = 0 THEN 0.5 ELSE floor(pos / (pos + neg) * 100 + 0.5) / 100 END AS positive,
-  CASE WHEN pos + neg = 0 THEN 0.5 ELSE floor(neg / (pos + neg) * 100 + 0.5) / 100 END AS negative FROM ({SHARES_SQL})""",
-)
+@query("sentiment_percent", PERCENT_SQL)
 def sentiment_percent(spark, sf):
     shares = sentiment.sentiment_percent(_clauses(spark, sf), "doc_id")
     return shares.select("doc_id", F.col("sentiment")[0].alias("positive"), F.col("sentiment")[1].alias("negative"))

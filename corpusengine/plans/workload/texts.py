@@ -181,21 +181,26 @@ def round_half_up_2(spark, sf):
     return documents(spark, sf, "n_chars").select("doc_id", T.round_half_up_2(ratio).alias("rounded"))
 
 
-@query(
-    "origin_flag",
-    """SELECT doc_id, CASE WHEN list_contains(string_split_regex(trim(regexp_replace(named, '^[^\\n]*?[:：][ ]*', '')), '[-－]'), source)
+ORIGIN_SQL = """SELECT doc_id, CASE WHEN list_contains(string_split_regex(trim(regexp_replace(named, '^[^\\n]*?[:：][ ]*', '')), '[-－]'), source)
   THEN '1' ELSE '0' END AS original
 FROM (SELECT doc_id, source, CASE WHEN lang <> 'es' THEN
   lang || CASE WHEN doc_id % 2 = 0 THEN ': ' ELSE '：' END || 'src' || (doc_id % 7) || '－' || lang || '-src' || (doc_id % 20 - doc_id % 3)
-  END AS named FROM documents)""",
-)
-def origin_flag(spark, sf):
+  END AS named FROM documents)"""
+
+
+def origin_line():
+    """A label and three sites; null for one language."""
     sites = F.concat(
         F.col("lang"), F.when(F.col("doc_id") % 2 == 0, ": ").otherwise("："), F.lit("src"), F.col("doc_id") % 7, F.lit("－"),
         F.col("lang"), F.lit("-src"), F.col("doc_id") % 20 - F.col("doc_id") % 3,
     )
-    df = documents(spark, sf, "lang", "source").withColumn("named", F.when(F.col("lang") != "es", sites))
-    return df.select("doc_id", T.origin_flag("source", "named").alias("original"))
+    return F.when(F.col("lang") != "es", sites)
+
+
+@query("origin_flag", ORIGIN_SQL)
+def origin_flag(spark, sf):
+    df = documents(spark, sf, "lang", "source")
+    return df.select("doc_id", T.origin_flag(F.col("source"), origin_line()).alias("original"))
 
 
 # --- sources and sinks ----------------------------------------------------------------------------------------

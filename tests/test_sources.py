@@ -60,3 +60,18 @@ def test_ensemble_wants_a_path_per_member(spark):
     except ValueError:
         return
     raise AssertionError("no error")
+
+
+def test_solver_needs_no_package_on_the_executors(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from corpusengine.functions import solve
+
+    payload = tmp_path / "functions"
+    payload.write_bytes(cloudpickle.dumps((solve._rank_words, solve._pick, solve.Postings)))
+    load = f"import pickle; print(pickle.load(open({str(payload)!r}, 'rb'))[2].__name__)"
+    done = subprocess.run([sys.executable, "-c", load], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert done.stdout.strip() == "Postings", done.stderr
