@@ -126,17 +126,18 @@ def select_distinct_keywords(candidates: Column | str, n_keywords: int = C.KEYWO
     return F.aggregate(candidates, F.array().cast("array<struct<word:string,score:double>>"), choose)
 
 
+def adjacent_pairs(words: Column | str) -> Column:
+    """array<struct<left, right>>: each word of an array with the next one."""
+    size = F.size(F.coalesce(words, F.array().cast("array<string>")))
+    length = F.greatest(size - 1, F.lit(0))
+    return F.arrays_zip(F.slice(words, 1, length).alias("left"), F.slice(words, 2, length).alias("right"))
+
+
 def merge_adjacent(keywords: Column | str, words: Column | str) -> Column:
     """Keywords that stand next to each other in the text become one, with the larger score.
 
     ``words`` is the text as a word array. Merges follow the text, and a merged keyword can merge again.
     """
-    size = F.size(F.coalesce(words, F.array().cast("array<string>")))
-    pairs = F.arrays_zip(
-        F.slice(words, 1, F.greatest(size - 1, F.lit(0))).alias("left"),
-        F.slice(words, 2, F.greatest(size - 1, F.lit(0))).alias("right"),
-    )
-
     # A keyword of any later stage begins and ends with one of the first stage.
     def may_match(word: Column) -> Column:
         return F.exists(keywords, lambda k: word.startswith(k["word"])) & F.exists(
@@ -154,7 +155,7 @@ def merge_adjacent(keywords: Column | str, words: Column | str) -> Column:
         others = F.filter(now, lambda k: (k["word"] != pair["left"]) & (k["word"] != pair["right"]))
         return F.when(both, F.concat(others, F.array(joined))).otherwise(now)
 
-    likely = F.filter(pairs, lambda pair: may_match(pair["left"]) & may_match(pair["right"]))
+    likely = F.filter(adjacent_pairs(words), lambda pair: may_match(pair["left"]) & may_match(pair["right"]))
     return F.aggregate(likely, keywords, merge)
 
 

@@ -61,6 +61,16 @@ def word2vec(spark, sf):
     return applied.select("doc_id", F.size("words").cast("long").alias("tokens"), F.size(vector_to_array("wordVec")).alias("size"))
 
 
+@query("word2vec_fit_transform")
+def word2vec_fit_transform(spark, sf):
+    """Short texts: both parts with their vectors, from one model."""
+    talk = scan_parquet(spark, f"{sf}/conversations.parquet", spread_by="conv_id")
+    train, test = models.train_test_split_by_key(talk, "conv_id")
+    parts = models.word2vec_fit_transform(train, test, "text", size=VECTOR_SIZE, maxIter=1)
+    rows = [part.withColumn("in_train", F.lit(i == 0)) for i, part in enumerate(parts)]
+    return rows[0].unionByName(rows[1]).select("conv_id", "turn", "in_train", F.size(vector_to_array("wordVec")).alias("size"))
+
+
 @query("mlp_ensemble")
 def mlp_ensemble(spark, sf):
     """Members on the stored embeddings, saved and loaded, with their majority."""

@@ -116,6 +116,18 @@ def select_distinct_keywords(spark, sf):
     return _words(_boosted(spark, sf), K.select_distinct_keywords("boosted"))
 
 
+@query(
+    "adjacent_pairs",
+    f"""SELECT word, after, count(*) AS n
+FROM (SELECT word, lead(word) OVER (PARTITION BY doc_id ORDER BY pos) AS after FROM ({TAGGED_WORDS_SQL}))
+WHERE after IS NOT NULL GROUP BY word, after""",
+)
+def adjacent_pairs(spark, sf):
+    words = K.tagged_words(tagged_articles(spark, sf), "doc_id", "title", "content")
+    pairs = each(words, [], K.adjacent_pairs(F.col("words.word")), "pair")
+    return pairs.groupBy(F.col("pair.left").alias("word"), F.col("pair.right").alias("after")).agg(F.count("*").alias("n"))
+
+
 # Each step merges the first pair of current keywords after the last merge.
 MERGED_SQL = f"""
 WITH RECURSIVE chosen AS MATERIALIZED ({CHOSEN_SQL}),

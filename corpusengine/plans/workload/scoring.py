@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusengine.functions import votes
-from corpusengine.functions.text import tokens
+from corpusengine.functions.text import split_java, tokens
 from corpusengine.operators import bm25, evaluate, models, places, sentiment, templates
 from corpusengine.operators.brands import brand_contains
+from corpusengine.operators.each import each
+from corpusengine.operators.lookup import attach
 from corpusengine.operators.summary import sentence_tokens
 from corpusengine.operators.tfidf import tfidf
 from corpusengine.plans.workload.registry import (
@@ -21,6 +23,7 @@ from corpusengine.plans.workload.registry import (
     CLAUSE_MARKS,
 )
 from corpusengine.plans.workload.texts import CLAUSES_SQL, SENTENCE_TOKENS_SQL, SENTENCES_SQL
+from corpusengine.session import stage
 from corpusengine.sources import scan_parquet
 
 # --- TF-IDF and templates -------------------------------------------------------------------------------------
@@ -74,6 +77,18 @@ def template_word_map(spark, sf):
     return templates.template_word_map(_template(spark, sf)).select("word", names.alias("classes"), F.round(total, 10).alias("weight"))
 
 
+@query(
+    "template_lookup",
+    f"""SELECT doc_id, class, count(*) AS hits, round(sum(tfidf), 9) AS weight
+FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents) JOIN ({TEMPLATE_SQL}) USING (word)
+GROUP BY doc_id, class""",
+)
+def template_lookup(spark, sf):
+    words = each(documents(spark, sf), ["doc_id"], split_java("text"), "word")
+    found = attach(words, stage(_template(spark, sf), "template"), "word")
+    return found.groupBy("doc_id", "class").agg(F.count("*").alias("hits"), F.round(F.sum("tfidf"), 9).alias("weight"))
+
+
 CLASSIFIED_SQL = f"""
 SELECT d.doc_id, d.lang, coalesce(best.class, 'Unknown') AS "docClass" FROM documents d LEFT JOIN (
   SELECT doc_id, class FROM (
@@ -88,6 +103,13 @@ def template_classify(spark, sf):
     return templates.template_classify(documents(spark, sf), "doc_id", "text", _template(spark, sf))
 
 
+@query("filter_match", f"""SELECT doc_id FROM ({CLASSIFIED_SQL}) WHERE lang = "docClass" AND "docClass" <> 'Unknown'""")
+def filter_match(spark, sf):
+    classified = templates.template_classify(documents(spark, sf), "doc_id", "text", _template(spark, sf))
+    joined = classified.join(documents(spark, sf, "lang"), "doc_id")
+    return joined.where((F.col("lang") == F.col("docClass")) & (F.col("docClass") != "Unknown")).select("doc_id")
+
+
 @query(
     "template_accuracy",
     f"""SELECT count_if(lang = "docClass")::double / count_if("docClass" <> 'Unknown') AS accuracy FROM ({CLASSIFIED_SQL})""",
@@ -226,6 +248,27 @@ def _values_sql(rows: list[tuple], columns: str) -> str:
     return f"(VALUES {', '.join('(' + ', '.join(map(repr, row)) + ')' for row in rows)}) AS v({columns})"
 
 
+def _lexicons(spark):
+    weighted = "word string, weight double"
+    return values(spark, weighted, *SENTIMENT), values(spark, weighted, *ADVERBS), values(spark, "word string", *NEGATIONS)
+
+
+@query(
+    "lexicon_lookup",
+    rf"""SELECT doc_id, count(s.weight) AS felt, count(a.adverb) AS adverbs, count(n.word) AS negations
+FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+')) AS word FROM documents)
+  LEFT JOIN (SELECT * FROM {_values_sql(SENTIMENT, "word, weight")}) s USING (word)
+  LEFT JOIN (SELECT * FROM {_values_sql(ADVERBS, "word, adverb")}) a USING (word)
+  LEFT JOIN (SELECT * FROM {_values_sql(NEGATIONS, "word")}) n USING (word) GROUP BY doc_id""",
+)
+def lexicon_lookup(spark, sf):
+    words = each(documents(spark, sf), ["doc_id"], tokens("text", "word"), "word")
+    found = attach(words, sentiment.modifier_dictionary(*_lexicons(spark)), "word", "left")
+    return found.groupBy("doc_id").agg(
+        F.count("weight").alias("felt"), F.count("adverb").alias("adverbs"), F.count_if("negates").alias("negations")
+    )
+
+
 SENTIMENT_SQL = rf"""
 WITH words AS (
   SELECT doc_id, clause, unnest(l) AS word, generate_subscripts(l, 1) - 1 AS pos
@@ -253,9 +296,7 @@ GROUP BY doc_id, clause"""
 
 def _clauses(spark, sf):
     return sentiment.clause_sentiment(
-        articles(spark, sf), "doc_id", "title", "content",
-        values(spark, "word string, weight double", *SENTIMENT), values(spark, "word string, weight double", *ADVERBS),
-        values(spark, "word string", *NEGATIONS), marks=CLAUSE_MARKS,
+        articles(spark, sf), "doc_id", "title", "content", *_lexicons(spark), marks=CLAUSE_MARKS
     )
 
 
@@ -325,6 +366,24 @@ def bm25_sentence_sim(spark, sf):
     return bm25.neighbour_similarity(_sentences(spark, sf), "doc_id", "tokens").withColumn("sim", F.round("sim", 6))
 
 
+@query(
+    "bm25_pair_sim",
+    f"""WITH p AS MATERIALIZED ({POSTINGS_SQL}),
+pairs AS (SELECT doc_id, unnest(range(len(l))) AS sent, 0 AS other FROM ({SENTENCES_SQL}))
+SELECT pairs.doc_id, pairs.sent, pairs.other, round(coalesce(sum(a.tf * b.gain), 0), 6) AS sim
+FROM pairs LEFT JOIN p a ON a.doc_id = pairs.doc_id AND a.sent = pairs.sent
+  LEFT JOIN p b ON b.doc_id = pairs.doc_id AND b.sent = pairs.other AND b.term = a.term
+GROUP BY pairs.doc_id, pairs.sent, pairs.other""",
+)
+def bm25_pair_sim(spark, sf):
+    """Every sentence against the first of its text."""
+    sentences = stage(_sentences(spark, sf).select("doc_id", "tokens"), "sentences")
+    last = F.size("tokens") - 1
+    pairs = each(sentences, ["doc_id", F.lit(0).alias("other")], F.when(last >= 0, F.sequence(F.lit(0), last)), "sent")
+    posted = bm25.postings(sentences, "doc_id", "tokens")
+    return bm25.pair_similarity(posted, pairs, "doc_id").withColumn("sim", F.round("sim", 6))
+
+
 @query(
     "bm25_similarity_sums",
     f"""WITH p AS MATERIALIZED ({POSTINGS_SQL})

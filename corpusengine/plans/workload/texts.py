@@ -250,6 +250,11 @@ def filter_not_class(spark, sf):
     return documents(spark, sf, "source", "lang").where(F.col("lang") != "de").select("doc_id", "source")
 
 
+@query("doc_count", "SELECT count(*) AS n FROM documents")
+def doc_count(spark, sf):
+    return documents(spark, sf, "lang").agg(F.count("*").alias("n"))
+
+
 @query("write_parquet", "SELECT doc_id, lang, n_chars FROM documents")
 def write(spark, sf):
     path = scratch_path(spark, "copy")

@@ -12,7 +12,7 @@ from corpusengine.operators.summary import summary
 from corpusengine.plans.workload import ORACLES, QUERIES
 
 TABLES = "documents embeddings pages benchmark labels conversations".split()
-LEARNED = ["word2vec", "mlp_ensemble", "mlp_fit_predict", "hashing_tfidf", "naive_bayes", "svm"]
+LEARNED = ["word2vec", "word2vec_fit_transform", "mlp_ensemble", "mlp_fit_predict", "hashing_tfidf", "naive_bayes", "svm"]
 
 
 @pytest.fixture(scope="module")
