@@ -19,9 +19,9 @@ SALTS = 64
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether the table is within both bounds; reads no more than ``max_rows + 1`` of its rows."""
+    """Whether the table is within both bounds. Counted where its rows are; only the counts are moved."""
     width = sum((F.octet_length(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))) for c in df.columns), F.lit(0))
-    rows, size = df.limit(max_rows + 1).agg(F.count("*"), F.sum(width.cast("long"))).first()
+    rows, size = df.agg(F.count("*"), F.sum(width.cast("long"))).first()
     return rows <= max_rows and (size or 0) <= max_bytes
 
 
@@ -62,10 +62,11 @@ def join_hot_apart(
 
 def apart(df: DataFrame, size: Column, limit: int) -> tuple[DataFrame, DataFrame | None]:
     """Rows up to a size and, if there are any, the rows above it."""
-    large = df.where(size > limit)
-    if large.isEmpty():
+    size = F.coalesce(size, F.lit(0))
+    largest = df.agg(F.max(size)).first()[0]
+    if largest is None or largest <= limit:
         return df, None
-    return df.where(~(size > limit)), stage(large, "large-rows")
+    return df.where(size <= limit), stage(df.where(size > limit), "large-rows")
 
 
 def drop_words(tokens: DataFrame, words: DataFrame, word: str = "word") -> DataFrame:
