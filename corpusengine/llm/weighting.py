@@ -23,13 +23,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from corpusengine.llm.registry import documents, query
 from corpusengine.session import stage
 
-DEPTH = 5
-KEPT = 16_384
+DEPTH = 6
+KEPT = 32_768
 # Words whose counts every task gets, the most frequent ones, at most. All others are joined.
 SHARED_WORDS = 1 << 20
 END = b"\n"
 # Bytes or words that a task holds before it adds up what is equal.
 CHUNK = 4 << 20
+# Contexts worked on at once while the tree is built.
+BLOCK = 4096
 WORD, RUN = 0, 1
 
 _ONE = {n: np.arange(256) >> (7 - n) & 1 for n in range(8)}
@@ -189,98 +191,110 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return out
 
 
-def decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of zeros and ones at the 255 decisions that spell out a byte, from counts of the 256 bytes."""
-    zeros, ones = (np.zeros((len(counts), 255)) for _ in "01")
-    width = counts
-    for n in range(7, -1, -1):
-        first = (1 << n) - 1
-        zeros[:, first : first + (1 << n)], ones[:, first : first + (1 << n)] = width[:, 0::2], width[:, 1::2]
-        width = width[:, 0::2] + width[:, 1::2]
-    return zeros, ones
+class Level:
+    """The kept contexts of one length: their bytes, the context each one extends, and their counts of next bytes."""
 
-
-def build(levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
-    """The tree of kept contexts; levels[d] has (context, byte, count) of those of length d.
+    def __init__(self, context: np.ndarray, byte: np.ndarray, n: np.ndarray, length: int, shorter: Level | None):
+        names, row = np.unique(context, return_inverse=True)
+        known, parents = np.ones(len(names), bool), np.zeros(len(names), np.int64)
+        if shorter is not None:
+            ending = names & ((1 << 8 * (length - 1)) - 1)
+            known = np.isin(ending, shorter.names)
+            parents = np.searchsorted(shorter.names, ending)
+        use = known[row]
+        order = np.argsort(row[use], kind="stable")
+        self.names, self.parents = names[known], parents[known]
+        self.row = (np.cumsum(known) - 1)[row[use]][order]
+        self.byte, self.n = byte[use][order], n[use][order]
+        self.size = len(self.names)
+        self.extended = np.zeros(self.size, bool)
+        # What of the counts is left to extensions that are not kept.
+        self.rest = self.n.astype(np.float64)
+        self.weights = np.ones((self.size, 255), np.float32)
+        if shorter is not None and self.size:
+            shorter.extended[np.unique(self.parents)] = True
+            key = shorter.row * 256 + shorter.byte
+            at = np.searchsorted(key, self.parents[self.row] * 256 + self.byte)
+            np.subtract.at(shorter.rest, at, self.n)
+
+    def blocks(self) -> Iterator[slice]:
+        for at in range(0, self.size, BLOCK):
+            yield slice(at, min(at + BLOCK, self.size))
+
+    def decisions(self, block: slice, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of zeros and ones at the 255 decisions that spell out a byte, for a block of contexts."""
+        first, last = np.searchsorted(self.row, [block.start, block.stop])
+        width = np.zeros((block.stop - block.start, 256))
+        width[self.row[first:last] - block.start, self.byte[first:last]] = counts[first:last]
+        zeros, ones = (np.zeros((len(width), 255)) for _ in "01")
+        for n in range(7, -1, -1):
+            at = (1 << n) - 1
+            zeros[:, at : at + (1 << n)], ones[:, at : at + (1 << n)] = width[:, 0::2], width[:, 1::2]
+            width = width[:, 0::2] + width[:, 1::2]
+        return zeros, ones
+
+
+def build(counted: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
+    """The tree of kept contexts; counted[d] has (context, byte, count) of those of length d, each pair once.
 
     A context is the number of its bytes, the latest one lowest. A context is kept only with all its endings.
     """
-    depth = len(levels) - 1
-    contexts, parents, counts = [], [], []
-    for d, (context, byte, n) in enumerate(levels):
-        names, row = np.unique(context, return_inverse=True)
-        if d:
-            ending = names & ((1 << 8 * (d - 1)) - 1)
-            at = np.searchsorted(contexts[-1], ending)
-            known = np.isin(ending, contexts[-1])
-        else:
-            at, known = np.zeros(len(names), np.int64), np.ones(len(names), bool)
-        number = np.cumsum(known) - 1
-        table = np.zeros((int(known.sum()), 256), np.float64 if d == 0 else np.float32)
-        use = known[row]
-        np.add.at(table, (number[row[use]], byte[use]), n[use])
-        contexts.append(names[known])
-        parents.append(at[known])
-        counts.append(table)
-    if not len(contexts[0]):
-        contexts[0], counts[0], parents[0] = np.zeros(1, np.int64), np.zeros((1, 256)), np.zeros(1, np.int64)
-
-    def of_children(d: int, values: np.ndarray) -> np.ndarray:
-        """Sums over the kept extensions of each context of length d."""
-        out = np.zeros((len(contexts[d]), values.shape[1]))
-        np.add.at(out, parents[d + 1], values)
-        return out
+    if not len(counted[0][0]):
+        return Tree(0, np.zeros(256, np.int32), [], [np.full((1, 1), -8 * np.log10(2), np.float32)])
+    levels: list[Level] = []
+    for d, (context, byte, n) in enumerate(counted):
+        order = np.lexsort([byte, context])
+        level = Level(context[order], byte[order], n[order], d, levels[-1] if levels else None)
+        if not level.size:
+            break
+        levels.append(level)
 
     # From the longest contexts up: the weight of each context's own estimate against its extensions'.
-    weights: list[np.ndarray] = [np.zeros(0)] * (depth + 1)
-    below = None
-    for d in range(depth, -1, -1):
-        own = log_kt(*decisions(counts[d]))
-        weights[d] = np.ones(own.shape, np.float32)
-        if d < depth and len(contexts[d + 1]):
-            extended = np.bincount(parents[d + 1], minlength=len(contexts[d])) > 0
-            rest = counts[d] - of_children(d, counts[d + 1])
-            split = of_children(d, below) + log_kt(*decisions(np.maximum(rest, 0)))
-            mixed = np.logaddexp(own, split) - np.log(2)
-            mixed[~extended] = own[~extended]
-            weights[d][extended] = np.exp(own - np.log(2) - mixed)[extended]
-            own = mixed
-        below = own
-
-    # From the shortest down: what a context of this length adds, and what is left for longer ones.
-    seen = np.flatnonzero(counts[0][0] > 0)
+    below = np.zeros((levels[-1].size, 255))
+    for level in reversed(levels):
+        above = np.zeros((int(level.parents.max()) + 1 if level is not levels[0] else 1, 255))
+        for block in level.blocks():
+            own = log_kt(*level.decisions(block, level.n))
+            kept = level.extended[block]
+            if kept.any():
+                split = below[block] + log_kt(*level.decisions(block, level.rest))
+                mixed = np.logaddexp(own, split) - np.log(2)
+                level.weights[block][kept] = np.exp(own - np.log(2) - mixed)[kept]
+                own[kept] = mixed[kept]
+            np.add.at(above, level.parents[block], own)
+        if level is not levels[0]:
+            shorter = levels[levels.index(level) - 1]
+            below = np.zeros((shorter.size, 255))
+            below[: len(above)] = above
+
+    # From the shortest down: what the contexts up to this length give, and the weight left for longer ones.
+    seen = levels[0].byte
     column = np.full(256, len(seen), np.int32)
     column[seen] = np.arange(len(seen))
     unseen = np.setdiff1d(np.arange(256), seen)
     child, logs = [], []
-    mixed, left = np.zeros((1, 255), np.float32), np.ones((1, 255), np.float32)
-    for d in range(depth + 1):
-        zeros, ones = decisions(counts[d])
-        own = (ones + 0.5) / (zeros + ones + 1)
-        last = d == depth or not len(contexts[d + 1])
-        extended = np.zeros(len(contexts[d]), bool) if last else np.bincount(parents[d + 1], minlength=len(contexts[d])) > 0
-        if d:
-            mixed, left = mixed[parents[d]], left[parents[d]]
-        mixed = (mixed + left * weights[d] * own).astype(np.float32)
-        left = (left * (1 - weights[d])).astype(np.float32)
-        chance = mixed
-        if extended.any():
-            zeros, ones = decisions(np.maximum(counts[d] - of_children(d, counts[d + 1]), 0))
-            chance = np.where(extended[:, None], mixed + left * (ones + 0.5) / (zeros + ones + 1), mixed)
-        chance = np.clip(chance, 1e-12, 1 - 1e-12)
-        table = np.zeros((len(chance), 256))
-        for n in range(8):
-            table += np.log10(np.where(_ONE[n], chance[:, _NODE[n]], 1 - chance[:, _NODE[n]]))
-        rare = np.log10(np.maximum((10 ** table[:, unseen]).sum(1), 1e-300) / max(len(unseen), 1))
-        logs.append(np.concatenate([table[:, seen], rare[:, None]], 1).astype(np.float32))
-        if d < depth:
-            links = np.full((len(contexts[d]), len(seen) + 1), -1, np.int32)
-            earlier = contexts[d + 1] >> 8 * d
-            links[parents[d + 1], column[earlier]] = np.arange(len(contexts[d + 1]))
+    given, left = np.zeros((1, 255), np.float32), np.ones((1, 255), np.float32)
+    for d, level in enumerate(levels):
+        given, left = given[level.parents], left[level.parents]
+        table = np.empty((level.size, len(seen) + 1), np.float32)
+        for block in level.blocks():
+            zeros, ones = level.decisions(block, level.n)
+            given[block] += left[block] * level.weights[block] * (ones + 0.5) / (zeros + ones + 1)
+            left[block] *= 1 - level.weights[block]
+            zeros, ones = level.decisions(block, level.rest)
+            chance = given[block] + left[block] * (ones + 0.5) / (zeros + ones + 1)
+            chance = np.clip(chance, 1e-9, 1 - 1e-9)
+            both = np.concatenate([np.log10(1 - chance), np.log10(chance)], 1)
+            spelt = sum(both[:, _NODE[n] + 255 * _ONE[n]] for n in range(8))
+            table[block, :-1] = spelt[:, seen]
+            table[block, -1] = np.log10((10 ** spelt[:, unseen]).sum(1) / max(len(unseen), 1) + 1e-300)
+        logs.append(table)
+        if d + 1 < len(levels):
+            longer = levels[d + 1]
+            links = np.full((level.size, len(seen) + 1), -1, np.int32)
+            links[longer.parents, column[longer.names >> 8 * d]] = np.arange(longer.size)
             child.append(links)
-        if last:
-            break
-    return Tree(len(child) if len(logs) > len(child) else len(logs) - 1, column, child, logs)
+    return Tree(len(levels) - 1, column, child, logs)
 
 
 def fit(counts: DataFrame, depth: int = DEPTH, kept: int = KEPT) -> Tree:
