@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusengine.llm.registry import documents, query
-from corpusengine.llm.tokens import KEPT_UNITS, cut
+from corpusengine.llm.tokens import KEPT_PARTS, KEPT_UNITS, cut
 
 
 class Ranks:
@@ -156,7 +156,7 @@ class UnitIds(dict):
     def piece(self, piece: str) -> bytes:
         found = self.parts.get(piece)
         if found is None:
-            if len(self.parts) >= KEPT_UNITS:
+            if len(self.parts) >= KEPT_PARTS:
                 self.parts.clear()
             found = np.array(self.ranks.encode(piece.encode()), "<u4").tobytes()
             if len(piece) <= 64:
@@ -164,17 +164,18 @@ class UnitIds(dict):
         return found
 
     def __missing__(self, unit: str) -> bytes:
-        found = b"".join(map(self.piece, self.pieces(unit)))
-        if len(self) >= KEPT_UNITS:
-            self.clear()
+        """``unit`` behind a space."""
+        found = b"".join(map(self.piece, self.pieces(" " + unit)))
         if len(unit) <= 64:
+            if len(self) >= KEPT_UNITS:
+                self.clear()
             self[unit] = found
         return found
 
     def encode(self, text: str) -> np.ndarray:
         first, *rest = cut(text)
-        units = [first, *[" " + unit for unit in rest]]
-        return np.frombuffer(b"".join(map(self.__getitem__, units)), "<u4")
+        start = b"".join(map(self.piece, self.pieces(first)))
+        return np.frombuffer(start + b"".join(map(self.__getitem__, rest)), "<u4")
 
 
 _LOADED: dict[object, UnitIds] = {}

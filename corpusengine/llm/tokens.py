@@ -10,74 +10,102 @@ from __future__ import annotations
 
 import functools
 import os
+import re
+from array import array
 
-import numpy as np
+# Entries kept in a worker before its memory of units, or of their parts, starts afresh.
+KEPT_UNITS = 300_000
+KEPT_PARTS = 600_000
 
-# Entries kept in a worker before its memory of units starts afresh.
-KEPT_UNITS = 400_000
+# The letters a word is put together from without asking how the library normalises it: composed Latin ones.
+LAST_LATIN = "\u024f"
+MARKS = ".,;:!?"
+
+# White space to Python but not to the library.
+_separators = re.compile("[\x1c-\x1f]").search
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it is printable, else one of 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [byte for byte in range(256) if byte not in shown]
+    return {byte: chr(byte) for byte in shown} | {byte: chr(256 + k) for k, byte in enumerate(hidden)}
 
 
 class UnitIds(dict):
     """unit -> its ids as little-endian unsigned 32-bit integers; a unit not yet seen is asked of the library.
 
-    A unit of letters and closing marks is put together from both, since letters and marks are pieces of their own.
-    ``spaced``: units begin with their space (byte-level vocabularies); else spaces are dropped and case is folded.
+    A word of Latin letters is one piece, and closing marks behind it are another: the merges of such a word are
+    asked of the library's model without its normaliser and splitter, which would leave the word as it is.
+    ``spaced``: units stand for themselves behind a space (byte-level vocabularies); else white space is dropped and
+    case is folded.
     """
 
-    MARKS = ".,;:!?"
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer, self.model = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = self.model.encode_special_tokens = True
         self.spaced = isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel)
-        self.folded = self.tokenizer.normalizer is not None
+        self.model.normalizer = self.model.pre_tokenizer = None
+        self.letters = byte_letters()
         self.parts: dict[str, bytes] = {}
 
     def ask(self, unit: str) -> bytes:
-        ids = self.tokenizer.encode_batch_fast([unit], add_special_tokens=False)[0].ids
-        return np.array(ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
 
-    def part(self, unit: str) -> bytes:
-        found = self.parts.get(unit)
+    def part(self, part: str, letters: bool) -> bytes:
+        """The ids of a piece: of letters, with their space if there is one, or of marks."""
+        found = self.parts.get(part)
         if found is None:
-            if len(self.parts) >= KEPT_UNITS:
+            if len(self.parts) >= KEPT_PARTS:
                 self.parts.clear()
-            found = self.parts[unit] = self.ask(unit)
+            if letters:
+                spelt = part.encode().decode("latin-1").translate(self.letters)
+                found = array("I", self.model.encode(spelt, add_special_tokens=False).ids).tobytes()
+            else:
+                found = self.ask(part)
+            self.parts[part] = found
         return found
 
-    def __missing__(self, unit: str) -> bytes:
-        word = unit.rstrip(self.MARKS)
+    def made(self, unit: str) -> bytes:
+        if "\n" in unit and self.spaced:
+            head, _, tail = unit.partition("\n")
+            if head and tail and not head[-1].isspace() and not tail[0].isspace():
+                return self.made(head) + self.part("\n", False) + self.made(tail)
+        word = unit.rstrip(MARKS)
         letters = word[1:] if self.spaced and word[:1] == " " else word
-        if letters.isalpha():
+        folded = word if self.spaced else word.lower()
+        if len(unit) <= 64 and letters.isalpha() and max(letters) <= LAST_LATIN and len(folded) == len(word):
             marks = unit[len(word) :]
-            if self.folded and "Σ" not in word:
-                word = word.lower() if word.lower().isalpha() else word
-            found = self.part(word) + (self.part(marks) if marks else b"")
-        else:
-            found = self.ask(unit)
-        if len(self) >= KEPT_UNITS:
-            self.clear()
+            return self.part(folded, True) + (self.part(marks, False) if marks else b"")
+        return self.ask(unit)
+
+    def __missing__(self, unit: str) -> bytes:
+        found = self.made(" " + unit if self.spaced else unit)
         if len(unit) <= 64:
+            if len(self) >= KEPT_UNITS:
+                self.clear()
             self[unit] = found
         return found
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text, 4 bytes each."""
-        units = cut(text)
         if self.spaced:
-            units = [units[0], *[" " + unit for unit in units[1:]]]
-        return b"".join(map(self.__getitem__, units))
+            first, *units = cut(text)
+            return self.made(first) + b"".join(map(self.__getitem__, units))
+        if _separators(text):
+            return self.ask(text)
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 def cut(text: str) -> list[str]:
     """The text cut at each single space between two characters that are no white space."""
     units = text.split(" ")
-    if "" not in units and not any(map(_edged, units)):
-        return units
+    if len(text.split()) == len(units) + text.count("\n"):
+        return units  # every white space is one space or one line end, and stands between two others
     joined = [units[0]]
     for unit in units[1:]:
         last = joined[-1]
@@ -88,10 +116,6 @@ def cut(text: str) -> list[str]:
     return joined
 
 
-def _edged(unit: str) -> bool:
-    return unit[0] <= " " or unit[-1] <= " " or (not unit.isascii() and unit.strip() != unit)
-
-
 @functools.lru_cache(maxsize=2)
 def unit_ids(path: str) -> UnitIds:
     """One memory of units per vocabulary and worker."""
