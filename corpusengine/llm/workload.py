@@ -1,4 +1,4 @@
 """All queries of the package."""
 
-from corpusengine.llm import bytepair, packing, ranking, records, weighting  # noqa: F401
+from corpusengine.llm import bytepair, packing, ranking, records, rules, weighting  # noqa: F401
 from corpusengine.llm.registry import ORACLES, QUERIES  # noqa: F401
