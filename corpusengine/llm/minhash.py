@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusengine.llm.graph import components
 from corpusengine.llm.registry import documents, query
 from corpusengine.llm.shingles import mixed, shingles
+from corpusengine.operators.lookup import attach
 from corpusengine.session import stage
 
 MINIMA = 192
@@ -143,7 +144,7 @@ def by_task(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[in
 
 
 def sketched(docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """(row, id, n, digest, sketch, bands) of every document; one pass over the texts, stored."""
+    """(row, id, tag, n, digest, sketch, bands) of every document; one pass over the texts, stored."""
     bands, rows = banding(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,9 +158,11 @@ def sketched(docs: DataFrame, width: int, similarity: float) -> DataFrame:
             types = [pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64())]
             made = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
             if out:
-                yield pa.RecordBatch.from_arrays([batch.column("id"), *made], ["id", "n", "digest", "sketch", "bands"])
+                names = ["id", "tag", "n", "digest", "sketch", "bands"]
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("tag"), *made], names)
 
-    found = docs.mapInArrow(run, "id long, n long, digest string, sketch binary, bands array<long>")
+    kinds = "id long, tag long, n long, digest string, sketch binary, bands array<long>"
+    found = docs.withColumn("tag", F.xxhash64("id", "text")).mapInArrow(run, kinds)
     return stage(found.withColumn("row", F.monotonically_increasing_id()), "sketches")
 
 
@@ -261,12 +264,13 @@ def outsiders(shared: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, key: str = "doc_id") -> DataFrame:
-    """(key, n_shingles, component_id, kept) of every row of ``docs``.
+    """(key, n_shingles, component_id, kept, tag) of every row of ``docs``.
 
     Documents are linked if 100 * intersection >= 100 * similarity * union of their shingle sets (similarity counts
     in hundredths), component_id is the smallest key that links lead to, itself included, and one row per component
     is kept. A null or empty text, or one without words, has no shingles and is linked with nothing. Among rows with
-    equal keys the one read first is kept; a null key counts as larger than any other. Other columns are not read.
+    equal keys the one read first is kept; a null key counts as larger than any other. ``tag`` is a hash of key and
+    text. Other columns are not read.
     """
     docs = docs.select(F.col(key).cast("long").alias("id"), "text")
     sketches = sketched(docs, width, similarity)
@@ -290,15 +294,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, ke
     found = found.select("node", "component").join(least, "component").select("node", "_least")
     classes = nodes.select("digest", "node", "least").join(found, "node", "left")
     classes = classes.select("digest", F.coalesce("_least", "least").alias("_least"))
-    rows = sketches.select("row", "id", "n", "digest").join(classes, "digest", "left")
+    rows = sketches.select("row", "id", "tag", "n", "digest").join(classes, "digest", "left")
     return rows.select(
         F.col("id").alias(key),
         F.col("n").alias("n_shingles"),
         F.when(F.col("_least").isNull(), F.col("id")).otherwise(F.col("_least.id")).alias("component_id"),
         F.coalesce(F.col("_least.row") == F.col("row"), F.lit(True)).alias("kept"),
+        "tag",
     )
 
 
+def without_near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with their columns; of rows alike in key and text, one."""
+    tag = F.xxhash64(F.col(key).cast("long"), F.coalesce("text", F.lit("")))
+    rows = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    found = near_duplicates(rows, width, similarity, key).groupBy("tag")
+    found = found.agg(F.max("kept").alias("__kept"), F.count("*").alias("__rows"), F.count_if("kept").alias("__n"))
+    found = found.where("NOT __kept OR __n < __rows").withColumnRenamed("tag", "__tag")
+    marked = attach(docs.withColumn("__tag", tag), stage(found.drop("__n", "__rows"), "dropped"), "__tag", "left")
+    once = marked.where("__kept").dropDuplicates(["__tag"])
+    return marked.where("__kept IS NULL").unionByName(once).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 @query("op3_minhash")
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir), width=3, similarity=0.85)
+    return near_duplicates(documents(spark, sf_dir), width=3, similarity=0.85).drop("tag")

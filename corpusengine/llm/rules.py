@@ -124,12 +124,12 @@ def frequent_lines(counted: DataFrame, limits: Limits) -> DataFrame:
 def decide(docs: DataFrame, limits: Limits = Limits(), host: str = "source") -> DataFrame:
     """(doc_id, key, COUNTS, base_failed, kept, removed): one row per row of ``docs``.
 
-    ``removed`` has the keys of the lines to be taken out, ``key`` a hash of text and host that finds the row's text
+    ``removed`` has the keys of the lines to be taken out, ``key`` a hash of doc_id, text and host that finds the row
     again. Equal rows get equal decisions. A null host is a host of its own; null and empty texts fail the base
     rules. Other columns of ``docs`` are not looked at.
     """
     rows = docs.select("doc_id", "text", F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"))
-    rows = rows.withColumn(KEY, F.xxhash64("text", "host"))
+    rows = rows.withColumn(KEY, F.xxhash64("doc_id", "text", "host"))
     counted = with_counts(rows).drop("text").withColumn("_row", F.monotonically_increasing_id())
     counted = stage(counted.withColumn("base_failed", base_failed(limits)), "line-counts")
     frequent = frequent_lines(counted, limits)
@@ -154,19 +154,17 @@ def apply_rules(docs: DataFrame, limits: Limits = Limits(), host: str = "source"
 
     A text whose lines all stay is returned as it is. Repeated rows stay repeated.
     """
-    decided = decide(docs, limits, host).where("kept").groupBy("doc_id", KEY)
-    decided = decided.agg(F.any_value("removed").alias("__rules_removed"))
-    key = F.xxhash64("text", F.coalesce(F.col(host).cast("string"), F.lit("")))
-    rows = docs.withColumn(KEY, key).withColumn("__rules_id", F.col("doc_id"))
-    decided = decided.withColumnRenamed("doc_id", "__rules_id")
-    same = F.col("a.__rules_id").eqNullSafe(F.col("b.__rules_id")) & (F.col(f"a.{KEY}") == F.col(f"b.{KEY}"))
-    joined = rows.alias("a").join(decided.alias("b"), same)
+    decided = decide(docs, limits, host).where(~F.col("kept") | (F.size("removed") > 0)).groupBy(KEY)
+    decided = decided.agg(F.any_value("kept").alias("__kept"), F.any_value("removed").alias("__removed"))
+    key = F.xxhash64("doc_id", "text", F.coalesce(F.col(host).cast("string"), F.lit("")))
+    rows = attach(docs.withColumn(KEY, key), stage(decided, "decided"), KEY, "left")
+    rows = rows.where(F.coalesce("__kept", F.lit(True)))
     stays = F.filter(
-        F.split("a.text", "\n"),
-        lambda line: ~line.rlike(WORD) | ~F.array_contains("b.__rules_removed", line_key(line)),
+        F.split("text", "\n", -1),
+        lambda line: ~line.rlike(WORD) | ~F.array_contains("__removed", line_key(line)),
     )
-    text = F.when(F.size("b.__rules_removed") > 0, F.array_join(stays, "\n")).otherwise(F.col("a.text"))
-    return joined.select(*[text.alias(c) if c == "text" else F.col(f"a.`{c}`") for c in docs.columns])
+    text = F.when(F.size("__removed") > 0, F.array_join(stays, "\n")).otherwise(F.col("text"))
+    return rows.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 
 
 @query("op7_rules")

@@ -1,4 +1,4 @@
 """All queries of the package."""
 
-from corpusengine.llm import bytepair, lattice, minhash, packing, ranking, records, rules, weighting, wrapper  # noqa: F401
+from corpusengine.llm import alignment, bytepair, lattice, minhash, packing, ranking, records, rules, weighting, wrapper  # noqa: F401
 from corpusengine.llm.registry import ORACLES, QUERIES  # noqa: F401
