@@ -1,8 +1,8 @@
 """Ranking to convergence inside a task, many documents at a time.
 
 Each document is one row and its graph is independent of all others, so a batch of rows is one block-diagonal system:
-a round is a few vector operations over the batch and no round needs a shuffle. Spark decides which rows meet here;
-documents above the row limit are ranked by joins instead (``corpusengine.operators.rank``).
+a round is a few vector operations over the batch and no round needs a shuffle. Spark decides which rows meet here.
+There is no other way of ranking: a text, its words and their scores are one row in any case.
 """
 
 from __future__ import annotations

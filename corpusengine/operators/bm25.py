@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from corpusengine import constants as C
-from corpusengine.operators.each import each
+from corpusengine.operators.each import counted, each
 from corpusengine.operators.lookup import attach
-from corpusengine.operators.rank import iterate_rank
 from corpusengine.session import stage
 
 
@@ -18,15 +17,18 @@ def gain(tf: Column, df: Column, n: Column, length: Column, mean_length: Column)
 
 
 def sentence_terms(df: DataFrame, id_col: str, sentences: str) -> DataFrame:
-    """(id, sent, term, tf, length, n_sents, mean_length) from sentences given as token arrays."""
+    """(id, sent, term, tf, length, n_sents, mean_length) from sentences given as token arrays.
+
+    A sentence's terms are counted inside its row, so a term leaves it once.
+    """
     sizes = F.transform(sentences, lambda tokens: F.size(tokens))
     total = F.aggregate(sizes, F.lit(0).cast("long"), lambda a, b: a + b)
     mean = total / F.nullif(F.size(sentences), F.lit(0))
     of_text = [id_col, F.size(sentences).alias("n_sents"), mean.alias("mean_length")]
-    rows = each(df, of_text, sentences, "sent", "tokens")
-    terms = each(rows, [id_col, "n_sents", "mean_length", "sent", F.size("tokens").alias("length")], "tokens", "term")
-    # Hashed on (id, term), the rows stay in place for all that is counted or joined per term of a document.
-    return terms.repartition(id_col, "term").groupBy(*terms.columns).agg(F.count("*").alias("tf"))
+    rows = each(df, of_text, sentences, "sent", "tokens").withColumn("length", F.size("tokens"))
+    terms = counted(rows, "tokens", "_terms")
+    terms = each(terms, [id_col, "n_sents", "mean_length", "sent", "length"], "_terms", "_term")
+    return terms.select(id_col, "n_sents", "mean_length", "sent", "length", F.col("_term.item").alias("term"), F.col("_term.n").alias("tf"))
 
 
 def term_stats(df: DataFrame, id_col: str, sentences: str) -> DataFrame:
@@ -84,38 +86,14 @@ def similarity_sums(posted: DataFrame, id_col: str) -> DataFrame:
     )
 
 
-def rank_sentences_by_joins(posted: DataFrame, sentences: DataFrame, id_col: str, **limits) -> DataFrame:
-    """(id, node, score) for ``sentences`` (id, node).
-
-    Scores travel from sentences to terms and on to sentences, so no pair of sentences is formed. What a sentence would
-    receive from itself that way is taken back on its way to itself.
-    """
-    sums = stage(similarity_sums(posted, id_col), "similarity-sums")
-    share = F.when(F.col("to_others") != 0, 1 / F.col("to_others")).otherwise(0.0)
-    numbered = sentences.withColumnRenamed("node", "sent").join(sums, [id_col, "sent"], "left")
-    node, term = F.col("sent").cast("string").alias("node"), F.concat(F.lit("term "), "term")
-    itself = F.concat(F.lit("sentence "), "sent")
-    to_terms = posted.join(sums, [id_col, "sent"]).select(
-        id_col, node, term.alias("to"), (F.col("tf") * share).alias("weight"), F.lit(False).alias("keeps")
-    )
-    to_itself = numbered.select(id_col, node, itself.alias("to"), F.coalesce(share, F.lit(0.0)), F.lit(True))
-    from_terms = posted.select(
-        id_col, term.alias("node"), F.col("sent").cast("string").alias("to"), F.col("gain").alias("weight"),
-        F.lit(False).alias("keeps"),
-    )
-    from_itself = numbered.select(id_col, itself, node, F.coalesce(-F.col("to_self"), F.lit(0.0)), F.lit(True))
-    hops = [stage(to_terms.union(to_itself), "to-terms"), stage(from_terms.union(from_itself), "from-terms")]
-    nodes = sentences.select(id_col, F.col("node").cast("string"), F.lit(1.0).alias("score"))
-    return iterate_rank(nodes, hops, id_col, **limits).withColumn("node", F.col("node").cast("int"))
-
-
 def bm25_search(
     collection: DataFrame, id_col: str, tokens: str, queries: DataFrame, query_id: str, query_tokens: str, k: int
 ) -> DataFrame:
     """(query, id, score, place): the ``k`` best texts of the collection for each query.
 
-    Token arrays come in as columns. Only terms of some query leave the scan; scores are summed before the shuffle
-    by text, and only each task's best ``k`` per query are ranked together.
+    Token arrays come in as columns. A text's terms are counted inside its row. Terms of the queries come with their
+    weights from one table, so a text's scores are added up in the task that holds it, before they are shuffled, and
+    only each task's best ``k`` per query are ranked together.
     """
     asked = (
         each(queries, [query_id], query_tokens, "term")
@@ -124,18 +102,14 @@ def bm25_search(
     )
     asked = stage(asked, "query-terms")
     sizes = collection.agg(F.count("*").alias("n"), F.avg(F.size(tokens)).alias("mean"))
-    words = each(collection, [id_col, F.size(tokens).alias("length")], tokens, "term")
-    wanted = attach(words, asked.select("term").distinct(), "term", "left_semi")
-    counted = stage(wanted.groupBy(id_col, "length", "term").agg(F.count("*").alias("tf")), "query-postings")
-    spread = counted.groupBy("term").agg(F.count("*").alias("df"))
-    weight = gain(
-        F.col("tf"), F.col("df"), sizes.select("n").scalar(), F.col("length"), sizes.select("mean").scalar()
-    )
-    weighted = attach(counted, spread, "term").select(id_col, "term", weight.alias("gain"))
-    scored = (
-        attach(weighted, asked, "term")
-        .groupBy(query_id, id_col)
-        .agg(F.round(F.sum(F.col("query_tf") * F.col("gain")), 6).alias("score"))
-    )
+    rows = counted(collection.select(id_col, F.col(tokens).alias("_tokens"), F.size(tokens).alias("length")), "_tokens", "_terms")
+    words = each(rows, [id_col, "length"], "_terms", "_term")
+    words = words.select(id_col, "length", F.col("_term.item").alias("term"), F.col("_term.n").alias("tf"))
+    wanted = stage(attach(words, asked.select("term").distinct(), "term", "left_semi"), "query-postings")
+    spread = wanted.groupBy("term").agg(F.count("*").alias("df"))
+    weights = stage(asked.join(spread, "term"), "query-weights")
+    n, mean = sizes.select("n").scalar(), sizes.select("mean").scalar()
+    weight = F.col("query_tf") * gain(F.col("tf"), F.col("df"), n, F.col("length"), mean)
+    scored = attach(wanted, weights, "term").groupBy(query_id, id_col).agg(F.round(F.sum(weight), 6).alias("score"))
     best_first = W.partitionBy(query_id).orderBy(F.desc("score"), id_col)
     return scored.withColumn("place", F.row_number().over(best_first)).where(F.col("place") <= k)

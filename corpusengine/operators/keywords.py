@@ -8,91 +8,54 @@ from corpusengine import constants as C
 from corpusengine.functions.solve import word_ranks
 from corpusengine.functions.text import contains_either_way, is_keyword_token, parse_tagged
 from corpusengine.operators.each import each
-from corpusengine.operators.lookup import apart, attach, without_words
-from corpusengine.operators.rank import rank_linked
+from corpusengine.operators.lookup import attach, without_words
 
-# Longer texts (in characters) and longer word lists (in words) are ranked by joins, all others inside their row.
-ROW_LIMIT = 4_000_000
 
-
-def tagged_words(df: DataFrame, id_col: str, title: str, content: str) -> DataFrame:
-    """(id, title_words, words, chars): the tagged words of the title, and of title and content, and their length.
+def tagged_words(df: DataFrame, title: str, content: str) -> DataFrame:
+    """``df`` with ``title_words`` and ``words``: the tagged words of the title, and of title and content.
 
     Words are null without content.
     """
     in_title = parse_tagged(F.coalesce(F.col(title), F.lit("")))
-    has_content = F.col(content) != ""
-    words = F.when(has_content, F.concat(in_title, parse_tagged(content)))
-    return df.select(id_col, in_title["word"].alias("title_words"), words.alias("words"), _chars(title, content))
-
-
-def _chars(*texts: str) -> Column:
-    return sum((F.coalesce(F.length(text), F.lit(0)) for text in texts), F.lit(0)).alias("chars")
+    words = F.when(F.col(content) != "", F.concat(in_title, parse_tagged(content)))
+    return df.withColumns({"title_words": in_title["word"], "words": words})
 
 
 def kept_words(
-    df: DataFrame, id_col: str, words: str = "words", stop_words: DataFrame | list[str] | None = None, out: str = "kept"
+    df: DataFrame, words: str = "words", stop_words: DataFrame | list[str] | None = None, out: str = "kept"
 ) -> DataFrame:
     """``df`` with the array of words that take part in the ranking, in order."""
     content = F.filter(words, lambda w: is_keyword_token(w["word"], w["tag"]))
     nested = df.withColumn(out, F.array(F.transform(content, lambda w: w["word"])))
-    return without_words(nested, id_col, out, stop_words).withColumn(out, F.flatten(out))
+    return without_words(nested, out, stop_words).withColumn(out, F.flatten(out))
 
 
 def sliding_cooccurrence(df: DataFrame, id_col: str, kept: str = "kept", window: int = C.KEYWORD_WINDOW) -> DataFrame:
     """(id, src, dst): unequal words less than ``window`` places apart, both directions.
 
-    A text shorter than the window has no pairs. Neighbours are read from the row, so there is no self-join.
+    A text shorter than the window has no pairs. Pairs are found and told apart inside the row: nothing is shuffled.
     """
     size = F.size(kept)
-    ahead = [
-        F.arrays_zip(F.slice(kept, 1, size - gap).alias("src"), F.slice(kept, 1 + gap, size - gap).alias("dst"))
+    ways = [
+        F.arrays_zip(F.slice(kept, 1 + a, size - gap).alias("src"), F.slice(kept, 1 + b, size - gap).alias("dst"))
         for gap in range(1, window)
+        for a, b in ((0, gap), (gap, 0))
     ]
-    near = each(df, [id_col], F.when(size >= window, F.concat(*ahead)), "pair")
-    pairs = near.select(id_col, "pair.src", "pair.dst").where(F.col("src") != F.col("dst"))
-    both = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    return pairs.select(id_col, F.explode(both).alias("link")).select(id_col, "link.src", "link.dst").distinct()
+    unequal = F.filter(F.concat(*ways), lambda pair: pair["src"] != pair["dst"])
+    links = each(df, [id_col], F.when(size >= window, F.array_distinct(unequal)), "link")
+    return links.select(id_col, "link.src", "link.dst")
 
 
 def textrank_words(
     df: DataFrame,
-    id_col: str,
     kept: str = "kept",
     window: int = C.KEYWORD_WINDOW,
-    row_limit: int = ROW_LIMIT,
     damping: float = C.DAMPING,
     max_rounds: int = C.MAX_ROUNDS,
     min_diff: float = C.MIN_DIFF,
 ) -> DataFrame:
-    """``df`` (one row per ``id_col``) with ``ranked``: array<struct<word, score>> of the kept words.
-
-    A column ``chars`` spares a count of the words in finding the long documents.
-    """
-    limits = {"damping": damping, "max_rounds": max_rounds, "min_diff": min_diff}
-    small, large = apart(df, F.col("chars") if "chars" in df.columns else F.size(kept), row_limit)
-    return _ranked(small, large, id_col, kept, window, limits)
-
-
-def _ranked(
-    small: DataFrame, large: DataFrame | None, id_col: str, kept: str, window: int, limits: dict
-) -> DataFrame:
-    in_row = small.withColumn("ranked", word_ranks(F.col(kept), window, **limits))
-    if large is None:
-        return in_row
-    scores = textrank_words_by_joins(large, id_col, kept, window, **limits)
-    lists = scores.groupBy(id_col).agg(F.collect_list(F.struct("word", "score")).alias("ranked"))
-    none = F.array().cast("array<struct<word:string,score:double>>")
-    return in_row.unionByName(large.join(lists, id_col, "left").withColumn("ranked", F.coalesce("ranked", none)))
-
-
-def textrank_words_by_joins(
-    df: DataFrame, id_col: str, kept: str = "kept", window: int = C.KEYWORD_WINDOW, **limits
-) -> DataFrame:
-    """(id, word, score), with the co-occurrence graph as a table."""
-    nodes = each(df, [id_col], kept, "node").distinct()
-    links = sliding_cooccurrence(df, id_col, kept, window)
-    return rank_linked(links, nodes, id_col, **limits).withColumnRenamed("node", "word")
+    """``df`` with ``ranked``: array<struct<word, score>> of the kept words, ranked inside the row."""
+    return df.withColumn("ranked", word_ranks(F.col(kept), window, damping, max_rounds, min_diff))
 
 
 def candidate_words(ranked: Column | str, n_keywords: int = C.KEYWORD_COUNT) -> Column:
@@ -168,9 +131,8 @@ def remove_word_filter(keywords: DataFrame, remove: DataFrame | None, word: str
     return attach(keywords, remove.select(F.col(remove.columns[0]).alias(word)).distinct(), word, "left_anti")
 
 
-def keywords(
+def with_keywords(
     df: DataFrame,
-    id_col: str,
     title: str,
     content: str,
     stop_words: DataFrame | list[str] | None = None,
@@ -178,27 +140,30 @@ def keywords(
     n_keywords: int = C.KEYWORD_COUNT,
     window: int = C.KEYWORD_WINDOW,
     banned: list[str] = C.BANNED_SUBSTRINGS,
-    row_limit: int = ROW_LIMIT,
     damping: float = C.DAMPING,
     max_rounds: int = C.MAX_ROUNDS,
     min_diff: float = C.MIN_DIFF,
     out: str = "keywords",
 ) -> DataFrame:
-    """(id, keywords): up to ``n_keywords`` words of the tagged texts, best first, joined by spaces.
+    """``df`` with up to ``n_keywords`` words of the tagged texts, best first, joined by spaces.
 
-    Null without content. Nothing is shuffled: a document stays in its row from scan to result.
+    Null without content. Nothing is shuffled: a document stays in its row from scan to result, whatever its size.
     """
-    limits = {"damping": damping, "max_rounds": max_rounds, "min_diff": min_diff}
-    parts = apart(df.select(id_col, title, content), _chars(title, content), row_limit)
-    words = [p and kept_words(tagged_words(p, id_col, title, content), id_col, stop_words=stop_words) for p in parts]
-    ranked = _ranked(*words, id_col, "kept", window, limits)
+    kept = df.columns
+    words = kept_words(tagged_words(df, title, content), stop_words=stop_words)
+    ranked = textrank_words(words, "kept", window, damping, max_rounds, min_diff)
     candidates = title_boost(candidate_words("ranked", n_keywords), F.col("title_words"))
-    chosen = ranked.select(id_col, F.col("words.word").alias("text"), candidates.alias("candidates"))
-    chosen = chosen.select(id_col, "text", select_distinct_keywords("candidates", n_keywords).alias("chosen"))
-    merged = chosen.select(id_col, "text", _best_first(merge_adjacent(F.col("chosen"), F.col("text"))).alias("merged"))
+    chosen = ranked.select(*kept, F.col("words.word").alias("_text"), candidates.alias("_candidates"))
+    chosen = chosen.select(*kept, "_text", select_distinct_keywords("_candidates", n_keywords).alias("_chosen"))
+    merged = chosen.select(*kept, "_text", _best_first(merge_adjacent(F.col("_chosen"), F.col("_text"))).alias("_merged"))
     if banned:
-        allowed = F.filter("merged", lambda k: ~F.exists(F.array(*map(F.lit, banned)), lambda b: F.contains(k["word"], b)))
-        merged = merged.withColumn("merged", allowed)
-    names = merged.select(id_col, F.col("text").isNotNull().alias("any"), F.array(F.col("merged.word")).alias("names"))
-    left = without_words(names, id_col, "names", remove)
-    return left.select(id_col, F.when(F.col("any"), F.array_join(F.flatten("names"), " ")).alias(out))
+        parts = F.array(*map(F.lit, banned))
+        merged = merged.withColumn("_merged", F.filter("_merged", lambda k: ~F.exists(parts, lambda b: F.contains(k["word"], b))))
+    names = merged.select(*kept, F.col("_text").isNotNull().alias("_any"), F.array(F.col("_merged.word")).alias("_names"))
+    left = without_words(names, "_names", remove)
+    return left.withColumn(out, F.when(F.col("_any"), F.array_join(F.flatten("_names"), " "))).drop("_any", "_names")
+
+
+def keywords(df: DataFrame, id_col: str, title: str, content: str, *args, out: str = "keywords", **options) -> DataFrame:
+    """(id, keywords), one row per row of ``df``; options as for ``with_keywords``."""
+    return with_keywords(df.select(id_col, title, content), title, content, *args, out=out, **options).select(id_col, out)

@@ -60,25 +60,16 @@ def join_hot_apart(
     return salted_rows.join(salted_entries, [*keys, "_salt"], how).drop("_salt")
 
 
-def apart(df: DataFrame, size: Column, limit: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows up to a size and, if there are any, the rows above it."""
-    size = F.coalesce(size, F.lit(0))
-    largest = df.agg(F.max(size)).first()[0]
-    if largest is None or largest <= limit:
-        return df, None
-    return df.where(size <= limit), stage(df.where(size > limit), "large-rows")
-
-
 def drop_words(tokens: DataFrame, words: DataFrame, word: str = "word") -> DataFrame:
     """Token rows whose word is not in the list."""
     return attach(tokens, words.select(F.col(words.columns[0]).alias(word)).distinct(), word, "left_anti")
 
 
-def without_words(df: DataFrame, id_col: str, lists: str, words: DataFrame | list[str] | None) -> DataFrame:
-    """``df`` with the words taken out of an array of token arrays.
+def without_words(df: DataFrame, lists: str, words: DataFrame | list[str] | None) -> DataFrame:
+    """``df`` with the words taken out of an array of token arrays; rows stay as they are, whatever their ids.
 
-    A list of literal size is tested inside the row. A longer one is joined: tokens are exploded, filtered and put
-    back in place, which asks for one row per ``id_col``.
+    A list of measured small size is tested inside the row. A longer one is joined: rows are stored with a number of
+    their own, their tokens are filtered, and put back in place by that number.
     """
     if words is None or (isinstance(words, list) and not words):
         return df
@@ -88,20 +79,20 @@ def without_words(df: DataFrame, id_col: str, lists: str, words: DataFrame | lis
         return df.withColumn(lists, kept if literal else F.col(lists))
     if isinstance(words, list):
         words = df.sparkSession.createDataFrame([(word,) for word in words], "word string")
-    parts = each(df, [id_col], lists, "_part", "_tokens")
-    tokens = each(parts, [id_col, "_part"], "_tokens", "_at", "_word")
-    kept = drop_words(tokens, words, "_word").groupBy(id_col, "_part").agg(
+    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "numbered-rows")
+    parts = each(rows, ["_row"], lists, "_part", "_tokens")
+    tokens = each(parts, ["_row", "_part"], "_tokens", "_at", "_word")
+    kept = drop_words(tokens, words, "_word").groupBy("_row", "_part").agg(
         F.sort_array(F.collect_list(F.struct("_at", "_word"))).alias("_kept")
     )
-    whole = (
-        parts.select(id_col, "_part")
-        .join(kept, [id_col, "_part"], "left")
-        .groupBy(id_col)
-        .agg(F.sort_array(F.collect_list(F.struct("_part", "_kept"))).alias("_parts"))
-    )
+    by_row = kept.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("_part", "_kept"))).alias("_parts"))
     emptied = F.array().cast("array<string>")
-    tokens_of = F.transform("_parts", lambda part: F.coalesce(part["_kept"]["_word"], emptied))
-    return df.drop(lists).join(whole.select(id_col, tokens_of.alias(lists)), id_col, "left")
+
+    def rest(part: Column, at: Column) -> Column:
+        return F.when(part.isNotNull(), F.coalesce(F.try_element_at("_parts", at)["_word"], emptied))
+
+    joined = rows.join(by_row, "_row", "left")
+    return joined.withColumn(lists, F.transform(lists, rest)).select(*df.columns)
 
 
 def _literal_words(words: DataFrame | list[str]) -> list[str] | None:

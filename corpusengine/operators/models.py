@@ -154,8 +154,13 @@ def train_test_split(df: DataFrame, train_share: float = 0.8, seed: int = C.SPLI
 
 
 def train_test_split_by_key(
-    df: DataFrame, key: str, train_percent: int = 80, multiplier: int = C.SPLIT_SEED
+    df: DataFrame, key: str, train_percent: int = 80
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows by an arithmetic of a whole-number key: the same parts on every run and every cluster."""
-    bucket = F.pmod(F.col(key) * multiplier + F.floor(F.col(key) / 100), F.lit(100))
+    """Rows by a hash of a key of any type: the same parts on every run and every cluster.
+
+    The bucket is the number of the first eight hex digits of the MD5 of the key as text, modulo 100. Rows with a null
+    key are for training.
+    """
+    digits = F.substring(F.md5(F.col(key).cast("string")), 1, 8)
+    bucket = F.coalesce(F.conv(digits, 16, 10).cast("long") % 100, F.lit(0))
     return df.where(bucket < train_percent), df.where(bucket >= train_percent)

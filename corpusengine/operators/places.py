@@ -2,35 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, Window as W
+from pyspark.sql import DataFrame, functions as F
 
 from corpusengine import constants as C
 from corpusengine.functions.text import trim_control
+from corpusengine.operators.each import counted
 
 
-def place_count(df: DataFrame, id_col: str, title_places: str, content_places: str) -> DataFrame:
-    """(id, place, n, first_at): space-separated places, those of the title three times when there is content too.
-
-    A document without places has one row, of a null place.
-    """
+def _counted(df: DataFrame, title_places: str, content_places: str) -> DataFrame:
     title, content = trim_control(title_places), trim_control(content_places)
     repeats = F.when(content.isNotNull(), C.TITLE_REPEATS).otherwise(1)
     text = F.concat_ws(" ", F.array_repeat(title, repeats), content)
     places = F.filter(F.split(text, " "), lambda place: place != "")
-    return (
-        df.select(id_col, F.posexplode_outer(places).alias("pos", "place"))
-        .groupBy(id_col, "place")
-        .agg(F.count("*").alias("n"), F.min("pos").alias("first_at"))
+    return counted(df.withColumn("_places", places), "_places", "_counted", "first_at").drop("_places")
+
+
+def place_count(df: DataFrame, id_col: str, title_places: str, content_places: str) -> DataFrame:
+    """(id, place, n, first_at): space-separated places, those of the title three times when there is content too.
+
+    A document without places has one row, of a null place. Places are counted inside the row.
+    """
+    rows = _counted(df, title_places, content_places).select(id_col, F.explode_outer("_counted").alias("_place"))
+    return rows.select(id_col, F.col("_place.item").alias("place"), F.col("_place.n").alias("n"), F.col("_place.first_at").alias("first_at"))
+
+
+def with_region(
+    df: DataFrame, title_places: str, content_places: str, n: int = C.PLACE_COUNT, out: str = "region"
+) -> DataFrame:
+    """``df`` with the ``n`` most frequent places, the earlier first when equal; null without any."""
+    ranked = F.array_sort(
+        F.transform("_counted", lambda p: F.struct((-p["n"]).alias("down"), p["first_at"].alias("at"), p["item"].alias("place")))
     )
+    best = F.array_join(F.transform(F.slice(ranked, 1, n), lambda p: p["place"]), " ")
+    return _counted(df, title_places, content_places).withColumn(out, F.nullif(best, F.lit(""))).drop("_counted")
 
 
 def region(
     df: DataFrame, id_col: str, title_places: str, content_places: str, n: int = C.PLACE_COUNT, out: str = "region"
 ) -> DataFrame:
-    """(id, region): the ``n`` most frequent places, the earlier first when equal; null without any."""
-    counted = place_count(df, id_col, title_places, content_places)
-    best_first = W.partitionBy(id_col).orderBy(F.desc("n"), "first_at")
-    top = counted.withColumn("r", F.row_number().over(best_first)).where(F.col("r") <= n)
-    ordered = F.sort_array(F.collect_list(F.struct("r", "place")))
-    named = F.nullif(F.array_join(F.transform(ordered, lambda e: e["place"]), " "), F.lit(""))
-    return top.groupBy(id_col).agg(named.alias(out))
+    """(id, region), one row per row of ``df``."""
+    return with_region(df, title_places, content_places, n, out).select(id_col, out)

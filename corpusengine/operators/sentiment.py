@@ -46,6 +46,8 @@ def clause_sentiment(
     # Only dictionary words go on, and one row per document, so that none is lost.
     is_anchor = (F.col("clause") == 0) & (F.coalesce("pos", F.lit(0)) == 0)
     known = known.where(F.col("negates").isNotNull() | is_anchor)
+    # Rows of equal ids and texts are one document; the rows stay where the windows below want them.
+    known = known.repartition(id_col, "clause").dropDuplicates([id_col, "clause", "pos"])
 
     before = W.partitionBy(id_col, "clause").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
     is_sentiment = F.col("weight").isNotNull()

@@ -7,29 +7,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusengine import constants as C
 from corpusengine.functions.solve import SCORE_DIGITS, distinct_picks, sentence_ranks
 from corpusengine.functions.text import clean_text, split_sentences, tokens
-from corpusengine.operators import bm25
-from corpusengine.operators.each import each
-from corpusengine.operators.lookup import apart, without_words
-from corpusengine.session import stage
-
-# Longer texts (in characters) and longer sentence lists (in tokens) are ranked by joins, all others inside their row.
-ROW_LIMIT = 4_000_000
+from corpusengine.operators.lookup import without_words
 
 
 def sentence_tokens(
     df: DataFrame,
-    id_col: str,
     text: str,
     stop_words: DataFrame | list[str] | None = None,
     mode: str = "word",
     marks: str = C.SENTENCE_MARKS,
 ) -> DataFrame:
-    """(id, chars, cleaned, sentences, tokens): cleaned text, its sentences and their tokens; none for a null text."""
-    cleaned = df.select(id_col, F.coalesce(F.length(text), F.lit(0)).alias("chars"), clean_text(text).alias("cleaned"))
+    """``df`` with ``cleaned``, ``sentences`` and ``tokens``: cleaned text, its sentences and their tokens; none for a
+    null text.
+    """
     none = F.array().cast("array<string>")
+    cleaned = df.withColumn("cleaned", clean_text(text))
     split = cleaned.withColumn("sentences", F.coalesce(split_sentences("cleaned", marks), none))
     segmented = split.withColumn("tokens", F.transform("sentences", lambda sentence: tokens(sentence, mode)))
-    return without_words(segmented, id_col, "tokens", stop_words)
+    return without_words(segmented, "tokens", stop_words)
 
 
 def sentence_weight_rules(
@@ -57,94 +52,31 @@ def candidate_count(cleaned: Column | str, sentences: Column | str, max_length:
     return F.floor(F.lit(max_length) / F.nullif(mean, F.lit(0))).cast("int")
 
 
-def textrank_sentences(
-    df: DataFrame, id_col: str, tokens_col: str = "tokens", row_limit: int = ROW_LIMIT, **limits
-) -> DataFrame:
-    """``df`` (one row per ``id_col``) with ``scores``: array<double>, one per sentence.
+def textrank_sentences(df: DataFrame, tokens_col: str = "tokens", **limits) -> DataFrame:
+    """``df`` with ``scores``: array<double>, one per sentence, ranked inside the row.
 
-    A column ``chars`` spares a count of the tokens in finding the long documents.
+    Similarities can be negative, so scores can grow without bound, to infinities and what is no number. They are
+    kept; ``redundancy_topk`` says how they are ordered.
     """
-    small, large = apart(df, _extent(df, tokens_col), row_limit)
-    ranked = _scores_in_rows(small, tokens_col, limits)
-    return ranked if large is None else ranked.unionByName(_scores_by_joins(large, id_col, tokens_col, limits))
-
-
-def _scores_in_rows(df: DataFrame, tokens_col: str, limits: dict) -> DataFrame:
     limits = {"damping": C.DAMPING, "max_rounds": C.MAX_ROUNDS, "min_diff": C.MIN_DIFF, **limits}
     return df.withColumn("scores", sentence_ranks(F.col(tokens_col), **limits))
 
 
-def _scores_by_joins(df: DataFrame, id_col: str, tokens_col: str, limits: dict) -> DataFrame:
-    scores = textrank_sentences_by_joins(df, id_col, tokens_col, **limits)
-    lists = _in_order(scores, id_col, "node", F.col("score"), "scores")
-    return df.join(lists, id_col, "left").withColumn("scores", F.coalesce("scores", F.array().cast("array<double>")))
-
-
-def textrank_sentences_by_joins(df: DataFrame, id_col: str, tokens_col: str = "tokens", **limits) -> DataFrame:
-    """(id, node, score), with the sentence-term weights as a table."""
-    posted = stage(bm25.postings(df, id_col, tokens_col), "postings")
-    last = F.size(tokens_col) - 1
-    numbers = each(df, [id_col], F.when(last >= 0, F.sequence(F.lit(0), last)), "node")
-    return bm25.rank_sentences_by_joins(posted, numbers, id_col, **limits)
-
-
 def redundancy_topk(
     df: DataFrame,
-    id_col: str,
     tokens_col: str = "tokens",
     weights: str = "weights",
     size: str = "size",
     threshold: float = C.REDUNDANCY_THRESHOLD,
-    row_limit: int = ROW_LIMIT,
 ) -> DataFrame:
-    """``df`` with ``picks``: array<struct<at, weight>>, sentences in the order taken, near repeats left out."""
-    columns = (id_col, tokens_col, weights, size, threshold)
-    small, large = apart(df, _extent(df, tokens_col), row_limit)
-    picked = _picks_in_rows(small, *columns)
-    return picked if large is None else picked.unionByName(_picks_by_joins(large, *columns))
+    """``df`` with ``picks``: array<struct<at, weight>>, sentences in the order taken, near repeats left out.
 
-
-def _picks_in_rows(df: DataFrame, id_col: str, tokens_col: str, weights: str, size: str, threshold: float) -> DataFrame:
+    Heaviest first and later first when equal; infinities stand where their sign puts them, and a weight that is no
+    number comes after all others.
+    """
     return df.withColumn("picks", distinct_picks(F.col(tokens_col), F.col(weights), F.col(size), threshold))
 
 
-def _picks_by_joins(df: DataFrame, id_col: str, tokens_col: str, weights: str, size: str, threshold: float) -> DataFrame:
-    turns = redundancy_topk_by_joins(df, id_col, tokens_col, weights, size, threshold)
-    lists = _in_order(turns, id_col, "turn", F.struct(F.col("sent").alias("at"), "weight"), "picks")
-    none = F.array().cast("array<struct<at:int,weight:double>>")
-    return df.join(lists, id_col, "left").withColumn("picks", F.coalesce("picks", none))
-
-
-def redundancy_topk_by_joins(
-    df: DataFrame, id_col: str, tokens_col: str, weights: str, size: str, threshold: float = C.REDUNDANCY_THRESHOLD
-) -> DataFrame:
-    """(id, turn, sent, weight). Each turn takes the best open sentence of every document and closes those too similar to it."""
-    posted = stage(bm25.postings(df, id_col, tokens_col), "postings")
-    count = F.size(weights)
-    turns = F.greatest(F.least(F.col(size), count) - 1, F.lit(1))
-    waiting = stage(each(df, [id_col, turns.alias("turns")], weights, "sent", "weight"), "open-sentences")
-    taken: list[DataFrame] = []
-    while not waiting.isEmpty():
-        best = waiting.groupBy(id_col, "turns").agg(F.max(F.struct("weight", "sent")).alias("best"))
-        best = stage(best.select(id_col, F.lit(len(taken)).alias("turn"), "best.sent", "best.weight"), "picks")
-        taken.append(best)
-        chosen = posted.join(best, [id_col, "sent"], "left_semi")
-        alike = (
-            posted.drop("gain")
-            .join(chosen.select(id_col, "term", "gain"), [id_col, "term"])
-            .groupBy(id_col, "sent")
-            .agg(F.sum(F.col("tf") * F.col("gain")).alias("sim"))
-            .where(F.col("sim") >= threshold)
-        )
-        closed = alike.select(id_col, "sent").union(best.select(id_col, "sent"))
-        rest = waiting.where(F.col("turns") > len(taken)).join(closed, [id_col, "sent"], "left_anti")
-        waiting = stage(rest, "open-sentences")
-    result = taken[0]
-    for part in taken[1:]:
-        result = result.unionByName(part)
-    return result
-
-
 def length_budget_pick(ordered: Column | str, max_length: int = C.SUMMARY_LENGTH) -> Column:
     """The entries that fit, in their order: heaviest first, a sentence too long for what is left is passed over.
 
@@ -166,9 +98,8 @@ def length_budget_pick(ordered: Column | str, max_length: int = C.SUMMARY_LENGTH
     return F.sort_array(F.aggregate(finite, start, take, lambda state: state["kept"]))
 
 
-def summary(
+def with_summary(
     df: DataFrame,
-    id_col: str,
     text: str,
     max_length: int = C.SUMMARY_LENGTH,
     stop_words: DataFrame | list[str] | None = None,
@@ -176,27 +107,16 @@ def summary(
     marks: str = C.SENTENCE_MARKS,
     cue_phrases: list[str] = C.CUE_PHRASES,
     threshold: float = C.REDUNDANCY_THRESHOLD,
-    row_limit: int = ROW_LIMIT,
     out: str = "summary",
     **ranking,
 ) -> DataFrame:
-    """(id, summary). Null without text; the cleaned text itself when it has no sentence."""
-    texts = df.select(id_col, F.nullif(text, F.lit("")).alias(text))
-    small, large = apart(texts, F.coalesce(F.length(text), F.lit(0)), row_limit)
-
-    def split(part: DataFrame) -> DataFrame:
-        return sentence_tokens(part, id_col, text, stop_words, mode, marks)
-
-    def weigh(ranked: DataFrame) -> DataFrame:
-        size = F.coalesce(candidate_count("cleaned", "sentences", max_length), F.lit(0))
-        weights = sentence_weight_rules("sentences", "scores", cue_phrases)
-        return ranked.withColumn("weights", weights).withColumn("size", size)
-
-    columns = (id_col, "tokens", "weights", "size", threshold)
-    picked = _picks_in_rows(weigh(_scores_in_rows(split(small), "tokens", ranking)), *columns)
-    if large is not None:
-        by_joins = stage(weigh(_scores_by_joins(split(large), id_col, "tokens", ranking)), "weighed-sentences")
-        picked = picked.unionByName(_picks_by_joins(by_joins, *columns))
+    """``df`` with ``out``: null without text, the cleaned text itself when it has no sentence."""
+    kept = df.columns
+    split = sentence_tokens(df.withColumn("_text", F.nullif(text, F.lit(""))), "_text", stop_words, mode, marks)
+    ranked = textrank_sentences(split, "tokens", **ranking)
+    size = F.coalesce(candidate_count("cleaned", "sentences", max_length), F.lit(0))
+    weights = sentence_weight_rules("sentences", "scores", cue_phrases)
+    picked = redundancy_topk(ranked.withColumn("weights", weights).withColumn("size", size), threshold=threshold)
 
     # Equal sentences share the place of the first of them.
     placed = F.transform(
@@ -208,19 +128,14 @@ def summary(
         ),
     )
     best = F.concat(F.get("sentences", F.get("picks", F.lit(0))["at"]), F.lit(C.FULL_STOP))
-    ordered = picked.select(id_col, "cleaned", best.alias("best"), F.size("picks").alias("n"), F.array_sort(placed).alias("ordered"))
-    kept = F.array_join(length_budget_pick("ordered", max_length)["sentence"], C.FULL_STOP)
-    result = F.when(F.col("n") == 0, F.col("cleaned")).when(F.col("n") > 1, F.coalesce(F.nullif(kept, F.lit("")), "best"))
-    return ordered.select(id_col, result.otherwise(F.col("best")).alias(out))
-
-
-def _extent(df: DataFrame, tokens_col: str) -> Column:
-    if "chars" in df.columns:
-        return F.col("chars")
-    return F.aggregate(tokens_col, F.lit(0), lambda total, sentence: total + F.size(sentence) + 1)
+    ordered = picked.select(
+        *kept, F.col("cleaned").alias("_cleaned"), best.alias("_best"), F.size("picks").alias("_n"), F.array_sort(placed).alias("_ordered")
+    )
+    within = F.array_join(length_budget_pick("_ordered", max_length)["sentence"], C.FULL_STOP)
+    result = F.when(F.col("_n") == 0, F.col("_cleaned")).when(F.col("_n") > 1, F.coalesce(F.nullif(within, F.lit("")), "_best"))
+    return ordered.withColumn(out, result.otherwise(F.col("_best"))).drop("_cleaned", "_best", "_n", "_ordered")
 
 
-def _in_order(rows: DataFrame, id_col: str, position: str, value: Column, out: str) -> DataFrame:
-    """One array per document; its length is the number of sentences of one text."""
-    listed = F.sort_array(F.collect_list(F.struct(F.col(position).alias("at"), value.alias("value"))))
-    return rows.groupBy(id_col).agg(F.transform(listed, lambda entry: entry["value"]).alias(out))
+def summary(df: DataFrame, id_col: str, text: str, *args, out: str = "summary", **options) -> DataFrame:
+    """(id, summary), one row per row of ``df``; options as for ``with_summary``."""
+    return with_summary(df.select(id_col, text), text, *args, out=out, **options).select(id_col, out)

@@ -153,8 +153,7 @@ def _enrichment_input(spark, sf) -> DataFrame:
         df.select(
             "doc_id", "lang", "source", "title", "text", origin_line().alias("origin"),
             tagged("title").alias("tagged_title"), tagged(content).alias("tagged_text"),
-            F.when(F.col("lang") != "fr", F.col("title")).alias("title_places"),
-            F.when(F.col("lang") != "de", content).alias("text_places"),
+            F.col("title").alias("title_places"), content.alias("text_places"),
         ),
         "enrichment-input",
     )

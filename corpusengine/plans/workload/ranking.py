@@ -47,8 +47,8 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, word ORDER BY round DESC) = 1"""
 
 
 def _kept(spark, sf):
-    words = K.tagged_words(tagged_articles(spark, sf), "doc_id", "title", "content")
-    return K.kept_words(words, "doc_id", stop_words=stop_words(spark, sf))
+    words = K.tagged_words(tagged_articles(spark, sf), "title", "content")
+    return K.kept_words(words, stop_words=stop_words(spark, sf))
 
 
 def _words(df, column):
@@ -62,7 +62,7 @@ def sliding_cooccurrence(spark, sf):
 
 @query("textrank_words", WORD_RANK_SQL)
 def textrank_words(spark, sf):
-    return _words(K.textrank_words(_kept(spark, sf), "doc_id"), "ranked")
+    return _words(K.textrank_words(_kept(spark, sf)), "ranked")
 
 
 CANDIDATES_SQL = f"""
@@ -72,7 +72,7 @@ QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, word) <= 20"
 
 @query("candidate_words", CANDIDATES_SQL)
 def candidate_words(spark, sf):
-    return _words(K.textrank_words(_kept(spark, sf), "doc_id"), K.candidate_words("ranked"))
+    return _words(K.textrank_words(_kept(spark, sf)), K.candidate_words("ranked"))
 
 
 BOOSTED_SQL = f"""
@@ -82,7 +82,7 @@ FROM ({CANDIDATES_SQL}) c LEFT JOIN (SELECT DISTINCT doc_id, word FROM ({TAGGED_
 
 
 def _boosted(spark, sf):
-    ranked = K.textrank_words(_kept(spark, sf), "doc_id")
+    ranked = K.textrank_words(_kept(spark, sf))
     boosted = K.title_boost(K.candidate_words("ranked"), F.col("title_words"))
     return ranked.select("doc_id", F.col("words.word").alias("text"), boosted.alias("boosted"))
 
@@ -123,7 +123,7 @@ FROM (SELECT word, lead(word) OVER (PARTITION BY doc_id ORDER BY pos) AS after F
 WHERE after IS NOT NULL GROUP BY word, after""",
 )
 def adjacent_pairs(spark, sf):
-    words = K.tagged_words(tagged_articles(spark, sf), "doc_id", "title", "content")
+    words = K.tagged_words(tagged_articles(spark, sf), "title", "content")
     pairs = each(words, [], K.adjacent_pairs(F.col("words.word")), "pair")
     return pairs.groupBy(F.col("pair.left").alias("word"), F.col("pair.right").alias("after")).agg(F.count("*").alias("n"))
 
@@ -172,7 +172,7 @@ CUES = ["the th", "des "]
 
 
 def _sentences(spark, sf):
-    return S.sentence_tokens(documents(spark, sf), "doc_id", "text", stop_words(spark, sf), marks=SENTENCE_MARKS)
+    return S.sentence_tokens(documents(spark, sf), "text", stop_words(spark, sf), marks=SENTENCE_MARKS)
 
 
 @query(
@@ -187,9 +187,6 @@ def sentence_weight_rules(spark, sf):
     return each(_sentences(spark, sf), ["doc_id"], weighed, "sent", "weight")
 
 
-SENTENCE_ROUNDS = 3
-
-
 def _sentence_rank_sql(postings: str, sentences: str, key: str, rounds: str) -> str:
     """Ranks over the full similarity table, by pairs of sentences."""
     return f"""
@@ -217,12 +214,17 @@ QUALIFY row_number() OVER (PARTITION BY {key}, sent ORDER BY round DESC) = 1"""
 
 @query(
     "textrank_sentences",
-    f"SELECT doc_id, sent, floor(score * 10000 + 0.5) / 10000 AS score FROM ({_sentence_rank_sql(POSTINGS_SQL, SENTENCES_SQL, 'doc_id', SENTENCE_ROUNDS)})",
+    f"""SELECT doc_id, sent, power, floor(score / 10.0::double ** power * 10000 + 0.5) / 10000 AS score
+FROM (SELECT *, CASE WHEN score = 0 THEN 0 ELSE floor(log10(abs(score)))::int END AS power
+  FROM ({_sentence_rank_sql(POSTINGS_SQL, SENTENCES_SQL, 'doc_id', '200')}))""",
 )
 def textrank_sentences(spark, sf):
-    ranked = S.textrank_sentences(_sentences(spark, sf), "doc_id", max_rounds=SENTENCE_ROUNDS)
+    """Ranks to convergence, as five digits and a power of ten: they can grow without bound."""
+    ranked = S.textrank_sentences(_sentences(spark, sf))
     scores = each(ranked, ["doc_id"], "scores", "sent", "score")
-    return scores.withColumn("score", F.floor(F.col("score") * 10000 + 0.5) / 10000)
+    power = F.when(F.col("score") == 0, 0).otherwise(F.floor(F.log10(F.abs("score")))).cast("int")
+    digits = F.floor(F.col("score") / F.pow(F.lit(10.0), F.col("power")) * 10000 + 0.5) / 10000
+    return scores.withColumn("power", power).withColumn("score", digits)
 
 
 def _picks_sql(weights: str, limit: int) -> str:
@@ -259,7 +261,7 @@ def redundancy_topk(spark, sf):
     weights = F.transform("sentences", lambda s: F.length(s).cast("double"))
     size = F.coalesce(S.candidate_count("cleaned", "sentences", 600), F.lit(0))
     weighed = _sentences(spark, sf).withColumn("weights", weights).withColumn("size", size)
-    picks = each(S.redundancy_topk(weighed, "doc_id"), ["doc_id"], "picks", "turn", "pick")
+    picks = each(S.redundancy_topk(weighed), ["doc_id"], "picks", "turn", "pick")
     return picks.select("doc_id", "turn", F.col("pick.at").alias("sent"), "pick.weight")
 
 
@@ -281,7 +283,7 @@ def length_budget_pick(spark, sf):
         lambda s, at: F.struct(at.alias("place"), s.alias("sentence"), (F.length(s) * 7 % 11).cast("double").alias("weight")),
     )
     kept = S.length_budget_pick(entries)
-    split = S.sentence_tokens(documents(spark, sf), "doc_id", "text", marks=SENTENCE_MARKS)
+    split = S.sentence_tokens(documents(spark, sf), "text", marks=SENTENCE_MARKS)
     return each(split, ["doc_id"], kept, "entry").select("doc_id", F.col("entry.at").alias("sent"))
 
 

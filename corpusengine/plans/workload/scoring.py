@@ -158,7 +158,7 @@ def vote_labels_ranked(spark, sf):
 
 @query("brand_contains", f"SELECT doc_id, {BRAND_SQL} AS has_brand FROM documents")
 def brands(spark, sf):
-    return brand_contains(documents(spark, sf), "doc_id", "text", values(spark, "brand string", *BRANDS)).drop("text")
+    return brand_contains(documents(spark, sf), "text", values(spark, "brand string", *BRANDS)).drop("text")
 
 
 @query(
@@ -174,7 +174,7 @@ FROM documents d LEFT JOIN firsts f USING (doc_id) LEFT JOIN kept k
 GROUP BY d.doc_id""",
 )
 def label_vote_rules(spark, sf):
-    df = brand_contains(documents(spark, sf, "text", "n_chars"), "doc_id", "text", values(spark, "brand string", *BRANDS))
+    df = brand_contains(documents(spark, sf, "text", "n_chars"), "text", values(spark, "brand string", *BRANDS))
     ranked = votes.vote_labels_ranked(_predictions(), F.array(*map(F.lit, LABELS)))
     return df.select("doc_id", votes.label_vote_rules(ranked, F.col("has_brand")).alias("docClass"))
 
@@ -182,11 +182,11 @@ def label_vote_rules(spark, sf):
 @query(
     "label_index",
     """WITH classes AS (
-  SELECT source, row_number() OVER (ORDER BY count(*) DESC, source) - 1 AS i FROM documents WHERE lang <> 'es' GROUP BY source)
-SELECT doc_id, source, i::double AS "indexedClass" FROM documents JOIN classes USING (source) WHERE lang <> 'es'""",
+  SELECT source, row_number() OVER (ORDER BY count(*) DESC, source) - 1 AS i FROM documents GROUP BY source)
+SELECT doc_id, source, i::double AS "indexedClass" FROM documents JOIN classes USING (source)""",
 )
 def label_index(spark, sf):
-    df = documents(spark, sf, "source", "lang").where(F.col("lang") != "es").drop("lang")
+    df = documents(spark, sf, "source")
     return models.train_label_index(df, "source").transform(df)
 
 
@@ -211,15 +211,13 @@ SELECT doc_id, place, count(*) AS n, min(pos) - 1 AS first_at FROM (
   SELECT doc_id, unnest(l) AS place, generate_subscripts(l, 1) AS pos FROM (
     SELECT doc_id, list_filter(string_split(CASE WHEN t IS NULL THEN c WHEN c IS NULL THEN t
       ELSE t || ' ' || t || ' ' || t || ' ' || c END, ' '), lambda x: x <> '') AS l
-    FROM (SELECT doc_id, CASE WHEN lang <> 'fr' THEN trim(title, E' \\n') END AS t,
-            CASE WHEN lang <> 'de' AND content <> '' THEN trim(content, E' \\n') END AS c FROM ({ARTICLES_SQL}))))
+    FROM (SELECT doc_id, trim(title, E' \\n') AS t,
+            CASE WHEN content <> '' THEN trim(content, E' \\n') END AS c FROM ({ARTICLES_SQL}))))
 GROUP BY doc_id, place"""
 
 
 def _places(spark, sf):
-    df = articles(spark, sf, "lang")
-    content = F.when((F.col("lang") != "de") & (F.col("content") != ""), F.col("content"))
-    return df.select("doc_id", F.when(F.col("lang") != "fr", F.col("title")).alias("t"), content.alias("c"))
+    return articles(spark, sf).select("doc_id", F.col("title").alias("t"), F.nullif("content", F.lit("")).alias("c"))
 
 
 @query("place_count", PLACES_SQL)
@@ -308,8 +306,10 @@ def clause_sentiment(spark, sf):
 SHARES_SQL = f"""
 SELECT doc_id, coalesce(sum(score) FILTER (score >= 0), 0) AS pos, coalesce(-sum(score) FILTER (score < 0), 0) AS neg
 FROM ({SENTIMENT_SQL}) GROUP BY doc_id"""
-PERCENT_SQL = f"""SELECT doc_id, CASE WHEN pos + neg = 0 THEN 0.5 ELSE floor(pos / (pos + neg) * 100 + 0.5) / 100 END AS positive,
-  CASE WHEN pos + neg = 0 THEN 0.5 ELSE floor(neg / (pos + neg) * 100 + 0.5) / 100 END AS negative FROM ({SHARES_SQL})"""
+# Two decimals of a share by its exact value: DuckDB casts a double to a decimal from its digits, so by whole numbers.
+ROUNDED_SQL = "((trunc(({0}) * 1152921504606846976.0::double)::hugeint * 100 + 576460752303423488) // 1152921504606846976)::double / 100"
+PERCENT_SQL = f"""SELECT doc_id, CASE WHEN pos + neg = 0 THEN 0.5 ELSE {ROUNDED_SQL.format("pos / (pos + neg)")} END AS positive,
+  CASE WHEN pos + neg = 0 THEN 0.5 ELSE {ROUNDED_SQL.format("neg / (pos + neg)")} END AS negative FROM ({SHARES_SQL})"""
 
 
 @query("sentiment_percent", PERCENT_SQL)
@@ -339,7 +339,7 @@ FROM (
 
 
 def _sentences(spark, sf):
-    return sentence_tokens(documents(spark, sf), "doc_id", "text", stop_words(spark, sf), marks=SENTENCE_MARKS)
+    return sentence_tokens(documents(spark, sf), "text", stop_words(spark, sf), marks=SENTENCE_MARKS)
 
 
 @query(

@@ -73,7 +73,7 @@ def tokenize_word(spark, sf):
 
 @query("parse_tagged", f"SELECT doc_id, word, tag, count(*) AS n FROM ({TAGGED_WORDS_SQL}) GROUP BY ALL")
 def parse_tagged(spark, sf):
-    words = tagged_words(tagged_articles(spark, sf), "doc_id", "title", "content")
+    words = tagged_words(tagged_articles(spark, sf), "title", "content")
     pairs = each(words, ["doc_id"], "words", "w").select("doc_id", "w.word", "w.tag")
     return pairs.groupBy("doc_id", "word", "tag").agg(F.count("*").alias("n"))
 
@@ -94,8 +94,8 @@ WHERE tag IN ('n', 'v') AND length(word) > 1 AND word NOT IN (SELECT word FROM (
 
 @query("keyword_pos_filter", KEPT_WORDS_SQL)
 def keyword_pos_filter(spark, sf):
-    words = tagged_words(tagged_articles(spark, sf), "doc_id", "title", "content")
-    kept = kept_words(words, "doc_id", stop_words=stop_words(spark, sf))
+    words = tagged_words(tagged_articles(spark, sf), "title", "content")
+    kept = kept_words(words, stop_words=stop_words(spark, sf))
     return each(kept, ["doc_id"], "kept", "pos", "word")
 
 
@@ -167,18 +167,25 @@ WHERE term NOT IN (SELECT word FROM ({STOP_WORDS_SQL}))"""
 
 @query("tokenize_sentence", f"SELECT doc_id, sent, pos, term FROM ({SENTENCE_TOKENS_SQL})")
 def tokenize_sentence(spark, sf):
-    split = sentence_tokens(documents(spark, sf), "doc_id", "text", stop_words(spark, sf), marks=SENTENCE_MARKS)
+    split = sentence_tokens(documents(spark, sf), "text", stop_words(spark, sf), marks=SENTENCE_MARKS)
     sentences = each(split, ["doc_id"], "tokens", "sent", "tokens")
     return each(sentences, ["doc_id", "sent"], "tokens", "pos", "term")
 
 
 @query(
     "round_half_up_2",
-    "SELECT doc_id, floor(ratio * 100 + 0.5) / 100 AS rounded FROM (SELECT doc_id, (doc_id % 1000) / (n_chars + 1.0::double) AS ratio FROM documents)",
+    """SELECT doc_id, share, ((trunc(share * 1152921504606846976.0::double)::hugeint * 100 + 576460752303423488) // 1152921504606846976)::double / 100 AS rounded
+FROM (SELECT doc_id, unnest([doc_id % 41 / 40.0::double, doc_id % 201 / 200.0::double,
+  doc_id % 1000 / (doc_id % 1000 + n_chars + 1.0::double)]) AS share FROM documents)""",
 )
 def round_half_up_2(spark, sf):
-    ratio = F.col("doc_id") % 1000 / (F.col("n_chars") + F.lit(1.0))
-    return documents(spark, sf, "n_chars").select("doc_id", T.round_half_up_2(ratio).alias("rounded"))
+    """Shares with exact ties and near ones among them."""
+    thousandth = F.col("doc_id") % 1000
+    shares = F.array(
+        F.col("doc_id") % 41 / F.lit(40.0), F.col("doc_id") % 201 / F.lit(200.0), thousandth / (thousandth + F.col("n_chars") + F.lit(1.0))
+    )
+    rows = documents(spark, sf, "n_chars").select("doc_id", F.explode(shares).alias("share"))
+    return rows.withColumn("rounded", T.round_half_up_2(F.col("share")))
 
 
 ORIGIN_SQL = """SELECT doc_id, CASE WHEN list_contains(string_split_regex(trim(regexp_replace(named, '^[^\\n]*?[:：][ ]*', '')), '[-－]'), source)
@@ -296,7 +303,7 @@ def remove_filter(spark, sf):
     return kept.groupBy("token").agg(F.count("*").alias("n"))
 
 
-@query("train_test_split", "SELECT doc_id, (doc_id * 1231 + doc_id // 100) % 100 < 80 AS in_train FROM documents")
+@query("train_test_split", "SELECT doc_id, ('0x' || left(md5(doc_id::varchar), 8))::bigint % 100 < 80 AS in_train FROM documents")
 def split(spark, sf):
     train, test = train_test_split_by_key(documents(spark, sf, "lang").drop("lang"), "doc_id")
     return train.withColumn("in_train", F.lit(True)).unionByName(test.withColumn("in_train", F.lit(False)))

@@ -1,3 +1,5 @@
+from decimal import ROUND_HALF_UP, Decimal
+
 from pyspark.sql import functions as F
 
 from corpusengine.functions import text as T
@@ -54,6 +56,13 @@ def test_clean_and_split(spark):
     assert values(spark, T.contains_cjk("t"), t="a龥") and not values(spark, T.contains_cjk("t"), t="abc")
 
 
+def test_round_half_up_is_exact(spark):
+    shares = sorted({a / b for b in (7, 40, 200, 1000, 4096) for a in range(b + 1)} | {0.075, 0.175, 0.425, 0.475, 0.0049999, 0.005})
+    rows = spark.createDataFrame([(x,) for x in shares], "x double").select("x", T.round_half_up_2(F.col("x")).alias("y")).collect()
+    exact = {x: float(Decimal(x).quantize(Decimal("0.01"), ROUND_HALF_UP)) for x in shares}
+    assert {r.x: r.y for r in rows} == exact
+
+
 def test_round_half_up(spark):
     for given, expected in [("0.285", 0.28), ("0.125", 0.13), ("0.6666", 0.67)]:
         assert values(spark, T.round_half_up_2(F.col("t").cast("double")), t=given) == expected
