@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Tokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from corpusengine.functions.votes import majority_vote
 from corpusengine.operators import models
+from corpusengine.operators.each import each
+from corpusengine.operators.lookup import attach
 from corpusengine.plans import classify as plan
 from corpusengine.plans.enrich import Columns, Dictionaries, enrich as enrich_plan
 from corpusengine.plans.workload.registry import (
@@ -50,25 +53,48 @@ def _vectors(spark, sf) -> DataFrame:
     )
 
 
-@query("word2vec")
+def _mean_gap(applied: DataFrame, model: PipelineModel, keys: list[str]) -> DataFrame:
+    """(keys, tokens, gap): the largest difference of ``wordVec`` from the mean of the model's vectors of the words.
+
+    A word the model doesn't know counts as a zero vector.
+    """
+    rows = stage(applied.select(*keys, "words", vector_to_array("wordVec").alias("found")).withColumn("row", F.monotonically_increasing_id()), "word-vectors")
+    words = each(rows, ["row"], "words", "word")
+    vectors = attach(words, model.stages[-1].getVectors(), "word")
+    total = vectors.groupBy("row").agg(vector_to_array(Summarizer.sum(F.col("vector"))).alias("total"))
+    size = F.size("words")
+    expected = F.coalesce("total", F.array_repeat(F.lit(0.0), F.size("found")))
+    gaps = F.zip_with("found", expected, lambda x, y: F.abs(x - F.coalesce(y / F.nullif(size, F.lit(0)), F.lit(0.0))))
+    rows = rows.join(total, "row", "left")
+    return rows.select(*keys, size.cast("long").alias("tokens"), F.round(F.array_max(gaps), 6).alias("gap"))
+
+
+SPACE_TOKENS_SQL = "len(list_filter(string_split(lower(text), ' '), lambda x: x <> ''))"
+
+
+@query("word2vec", f"SELECT doc_id, {SPACE_TOKENS_SQL} AS tokens, 0.0::double AS gap FROM documents")
 def word2vec(spark, sf):
-    """Fit on the training part, store, load, apply to all."""
+    """Fit on the training part, store, load, apply to all; a text's vector is the mean of its words'."""
     path = scratch_path(spark, "word2vec")
     df = documents(spark, sf)
     train, _ = _split(df)
     models.train_word2vec(train, "text", size=VECTOR_SIZE, path=path, maxIter=1, numPartitions=8)
-    applied = models.apply_word2vec(df, path)
-    return applied.select("doc_id", F.size("words").cast("long").alias("tokens"), F.size(vector_to_array("wordVec")).alias("size"))
+    return _mean_gap(models.apply_word2vec(df, path), PipelineModel.load(path), ["doc_id"])
 
 
-@query("word2vec_fit_transform")
+@query(
+    "word2vec_fit_transform",
+    f"""SELECT conv_id, turn, ('0x' || left(md5(conv_id::varchar), 8))::bigint % 100 < 80 AS in_train,
+  {SPACE_TOKENS_SQL} AS tokens, 0.0::double AS gap FROM conversations""",
+)
 def word2vec_fit_transform(spark, sf):
     """Short texts: both parts with their vectors, from one model."""
     talk = scan_parquet(spark, f"{sf}/conversations.parquet", spread_by="conv_id")
     train, test = models.train_test_split_by_key(talk, "conv_id")
-    parts = models.word2vec_fit_transform(train, test, "text", size=VECTOR_SIZE, maxIter=1)
+    path = scratch_path(spark, "word2vec")
+    parts = models.word2vec_fit_transform(train, test, "text", path=path, size=VECTOR_SIZE, maxIter=1, numPartitions=8)
     rows = [part.withColumn("in_train", F.lit(i == 0)) for i, part in enumerate(parts)]
-    return rows[0].unionByName(rows[1]).select("conv_id", "turn", "in_train", F.size(vector_to_array("wordVec")).alias("size"))
+    return _mean_gap(rows[0].unionByName(rows[1]), PipelineModel.load(path), ["conv_id", "turn", "in_train"])
 
 
 @query("mlp_ensemble")
@@ -91,12 +117,31 @@ def mlp_fit_predict(spark, sf):
     return models.apply_mlp(test, path).select("vec_id", "label", "prediction")
 
 
-@query("hashing_tfidf")
+@query(
+    "hashing_tfidf",
+    r"""SELECT doc_id, tokens, tokens::double AS tf, 0.0::double AS gap
+FROM (SELECT doc_id, len(string_split_regex(regexp_replace(lower(text), '\s+$', ''), '\s')) AS tokens FROM documents)""",
+)
 def hashing_tfidf(spark, sf):
+    """Hashed counts add up to the tokens, and each weight is the count times ln((N + 1) / (df + 1)) of its bucket."""
     df = documents(spark, sf)
     pipeline = Pipeline(stages=[Tokenizer(inputCol="text", outputCol="words"), *models.hashing_tfidf()])
-    weights = pipeline.fit(df).transform(df)
-    return weights.select("doc_id", F.size("words").cast("long").alias("tokens"), F.col("tfidf").cast("string").alias("tfidf"))
+
+    def entries(vector: str, name: str) -> list:
+        lists = [F.regexp_extract(F.col(vector).cast("string"), r"\[(.*)\],\[(.*)\]", k) for k in (1, 2)]
+        return [F.transform(F.split(x, ","), lambda v: v.try_cast(kind)).alias(f"{name}_{kind}") for x, kind in zip(lists, ("long", "double"))]
+
+    found = pipeline.fit(df).transform(df)
+    rows = stage(
+        found.select("doc_id", F.size("words").cast("long").alias("tokens"), *entries("tf", "tf"), *entries("tfidf", "weight")), "hashed"
+    )
+    weights = each(rows, ["doc_id", "tokens"], F.arrays_zip("tf_long", "tf_double", "weight_long", "weight_double"), "w").select("doc_id", "tokens", "w.*")
+    spread = weights.groupBy("tf_long").agg(F.count("*").alias("df"))
+    n = rows.agg(F.count("*")).scalar()
+    off = F.abs(F.col("weight_double") - F.col("tf_double") * F.log((n + 1) / (F.col("df") + 1)))
+    same = F.when(F.col("tf_long") == F.col("weight_long"), off).otherwise(F.lit(float("inf")))
+    checked = attach(weights, spread, "tf_long").groupBy("doc_id", "tokens")
+    return checked.agg(F.sum("tf_double").alias("tf"), F.round(F.max(same), 6).alias("gap"))
 
 
 @query("naive_bayes")
@@ -145,6 +190,28 @@ def classify_text(spark, sf):
     return classified.select("doc_id", "lang", *predictions, "docClass")
 
 
+@query(
+    "classify_stored",
+    """SELECT doc_id, lang, true AS known, true AS same FROM documents
+WHERE ('0x' || left(md5(doc_id::varchar), 8))::bigint % 100 >= 80""",
+)
+def classify_stored(spark, sf):
+    """Label index, vectors and members saved, loaded and applied: the same classes as before they were stored."""
+    train, test = _split(documents(spark, sf, "text", "lang"))
+    classifier, path = _classifier(train), scratch_path(spark, "classifier")
+    classifier.save(path)
+    stored = plan.Classifier.load(spark, path, len(HIDDEN_LAYERS))
+    brands = values(spark, "brand string", *BRANDS)
+    ours, theirs = (
+        plan.classify_text(test, "doc_id", c, brands, words_col="text", out=out, **RULES).select("doc_id", "lang", out)
+        for c, out in ((classifier, "docClass"), (stored, "storedClass"))
+    )
+    labels = F.array(*map(F.lit, stored.indexer.labels))
+    known = F.size(F.array_except(F.split("storedClass", " "), labels)) == 0
+    joined = ours.join(theirs.drop("lang"), "doc_id")
+    return joined.select("doc_id", "lang", known.alias("known"), (F.col("docClass") == F.col("storedClass")).alias("same"))
+
+
 def _enrichment_input(spark, sf) -> DataFrame:
     """The documents in the shape of tagged and raw news articles."""
     df = articles(spark, sf, "lang", "source", "text")

@@ -309,6 +309,17 @@ def split(spark, sf):
     return train.withColumn("in_train", F.lit(True)).unionByName(test.withColumn("in_train", F.lit(False)))
 
 
+@query(
+    "train_test_split_text",
+    "SELECT 'doc-' || doc_id AS name, ('0x' || left(md5('doc-' || doc_id), 8))::bigint % 100 < 80 AS in_train FROM documents",
+)
+def split_text(spark, sf):
+    """By a key that is no number."""
+    named = documents(spark, sf, "lang").select(F.concat(F.lit("doc-"), "doc_id").alias("name"))
+    train, test = train_test_split_by_key(named, "name")
+    return train.withColumn("in_train", F.lit(True)).unionByName(test.withColumn("in_train", F.lit(False)))
+
+
 @query(
     "distinct_counts",
     """SELECT (SELECT count(DISTINCT doc_id) FROM documents) AS ids, count(*) AS tokens, count(DISTINCT word) AS words

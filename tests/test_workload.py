@@ -14,7 +14,7 @@ from corpusengine.plans.workload import ORACLES, QUERIES
 from corpusengine.plans.workload.learning import _enriched, _enrichment_input
 
 TABLES = "documents embeddings pages benchmark labels conversations".split()
-LEARNED = ["word2vec", "word2vec_fit_transform", "mlp_ensemble", "mlp_fit_predict", "hashing_tfidf", "naive_bayes", "svm"]
+LEARNED = ["mlp_ensemble", "mlp_fit_predict", "naive_bayes", "svm"]
 
 
 @pytest.fixture(scope="module")
