@@ -24,14 +24,14 @@ from corpusengine.llm.registry import documents, query
 from corpusengine.session import stage
 
 DEPTH = 6
-KEPT = 32_768
+KEPT = 16_384
 # Words whose counts every task gets, the most frequent ones, at most. All others are joined.
 SHARED_WORDS = 1 << 20
 END = b"\n"
 # Bytes or words that a task holds before it adds up what is equal.
 CHUNK = 4 << 20
 # Contexts worked on at once while the tree is built.
-BLOCK = 4096
+BLOCK = 2048
 WORD, RUN = 0, 1
 
 _ONE = {n: np.arange(256) >> (7 - n) & 1 for n in range(8)}
@@ -210,7 +210,8 @@ class Level:
         self.extended = np.zeros(self.size, bool)
         # What of the counts is left to extensions that are not kept.
         self.rest = self.n.astype(np.float64)
-        self.weights = np.ones((self.size, 255), np.float32)
+        # Any weights between 0 and 1 mix to probabilities that add up to one, so few digits do.
+        self.weights = np.ones((self.size, 255), np.float16)
         if shorter is not None and self.size:
             shorter.extended[np.unique(self.parents)] = True
             key = shorter.row * 256 + shorter.byte
