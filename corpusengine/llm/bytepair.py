@@ -233,8 +233,8 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: list[str], digest: bo
 def decode(encoded: DataFrame, path: str, keep: list[str]) -> DataFrame:
     """``keep`` and the bytes that the column ``ids`` stands for, as ``decoded``; null ids are null."""
     shared = _shared(encoded.sparkSession, path)
-    columns = encoded.select(*keep, "ids")
-    kinds = ", ".join(f"`{c}` {t}" for c, t in columns.dtypes if c != "ids")
+    columns = encoded.select(*dict.fromkeys([*keep, "ids"]))
+    kinds = ", ".join(f"`{c}` {dict(columns.dtypes)[c]}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = shared.value["tokens"]
