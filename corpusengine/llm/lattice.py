@@ -224,10 +224,11 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, key: str = "vec_id",
     nodes = stage(nodes.select("digest", "least", "copies", F.col("least.row").alias("node"), "what.*"), "vectors")
 
     shared = meetings(nodes)
-    links = compared(blocks(shared), nodes, cosine)
+    links = compared(blocks(shared).drop("component"), nodes, cosine)
     groups = components(links)
     if shared.where(F.col("size") > BLOCK).limit(1).count():
-        links = links.unionByName(compared(outsiders(shared, groups), nodes, cosine))
+        large = shared.where(F.col("size") > BLOCK)
+        links = links.unionByName(compared(outsiders(large, groups).drop("component"), nodes, cosine))
         groups = components(links)
 
     groups = stage(groups.withColumnRenamed("id", "node"), "groups")

@@ -7,9 +7,10 @@
    quarter of the different minima whose bits are equal by chance. Only those that may reach the similarity stay.
 4. Their whole sets are made again from the texts and compared. A bucket's links are passed on as a spanning forest.
 
-Large buckets are cut into blocks, each compared within itself and with the bucket's first class. All documents that
-this joins need no further comparison. Those left outside of a bucket's largest group are then compared with every
-block of the bucket, so no link is lost, and no task ever holds more than a few hundred documents.
+A quarter of the bands comes first and joins most of what is alike. Large buckets are cut into blocks for that, each
+compared within itself and with the bucket's first class. Classes that are joined need no further comparison. Of the
+other bands, and of large buckets, only those outside of a bucket's largest group are then compared with every block
+of the bucket, so no link is lost, and no task ever holds more than a few hundred documents.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusengine.llm.graph import components
 from corpusengine.llm.registry import documents, query
 from corpusengine.llm.shingles import mixed, shingles
-from corpusengine.operators.lookup import attach
+from corpusengine.operators.lookup import attach, is_small
 from corpusengine.session import stage
 
 MINIMA = 192
@@ -37,6 +38,8 @@ OUTSIDERS = 128
 MISSED = 1e-6
 DEVIATIONS = 5
 SHARED_COLUMNS = 8192
+# The share of the bands that comes first.
+FIRST_BANDS = 0.25
 
 
 def banding(similarity: float) -> tuple[int, int]:
@@ -177,6 +180,8 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("id"), *made], ["id", "digest", "shingles"])
 
     ids = wanted.select(F.col("id").alias("_id")).distinct()
+    ids = stage(ids, "asked")
+    ids = F.broadcast(ids) if is_small(ids) else ids
     asked = docs.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
     made = asked.mapInArrow(run, "id long, digest string, shingles array<long>").alias("m")
     wanted = wanted.select("node", F.col("id").alias("_id"), F.col("digest").alias("_digest"))
@@ -185,41 +190,46 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def compared(tasks: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """(a, b): links between the nodes of each task, as a spanning forest; ``tasks`` has (task, node)."""
+    """(a, b): links between the nodes of each task, as a spanning forest.
+
+    ``tasks`` has (task, node, component); nodes of the same component are not compared.
+    """
     share = round(similarity * 100)
 
+    def apart(components: list) -> np.ndarray:
+        names = np.array([c.as_py() for c in components])
+        return names[:, None] != names
+
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for task, (found, sketches) in by_task(batches, "node", "sketch"):
-            near = may_reach([sketch.as_py() for sketch in sketches], similarity)
+        for task, (found, groups, sketches) in by_task(batches, "node", "component", "sketch"):
+            near = may_reach([sketch.as_py() for sketch in sketches], similarity) & apart(groups)
             stays = np.flatnonzero(near.any(0) | near.any(1)).tolist()
             if stays:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([task] * len(stays), pa.int64()), pa.array([found[i].as_py() for i in stays], pa.int64())],
-                    ["task", "node"],
-                )
+                columns = [[task] * len(stays), *([c[i].as_py() for i in stays] for c in (found, groups))]
+                made = [pa.array(c, pa.int64()) for c in columns]
+                yield pa.RecordBatch.from_arrays(made, ["task", "node", "component"])
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (found, lists) in by_task(batches, "node", "shingles"):
+        for _, (found, groups, lists) in by_task(batches, "node", "component", "shingles"):
             sets = [one.values.to_numpy(zero_copy_only=False) for one in lists]
             sizes = np.array([len(s) for s in sets])
             both = intersections(sets)
-            linked = 100 * both >= share * (sizes[:, None] + sizes - both)
-            np.fill_diagonal(linked, False)
+            linked = (100 * both >= share * (sizes[:, None] + sizes - both)) & apart(groups)
             links = [(found[i].as_py(), found[j].as_py()) for i, j in forest(linked)]
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], ["a", "b"])
 
-    rows = tasks.distinct().join(nodes.select("node", "sketch"), "node")
-    near = rows.repartition("task").sortWithinPartitions("task").mapInArrow(estimate, "task long, node long")
+    rows = tasks.join(nodes.select("node", "sketch"), "node")
+    near = rows.repartition("task").sortWithinPartitions("task").mapInArrow(estimate, "task long, node long, component long")
     near = stage(near, "near")
     sets = whole_sets(docs, near.select("node").distinct().join(nodes.select("node", "id", "digest"), "node"), width)
     rows = near.join(sets, "node").repartition("task").sortWithinPartitions("task")
     return stage(rows.mapInArrow(confirm, "a long, b long"), "confirmed")
 
 
-def buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, node, size, first) of the classes that share a band key, each set of classes once; stored."""
-    members = nodes.select("node", F.explode("bands").alias("bucket"))
+def buckets(nodes: DataFrame, first: int, count: int) -> DataFrame:
+    """(bucket, node, size, first) of the classes that share a key of some bands, each set of classes once; stored."""
+    members = nodes.select("node", F.explode(F.slice("bands", 1 + first, count)).alias("bucket"))
     who = F.sum(F.xxhash64("node") % (1 << 40))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size"), who.alias("who"), F.min("node").alias("first"))
     once = sizes.where("size > 1").groupBy("size", "who", "first").agg(F.min("bucket").alias("bucket")).drop("who")
@@ -227,19 +237,19 @@ def buckets(nodes: DataFrame) -> DataFrame:
 
 
 def blocks(shared: DataFrame) -> DataFrame:
-    """(task, node): each bucket's blocks, with the bucket's first class in all of them."""
+    """(task, node, component): each bucket's blocks, with the bucket's first class in all of them."""
     count = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node", "bucket"), count).cast("int")
     is_first = F.col("node") == F.col("first")
     block = F.when(is_first, F.sequence(F.lit(0), count - 1)).otherwise(F.array(own))
     rows = shared.select("bucket", "node", F.explode(block).alias("block"))
-    return rows.select(F.xxhash64("bucket", "block").alias("task"), "node")
+    return rows.select(F.xxhash64("bucket", "block").alias("task"), "node", F.col("node").alias("component"))
 
 
 def outsiders(shared: DataFrame, groups: DataFrame) -> DataFrame:
-    """(task, node): in large buckets, blocks of those outside the bucket's largest group with blocks of all."""
-    large = shared.where(F.col("size") > BLOCK).join(groups.withColumnRenamed("id", "node"), "node", "left")
-    large = stage(large.withColumn("component", F.coalesce("component", "node")), "large-buckets")
+    """(task, node, component): blocks of those outside their bucket's largest group with blocks of the whole bucket."""
+    large = shared.join(groups.withColumnRenamed("id", "node"), "node", "left")
+    large = stage(large.withColumn("component", F.coalesce("component", "node")), "grouped-buckets")
     counted = large.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     main = counted.groupBy("bucket").agg(
         F.max_by("component", F.struct("n", "component")).alias("main"), (F.sum("n") - F.max("n")).alias("out")
@@ -251,16 +261,18 @@ def outsiders(shared: DataFrame, groups: DataFrame) -> DataFrame:
     alone = large.where("component <> main").select(
         "bucket",
         "node",
+        "component",
         F.pmod(hashed, of_out).cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), of_all - 1)).alias("j"),
     )
     rows = large.select(
         "bucket",
         "node",
+        "component",
         F.explode(F.sequence(F.lit(0), of_out - 1)).alias("i"),
         F.pmod(hashed, of_all).cast("int").alias("j"),
     )
-    return alone.unionByName(rows).select(F.xxhash64("bucket", "i", "j").alias("task"), "node")
+    return rows.unionByName(alone).select(F.xxhash64("bucket", "i", "j").alias("task"), "node", "component").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, key: str = "doc_id") -> DataFrame:
@@ -282,12 +294,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, ke
         "classes",
     )
 
-    shared = buckets(nodes)
+    bands, _ = banding(similarity)
+    early = math.ceil(bands * FIRST_BANDS)
+    shared = buckets(nodes, 0, early)
     links = compared(blocks(shared), nodes, docs, width, similarity)
-    groups = components(links)
-    if shared.where(F.col("size") > BLOCK).limit(1).count():
-        more = compared(outsiders(shared, groups), nodes, docs, width, similarity)
-        groups = components(links.unionByName(more))
+    others = buckets(nodes, early, bands - early).unionByName(shared.where(F.col("size") > BLOCK))
+    more = compared(outsiders(others, components(links)), nodes, docs, width, similarity)
+    groups = components(links.unionByName(more))
 
     found = groups.withColumnRenamed("id", "node").join(nodes.select("node", "least"), "node")
     least = found.groupBy("component").agg(F.min("least").alias("_least"))
