@@ -3,11 +3,13 @@
 The next byte is coded as eight binary decisions. For each decision, every context of up to ``depth`` earlier bytes
 has a Krichevsky-Trofimov estimate from its counts. A context's weighted probability is the mean of its own
 estimate's and of the product of its extensions', so estimates of all depths are mixed by how well they code what
-was counted. Extensions that are not kept (see ``KEPT``) form one further extension together.
+was counted. Every context that was seen is kept.
 
 Counts come from all training bytes. They are gathered as runs of depth + 1 bytes, added up per task before the
-shuffle. The tree itself has at most ``KEPT`` contexts of each length, the most frequent ones, so its size is known
-whatever the corpus; only their counts are brought to the driver, and the finished tables are sent to the tasks.
+shuffle. Contexts that end in the same ``NEAR`` bytes meet in one task, which mixes all lengths from there on; shorter
+ones are tables of sums that are joined with each other. So the tree is nowhere held as a whole. What comes of it is a
+table with the probability of each run of the texts. A text takes the frequent ones from an array that every task
+has, and the others by a join.
 """
 
 from __future__ import annotations
@@ -24,15 +26,18 @@ from corpusengine.llm.registry import documents, query
 from corpusengine.session import stage
 
 DEPTH = 6
-KEPT = 16_384
-# Words whose counts every task gets, the most frequent ones, at most. All others are joined.
+# Contexts with this many latest bytes in common are worked on by one task.
+NEAR = 3
+# Words whose counts, and runs whose probabilities every task gets, the most frequent ones, at most. All others are joined.
 SHARED_WORDS = 1 << 20
+SHARED_RUNS = 1 << 20
 END = b"\n"
 # Bytes or words that a task holds before it adds up what is equal.
 CHUNK = 4 << 20
-# Contexts worked on at once while the tree is built.
+# Contexts of a tree in memory, and runs of a stored one, that are worked on at once.
 BLOCK = 2048
-WORD, RUN = 0, 1
+ROWS = 1 << 18
+WORD, RUN, ASKED = 0, 1, 2
 
 _ONE = {n: np.arange(256) >> (7 - n) & 1 for n in range(8)}
 _NODE = {n: (1 << n) - 1 + (np.arange(256) >> (8 - n)) for n in range(8)}
@@ -96,11 +101,23 @@ def runs(data: bytes, depth: int) -> np.ndarray:
     return out
 
 
+def paths(data: bytes, depth: int) -> np.ndarray:
+    """As ``runs``, but the bytes before are in turned order, the latest one highest."""
+    padded = np.frombuffer(END * depth + data, np.uint8).astype(np.int64)
+    out = np.zeros(len(data), np.int64)
+    for k in [*range(depth - 1, -1, -1), depth]:
+        out = out << 8 | padded[k : k + len(data)]
+    return out
+
+
 def count_corpus(docs: DataFrame, depth: int) -> DataFrame:
-    """(kind, key, n): how often each word (by hash) and each run of depth + 1 bytes occurs in the texts of ``docs``."""
+    """(kind, key, n, times) of each word (by hash) and each run of depth + 1 bytes (as ``paths`` has it).
+
+    ``n`` is how often it occurs in the texts where ``_train`` holds; ``times``, for runs, how often in all texts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tallies = {WORD: Tally(), RUN: Tally()}
+        tallies = {kind: Tally() for kind in (WORD, RUN, ASKED)}
 
         def out(kind: int) -> Iterator[pa.RecordBatch]:
             keys, counts = tallies[kind].total()
@@ -113,23 +130,26 @@ def count_corpus(docs: DataFrame, depth: int) -> DataFrame:
             tallies[kind] = Tally()
 
         for batch in batches:
-            for text in batch.column("text"):
+            for text, train in zip(batch.column("text"), batch.column("_train").to_pylist(), strict=True):
                 words = tokens(text.as_py() or "")
-                tallies[WORD].add(word_keys(words))
-                tallies[RUN].add(runs(spelled(words), depth))
+                if train:
+                    tallies[WORD].add(word_keys(words))
+                tallies[RUN if train else ASKED].add(paths(spelled(words), depth))
             for kind, tally in tallies.items():
                 if tally.held > CHUNK // 2:  # what is left is mostly different: pass it on
                     yield from out(kind)
         for kind in tallies:
             yield from out(kind)
 
-    counted = docs.select("text").mapInArrow(run, "kind int, key long, n long")
-    return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    counted = docs.select("text", "_train").mapInArrow(run, "kind int, key long, n long")
+    learned = F.sum(F.when(F.col("kind") == ASKED, 0).otherwise(F.col("n")))
+    kind = F.when(F.col("kind") == WORD, WORD).otherwise(RUN).alias("kind")
+    return counted.groupBy(kind, "key").agg(learned.alias("n"), F.sum("n").alias("times"))
 
 
-def most_frequent(counts: DataFrame, limit: int) -> Column:
-    """A condition on ``n`` that at most ``limit`` rows meet, and nearly as many as that if there are more."""
-    step = F.floor(F.log2("n") * 64)
+def most_frequent(counts: DataFrame, limit: int, count: str = "n") -> Column:
+    """A condition on ``count`` that at most ``limit`` rows meet, and nearly as many as that if there are more."""
+    step = F.floor(F.log2(count) * 64)
     steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows"))  # at most 64 * 64 of them
     held, least = 0, None
     for row in sorted(steps.collect(), key=lambda row: -row["step"]):
@@ -142,7 +162,9 @@ def most_frequent(counts: DataFrame, limit: int) -> Column:
 
 @dataclass
 class Tree:
-    """``child[d][i, c]``: the kept context made of context i of length d and an earlier byte of column c, or -1.
+    """A tree in memory, that may have some of the contexts only.
+
+    ``child[d][i, c]``: the kept context made of context i of length d and an earlier byte of column c, or -1.
 
     ``logs[d][i, c]``: log10 probability that a byte of column c follows the kept context i of length d and no
     longer kept one. ``column[b]`` is the column of byte b; bytes that were never counted share the last column.
@@ -303,26 +325,173 @@ def build(counted: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Tree:
     return Tree(len(levels) - 1, column, child, logs)
 
 
-def fit(counts: DataFrame, depth: int = DEPTH, kept: int = KEPT) -> Tree:
-    """The tree of a corpus from its run counts, as ``count_corpus`` makes them."""
-    level = counts.where(F.col("kind") == RUN).select(
-        F.shiftright("key", 8).alias("context"), (F.col("key") % 256).cast("int").alias("byte"), "n"
+def nodes(keys: np.ndarray, n: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(name, zeros, ones, row) of the decisions after ``bits`` bits of the next byte: a context with those bits, the
+    counts of either decision, and for each of the rising ``keys`` (context and next byte) the decision it passes.
+    """
+    names = keys >> (8 - bits)
+    new = np.concatenate([[True], names[1:] != names[:-1]])
+    first = np.flatnonzero(new)
+    ones = np.add.reduceat(n * (keys >> (7 - bits) & 1), first)
+    return names[first], np.add.reduceat(n, first) - ones, ones, np.cumsum(new) - 1
+
+
+class Branch:
+    """All contexts of ``near`` to ``depth`` bytes of whole groups of runs that have the ``near`` latest bytes in common."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray, depth: int, near: int):
+        self.levels, self.weights, self.next = [], [], keys & 255
+        for d in range(near, depth + 1):
+            shorter = keys >> 8 * (depth - d + 1) << 8 | keys & 255
+            counted = added(shorter, n)
+            self.levels.append([nodes(*counted, bits) for bits in range(8)])
+        self.row = np.searchsorted(counted[0], keys)
+        # ln of the weighted probability of each decision of the shortest contexts.
+        self.mixed = []
+        for bits in range(8):
+            below, weights = None, []
+            for d in range(len(self.levels) - 1, -1, -1):
+                name, zeros, ones, _ = self.levels[d][bits]
+                own = log_kt(zeros.astype(np.float64), ones.astype(np.float64))
+                mixed = own if below is None else np.logaddexp(own, below) - np.log(2)
+                weights.insert(0, np.ones(len(own)) if below is None else np.exp(own - np.log(2) - mixed))
+                if d:
+                    below = np.bincount(self.parents(d, bits), mixed, len(self.levels[d - 1][bits][0]))
+            self.mixed.append(mixed)
+            self.weights.append(weights)
+
+    def parents(self, d: int, bits: int) -> np.ndarray:
+        name = self.levels[d][bits][0]
+        shorter = name >> 8 + bits << bits | name & (1 << bits) - 1
+        return np.searchsorted(self.levels[d - 1][bits][0], shorter)
+
+    def top(self) -> list[np.ndarray]:
+        """context, node, zeros, ones, mixed of the decisions of the shortest contexts; a node is 1 and the bits before."""
+        parts = []
+        for bits, (name, zeros, ones, _) in enumerate(self.levels[0]):
+            node = (1 << bits | name & (1 << bits) - 1).astype(np.int32)
+            parts.append((name >> bits, node, zeros, ones, self.mixed[bits]))
+        return [np.concatenate(column) for column in zip(*parts, strict=True)]
+
+    def logs(self, context: np.ndarray, node: np.ndarray, given: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """log10 of the probability of each key's next byte, from what shorter contexts give and leave each top decision."""
+        order = np.argsort(context << 8 | node)
+        place, given, left = (context << 8 | node)[order], given[order], left[order]
+        logs = np.zeros(len(self.row))
+        for bits in range(8):
+            name = self.levels[0][bits][0]
+            at = np.searchsorted(place, name >> bits << 8 | 1 << bits | name & (1 << bits) - 1)
+            chance, rest = given[at], left[at]
+            for d, weight in enumerate(self.weights[bits]):
+                _, zeros, ones, row = self.levels[d][bits]
+                if d:
+                    up = self.parents(d, bits)
+                    chance, rest = chance[up], rest[up]
+                chance = chance + rest * weight * (ones + 0.5) / (zeros + ones + 1)
+                rest = rest * (1 - weight)
+            chance = chance[row[self.row]]
+            logs += np.log10(np.where(self.next >> (7 - bits) & 1, chance, 1 - chance))
+        return logs
+
+
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of rows in order of ``near``, many at a time, and always all that have the same one."""
+    held: list[pa.RecordBatch] = []
+    size, last = 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        near = batch.column("near").to_numpy()
+        cut = 0
+        if size >= ROWS:
+            cut = int(np.searchsorted(near, last, "right"))
+            if cut < len(near):
+                held.append(batch.slice(0, cut))
+                yield _columns(held)
+                held, size, batch = [], 0, batch.slice(cut)
+        held.append(batch)
+        size, last = size + batch.num_rows, near[-1]
+    if held:
+        yield _columns(held)
+
+
+def _columns(batches: list[pa.RecordBatch]) -> dict[str, np.ndarray]:
+    table = pa.Table.from_batches(batches)
+    return {name: table.column(name).to_numpy() for name in table.column_names}
+
+
+def mixed_with(below: DataFrame) -> DataFrame:
+    """``below`` (context, node, zeros, ones, below) with ``mixed`` for below, and the ``weight`` of the own estimate."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, node, zeros, ones, under = batch.columns
+            own = log_kt(zeros.to_numpy().astype(np.float64), ones.to_numpy().astype(np.float64))
+            mixed = np.logaddexp(own, under.to_numpy()) - np.log(2)
+            weight = np.exp(own - np.log(2) - mixed)
+            names = ["context", "node", "zeros", "ones", "mixed", "weight"]
+            yield pa.RecordBatch.from_arrays([context, node, zeros, ones, pa.array(mixed), pa.array(weight)], names)
+
+    return below.mapInArrow(run, "context long, node int, zeros long, ones long, mixed double, weight double")
+
+
+def run_logs(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(key, times, log) of each run of ``count_corpus``: log10 of the probability of its last byte after the others.
+
+    A context that was never learned from has chances of one half, and adds nothing to shorter ones.
+    """
+    near = min(NEAR, depth)
+    rows = counts.where(F.col("kind") == RUN).select(
+        F.shiftright("key", 8 * (depth - near + 1)).alias("near"), "key", "n", "times"
     )
-    levels = []
-    for d in range(depth, -1, -1):
-        if d < depth:
-            shorter = F.col("context").bitwiseAND(F.lit((1 << 8 * d) - 1).cast("long"))
-            level = stage(level.groupBy(shorter.alias("context"), "byte").agg(F.sum("n").alias("n")), "contexts")
-        whole = level.groupBy("context").agg(F.sum("n").alias("n"))
-        if d > 1:  # there are fewer than KEPT shorter ones
-            whole = stage(whole, "context-totals")
-            common = F.broadcast(whole.where(most_frequent(whole, kept)).select("context"))
-            rows = level.join(common, "context")
-        else:
-            rows = level
-        table = rows.select("context", "byte", "n").toArrow()
-        levels.insert(0, tuple(table.column(c).to_numpy() for c in ("context", "byte", "n")))
-    return build(levels)
+
+    def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches):
+            made = Branch(group["key"], group["n"], depth, near).top()
+            yield from _batches(made, ["context", "node", "zeros", "ones", "mixed"])
+
+    together = rows.repartition("near").sortWithinPartitions("near")
+    top = stage(together.mapInArrow(tops, "context long, node int, zeros long, ones long, mixed double"), "tops")
+    levels, level = [], top
+    for _ in range(near):
+        sums = [F.sum(c).alias(c) for c in ("zeros", "ones")]
+        shorter = F.shiftright("context", 8).alias("context")
+        level = level.groupBy(shorter, "node").agg(*sums, F.sum("mixed").alias("below"))
+        level = stage(mixed_with(level), "shorter")
+        levels.insert(0, level)
+    own = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
+    given, left = F.lit(0.0), F.lit(1.0)
+    above = None
+    for level in [*levels, top.withColumn("weight", F.lit(0.0))]:
+        if above is not None:
+            above = above.select(F.col("context").alias("shorter"), "node", "given", "left")
+            level = level.withColumn("shorter", F.shiftright("context", 8)).join(above, ["shorter", "node"])
+            given, left = F.col("given"), F.col("left")
+        above = level.select(
+            "context", "node",
+            (given + left * F.col("weight") * own).alias("given"), (left * (1 - F.col("weight"))).alias("left"),
+        )
+
+    def logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches):
+            top = group["node"] > 0
+            runs = ~top
+            branch = Branch(group["key"][runs], group["n"][runs], depth, near)
+            found = branch.logs(*(group[c][top] for c in ("near", "node", "given", "left")))
+            yield from _batches([group["key"][runs], group["times"][runs], found], ["key", "times", "log"])
+
+    nothing = F.lit(0).cast("long")
+    above = above.select(
+        F.col("context").alias("near"), nothing.alias("key"), nothing.alias("n"), nothing.alias("times"), "node", "given", "left"
+    )
+    both = rows.select("*", F.lit(0).alias("node"), F.lit(0.0).alias("given"), F.lit(0.0).alias("left")).unionByName(above)
+    both = both.repartition("near").sortWithinPartitions("near")
+    return stage(both.mapInArrow(logs, "key long, times long, log double"), "run-logs")
+
+
+def _batches(columns: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), 1 << 18):
+        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + (1 << 18)]) for c in columns], names)
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -340,35 +509,41 @@ def scored(docs: DataFrame, training: Column, depth: int = DEPTH) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.withColumn("_train", F.coalesce(training, F.lit(False)))
-    counts = stage(count_corpus(docs.where("_train"), depth), "counts")
+    counts = stage(count_corpus(docs, depth), "counts")
     words = counts.where(F.col("kind") == WORD).select("key", "n")
     n_train, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    frequent = most_frequent(words, SHARED_WORDS)
-    common = words.where(frequent).toArrow()
-    keys, times = (common.column(c).to_numpy() for c in ("key", "n"))
-    order = np.argsort(keys)
-    shared = spark.sparkContext.broadcast(
-        {"tree": fit(counts, depth), "keys": keys[order], "times": times[order].astype(np.int64)}
-    )
+    chances = run_logs(counts, depth)
+
+    def array(rows: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
+        table = rows.select("key", value).toArrow()
+        keys, values = (table.column(c).to_numpy() for c in ("key", value))
+        order = np.argsort(keys)
+        return keys[order], values[order]
+
+    frequent, often = most_frequent(words, SHARED_WORDS), most_frequent(chances, SHARED_RUNS, "times")
+    known = words.where(frequent).withColumn("log", F.log10(F.col("n") + 1))
+    shared = spark.sparkContext.broadcast({WORD: array(known, "log"), RUN: array(chances.where(often), "log")})
     kept = [c for c in docs.columns if c not in ("text", "_train")]
     kinds = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes if c in kept)
-    made = "n_tokens long, _known long, _logs double, score double, _rare array<long>"
+    made = "n_tokens long, _known long, _logs double, _score double, _words array<long>, _runs array<long>"
+
+    def look_up(kind: int, asked: np.ndarray) -> tuple[int, float, np.ndarray]:
+        """How many of the keys are shared, the sum of their values, and the other keys."""
+        keys, values = shared.value[kind]
+        asked = np.sort(asked)
+        at = np.minimum(np.searchsorted(keys, asked), max(len(keys) - 1, 0))
+        hit = keys[at] == asked if len(keys) else np.zeros(len(asked), bool)
+        return int(hit.sum()), float(values[at[hit]].sum()), asked[~hit]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        tree, keys = model["tree"], model["keys"]
-        logs = np.log10(model["times"] + 1.0)
         for batch in batches:
             rows = []
             for text in batch.column("text"):
                 words = tokens(text.as_py() or "")
-                found = word_keys(words)
-                at = np.minimum(np.searchsorted(keys, found), max(len(keys) - 1, 0))
-                hit = keys[at] == found if len(keys) else np.zeros(len(found), bool)
-                rows.append(
-                    (len(words), int(hit.sum()), float(logs[at[hit]].sum()), tree.score(spelled(words)), found[~hit])
-                )
-            types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64())]
+                found, logs, rare = look_up(WORD, word_keys(words))
+                _, score, runs = look_up(RUN, paths(spelled(words), depth))
+                rows.append((len(words), found, logs, score, rare, runs))
+            types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)] if rows else []
             if rows:
                 names = [*kept, *[field.split()[0] for field in made.split(", ")]]
@@ -376,9 +551,17 @@ def scored(docs: DataFrame, training: Column, depth: int = DEPTH) -> DataFrame:
 
     partly = docs.select(*kept, "text").mapInArrow(run, f"{kinds}, {made}" if kinds else made)
     partly = stage(partly.withColumn("_row", F.monotonically_increasing_id()), "scores")
-    asked = partly.select("_row", F.explode("_rare").alias("key")).groupBy("_row", "key").agg(F.count("*").alias("_t"))
-    rare = asked.join(words.where(~frequent), "key").groupBy("_row")
-    rare = rare.agg(F.sum(F.col("_t") * F.log10(F.col("n") + 1)).alias("_more"), F.sum("_t").alias("_found"))
+    entries = words.where(~frequent).select(F.lit(WORD).alias("_kind"), "key", F.log10(F.col("n") + 1).alias("log"))
+    entries = entries.unionByName(chances.where(~often).select(F.lit(RUN).alias("_kind"), "key", "log"))
+    asked = [
+        partly.select("_row", F.lit(kind).alias("_kind"), F.explode(keys).alias("key"))
+        for kind, keys in ((WORD, "_words"), (RUN, "_runs"))
+    ]
+    rare = asked[0].unionByName(asked[1]).join(entries, ["_kind", "key"]).groupBy("_row")
+    word, log = F.col("_kind") == WORD, F.col("log")
+    rare = rare.agg(
+        F.sum(F.when(word, log)).alias("_more"), F.count_if(word).alias("_found"), F.sum(F.when(~word, log)).alias("_rest")
+    )
     base = F.col("_logs") + F.coalesce("_more", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(n_train + distinct + 1.0))
     return partly.join(rare, "_row", "left").select(
         *kept,
@@ -386,7 +569,7 @@ def scored(docs: DataFrame, training: Column, depth: int = DEPTH) -> DataFrame:
         (F.col("_known") + F.coalesce("_found", F.lit(0))).alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        "score",
+        (F.col("_score") + F.coalesce("_rest", F.lit(0.0))).alias("score"),
     )
 
 

@@ -176,6 +176,25 @@ def test_word_scores_equal_plain_ones(spark, odd, empty, sf, monkeypatch):
     assert (alone.n_known, alone.base_score) == (0, 0.0) and abs(alone.score - 16 * math.log10(0.5)) < 1e-4
 
 
+def test_scores_use_every_context(spark, monkeypatch):
+    """More contexts of three bytes than were kept once, some runs shared with all tasks, the others joined."""
+    monkeypatch.setattr(weighting, "SHARED_RUNS", 500)
+    monkeypatch.setattr(weighting, "ROWS", 1000)
+    draw = np.random.default_rng(3)
+    texts = ["".join(chr(x) for x in draw.integers(48, 91, 300)) for _ in range(75)]
+    texts = texts * 4 + ["the cat sat", "the cat", "żółw", ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spelt = [weighting.spelled(weighting.tokens(text)) for text in texts]
+    got = {r.doc_id: r.score for r in weighting.scored(frame, F.col("doc_id") < 250, depth=3).collect()}
+    tree, capped = tree_of(spelt[:250], 3), tree_of(spelt[:250], 3, kept=16_384)
+    assert tree.logs[3].shape[0] > 16_384
+    assert max(capped.score(text) / tree.score(text) for text in spelt[:300]) > 1.1
+    assert all(abs(got[i] - tree.score(text)) < 0.002 * len(text) for i, text in enumerate(spelt[:300]))
+    small = frame.where("doc_id >= 300")
+    got = {r.doc_id: r.score for r in weighting.scored(small, F.col("doc_id") < 301, depth=5).collect()}
+    assert all(abs(got[i] - plain_score(spelt[300:301], 5, spelt[i])) < 1e-6 for i in got) and len(got) == 4
+
+
 def test_held_out_documents_are_judged_well(spark, sf):
     path = sf.replace("sf0.001", "sf0.01")
     docs, labels = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "labels"))
