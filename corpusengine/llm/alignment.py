@@ -8,6 +8,10 @@
    alignment; it is carried on to equal lines beside them and, between them, to what is found once there.
 4. A run of aligned lines that is consecutive in both documents is a common block. Blocks of ``least_words`` words or
    more are deleted from the later document.
+5. A pair's alignment leaves what stands in another order or twice, and a frequent line pairs a document with one other
+   only. So the shortest runs of lines that reach ``least_words`` words, from each line on and up to each line, are
+   looked up too: a run that an earlier document has is deleted. Every line of a common block lies in such a run of it,
+   so no block is left, in whichever earlier document it stands. This takes one row per run and document.
 
 Lines found in one document only cannot be aligned and are not sent anywhere.
 """
@@ -92,6 +96,50 @@ def common_blocks(earlier: list[dict], later: list[dict], least_words: int) -> l
     return out
 
 
+def windows(lines: list[dict], least_words: int) -> list[tuple[int, int]]:
+    """(first, last) index of the shortest runs of consecutive lines with ``least_words`` words, from and up to each line."""
+    out = set()
+    for step in (1, -1):
+        order = range(len(lines))[::step]
+        end, words = 0, 0  # of the run, which goes on in the direction of step
+        for k, i in enumerate(order):
+            if end <= k:
+                end, words = k, 0
+            while end < len(order) and words < least_words:
+                if end > k and abs(lines[order[end]]["rank"] - lines[order[end - 1]]["rank"]) != 1:
+                    break
+                words += lines[order[end]]["words"]
+                end += 1
+            if words >= least_words:
+                out.add((min(i, order[end - 1]), max(i, order[end - 1])))
+            words -= lines[i]["words"]
+    return sorted(out)
+
+
+def repeated_runs(shapes: DataFrame, least_words: int) -> DataFrame:
+    """(node, source, first, last) of the runs of ``windows`` that an earlier document, the first one with it, has too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, out = [], []
+            for row, lines in enumerate(batch.column("lines")):
+                lines = lines.as_py()
+                names = b"".join((line["line"]).to_bytes(8, "little", signed=True) for line in lines)
+                for i, j in windows(lines, least_words):
+                    rows.append(row)
+                    out.append((xxhash.xxh64_intdigest(names[8 * i : 8 * j + 8]) - (1 << 63), lines[i]["at"], lines[j]["at"]))
+            if out:
+                made = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64(), pa.int32(), pa.int32()], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("place").take(pa.array(rows)), *made], ["place", "run", "first", "last"])
+
+    place = shapes.schema["place"].dataType.simpleString()
+    found = stage(shapes.select("place", "lines").mapInArrow(run, f"place {place}, run long, first int, last int"), "runs")
+    known = found.groupBy("run").agg(F.min("place").alias("earliest"), F.max("place").alias("latest"))
+    known = stage(known.where(F.col("earliest.node") != F.col("latest.node")).drop("latest"), "shared-runs")
+    found = found.join(known, "run").where(F.col("place.node") != F.col("earliest.node"))
+    return found.select(F.col("place.node").alias("node"), F.col("earliest.id").alias("source"), "first", "last")
+
+
 def node() -> Column:
     return F.xxhash64(F.col("doc_id"), F.col("text"))
 
@@ -128,7 +176,9 @@ def overlaps(docs: DataFrame, least_words: int = LEAST_WORDS, rare: int = RARE)
 
     rows = lines.select("node", order.alias("place"), F.explode("lines").alias("l")).select("node", "place", "l.*")
     shared = stage(rows.join(known, "line"), "shared-places")
-    shapes = shared.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("at", "rank", "line", "words"))).alias("lines"))
+    shapes = shared.groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("at", "rank", "line", "words"))).alias("lines"), F.any_value("place").alias("place")
+    )
     shapes = stage(shapes, "shapes")
 
     few = shared.where(F.col("documents") <= rare).select("line", "node", "place").distinct()
@@ -139,7 +189,7 @@ def overlaps(docs: DataFrame, least_words: int = LEAST_WORDS, rare: int = RARE)
     pairs = pairs.unionByName(many.select("node", F.col("first").alias("source"))).distinct()
     pairs = pairs.select("node", F.col("source.node").alias("other"), F.col("source.id").alias("source"))
     pairs = pairs.join(shapes.select(F.col("node").alias("other"), F.col("lines").alias("earlier")), "other")
-    pairs = pairs.join(shapes.withColumnRenamed("lines", "later"), "node").select("node", "source", "earlier", "later")
+    pairs = pairs.join(shapes.select("node", F.col("lines").alias("later")), "node").select("node", "source", "earlier", "later")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,6 +204,7 @@ def overlaps(docs: DataFrame, least_words: int = LEAST_WORDS, rare: int = RARE)
                 yield pa.RecordBatch.from_arrays(made, ["node", "source", "first", "last"])
 
     found = pairs.mapInArrow(run, "node long, source long, first int, last int")
+    found = found.unionByName(repeated_runs(shapes, least_words))
     spans = F.sort_array(F.collect_set(F.struct("first", "last"))).alias("spans")
     found = found.groupBy("node").agg(spans, F.sort_array(F.collect_set("source")).alias("sources"))
     return stage(found, "overlaps")

@@ -166,6 +166,35 @@ def test_shared_passages_leave_the_later_document(spark):
     assert all(got[k].text == f"intro {k}\nend {k}" and got[k].sources == [100] for k in range(101, 130))
 
 
+def test_blocks_are_found_whatever_their_lines_first_documents(spark):
+    line = [f"line {k} has four more words" for k in range(10)]  # six words each, so seven lines are a block
+    whole = "\n".join(line)
+    rows = [(1, "\n".join(line[:5])), (2, "\n".join(line[5:])), (3, "x\n" + whole)]
+    rows += [(k, f"own {k}\n{whole}\nend {k}") for k in range(4, 30)]
+    rows += [(40, f"a\n{whole}\nb\n{whole}\nc")]  # twice
+    one, two = ("\n".join(f"{name} {k} has four more words" for k in range(8)) for name in ("one", "two"))
+    rows += [(50, f"p\n{one}\n{two}\nq"), (51, f"r\n{two}\n{one}\ns")]  # in another order
+    got = {r.doc_id: r for r in alignment.without_overlaps(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    assert all(got[k].text == texts[k] for k in (1, 2, 3, 50))
+    assert all((got[k].text, got[k].n_removed) == (f"own {k}\nend {k}", 10) and 3 in got[k].sources for k in range(4, 30))
+    assert got[40].text == "a\nb\nc" and got[51].text == "r\ns"
+
+
+def test_windows_are_the_shortest_runs():
+    rng = random.Random(5)
+    for _ in range(300):
+        rank, lines = 0, []
+        for _ in range(rng.randrange(12)):
+            rank += rng.choice([1, 1, 1, 2])
+            lines.append({"rank": rank, "words": rng.randint(1, 9)})
+        n = len(lines)
+        fits = lambda i, j: sum(x["words"] for x in lines[i : j + 1]) >= 10 and lines[j]["rank"] - lines[i]["rank"] == j - i  # noqa: E731, B023
+        held = {(i, j) for i in range(n) for j in range(i, n) if fits(i, j)}
+        wanted = {(i, j) for i, j in held if not any((i, k) in held for k in range(i, j)) or not any((k, j) in held for k in range(i + 1, j + 1))}
+        assert set(alignment.windows(lines, 10)) == wanted
+
+
 def test_patience_pairs_rise_and_match():
     rng = random.Random(6)
     for _ in range(300):
