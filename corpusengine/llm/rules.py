@@ -4,9 +4,9 @@ Everything is a DataFrame expression. A document's own counts are array expressi
 by the hash of their trimmed lower-case form. A line that stands in many documents of a host is taken out of all of
 them, and a document with little left is rejected.
 
-Copies must not make each other's lines look like boilerplate. So a host's documents are told apart by a sketch, the
-smallest hash of three words in a row, which copies and most near copies of a text have in common: they count as one
-document. Copies are left to the operators that find copies.
+Copies must not make each other's lines look like boilerplate. So a host's documents are told apart by a hash of all their
+words in lower case: copies count as one document, and documents that differ in any word count each, however much of
+them is shared. Copies are left to the operators that find copies.
 """
 
 from __future__ import annotations
@@ -29,13 +29,13 @@ KEY = "__rules_key"
 @dataclass(frozen=True)
 class Limits:
     """A line goes if it stands in more than ``line_documents`` documents of a host and in more than ``line_share``
-    of them; a document is rejected if less than ``least_left`` of the characters of its lines stay.
+    of them (as it is, a host's size doesn't matter); a document is rejected if less than ``least_left`` of the characters of its lines stay.
     """
 
     least_words: int = 50
     most_repeated: float = 0.5
     line_documents: int = 50
-    line_share: float = 0.002
+    line_share: float = 0.0
     least_left: float = 0.2
 
 
@@ -49,7 +49,7 @@ def filled_lines(text: Column | str) -> Column:
 
 
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the counts of COUNTS, ``_sketch`` and ``_lines`` (line, chars), all from the row's own text.
+    """``docs`` with the counts of COUNTS, ``_words_key`` and ``_lines`` (line, chars), all from the row's own text.
 
     Words are runs without ASCII white space, and ``word_chars`` their code points. ``n_repeat_words`` counts the
     words that lie in a window of three words found twice or more in the text. Windows are sorted by hash, so the
@@ -75,6 +75,7 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         {
             "n_words": n.cast("long"),
             "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+            "_words_key": F.xxhash64(F.lower(F.array_join("_words", " "))),
             "n_dup_lines": (F.size("_filled") - F.size(F.array_distinct("_filled"))).cast("long"),
             "_windows": windows,
             "_lines": F.transform(
@@ -94,12 +95,8 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.struct((state["n"] + new).alias("n"), (at + 3).alias("end"))
 
     nothing = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
-    return rows.withColumns(
-        {
-            "n_repeat_words": F.coalesce(F.aggregate(found, nothing, cover)["n"], F.lit(0)).cast("long"),
-            "_sketch": F.coalesce(F.get("_windows", F.lit(0))["h"], F.xxhash64("word_chars", "_lines")),
-        }
-    ).drop("_windows")
+    repeated = F.coalesce(F.aggregate(found, nothing, cover)["n"], F.lit(0)).cast("long")
+    return rows.withColumn("n_repeat_words", repeated).drop("_windows")
 
 
 def base_failed(limits: Limits) -> Column:
@@ -111,11 +108,11 @@ def base_failed(limits: Limits) -> Column:
 def frequent_lines(counted: DataFrame, limits: Limits) -> DataFrame:
     """(host, line) of the lines above the limits.
 
-    Equal (host, line, sketch) are merged before any count, so a line that stands everywhere is counted by sketch in
+    Equal (host, line, words) are merged before any count, so a line that stands everywhere is counted by document in
     many tasks. Of such lines there are at most 1 / line_documents of all.
     """
-    seen = counted.select("host", "_sketch", F.explode(F.array_distinct("_lines.line")).alias("line")).distinct()
-    documents = counted.select("host", "_sketch").distinct().groupBy("host").agg(F.count("*").alias("_documents"))
+    seen = counted.select("host", "_words_key", F.explode(F.array_distinct("_lines.line")).alias("line")).distinct()
+    documents = counted.select("host", "_words_key").distinct().groupBy("host").agg(F.count("*").alias("_documents"))
     often = seen.groupBy("host", "line").agg(F.count("*").alias("_n")).where(F.col("_n") > limits.line_documents)
     often = attach(stage(often, "often"), stage(documents, "hosts"), "host")
     return stage(often.where(F.col("_n") > limits.line_share * F.col("_documents")).select("host", "line"), "frequent")

@@ -50,6 +50,18 @@ def test_lines_of_many_documents_go(spark):
     assert all(kept[k] == f"Common line here\n{body(7)}" for k in range(200, 260))
 
 
+def test_lines_are_counted_by_documents_that_differ_at_all(spark):
+    shared = "\n".join(" ".join(f"s{k}x{i}" for i in range(30)) for k in range(10))
+    body = lambda k: " ".join(f"t{k}x{i}" for i in range(30))
+    rows = [(k, f"{shared}\n{body(k)}", "h") for k in range(200)]
+    rows += [(1000 + k, " ".join(f"u{k}x{i}" for i in range(60)) + "\nA line of some" * (k < 51), "large") for k in range(26_000)]
+    rows += [(50_000 + k, f"{shared}\n{body(7)}".replace(" ", " " * (k % 3 + 1)), "copies") for k in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r.doc_id: r.text for r in rules.apply_rules(frame).collect()}
+    assert not any(k in kept for k in range(200))
+    assert all("A line of some" not in kept[1000 + k] for k in range(51)) and all(50_000 + k in kept for k in range(60))
+
+
 PAGE = '<html><body><div class="top">Menu A B</div><div><div id="x12">{}</div></div><div class="bot">All rights</div></body></html>'
 
 
