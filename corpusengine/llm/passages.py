@@ -105,23 +105,24 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [one.as_py() or b"" for one in batch.column("text").cast(pa.binary())]
 
 
-def _sample(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """(text, label, fold) of up to SAMPLE different texts of each class, as a stored table.
+def _sample(docs: DataFrame, labels: DataFrame, label: str) -> tuple[DataFrame, dict[int, int]]:
+    """(text, label, fold) of up to SAMPLE different texts of each class, as a stored table, and the size of each class.
 
     Equal texts are one, toxic if any of them is labelled so, and of texts with the same smallest hash of three words
     one is kept: a text that was copied often, with changes or without, counts about once.
     """
     known = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("label"))
-    rows = docs.select("doc_id", "text").join(known, "doc_id")
-    texts = rows.groupBy(F.sha2("text", 256).alias("digest")).agg(F.max("label").alias("label"), F.min("doc_id").alias("doc_id"))
+    rows = docs.select("doc_id", F.sha2("text", 256).alias("digest")).join(known, "doc_id")
+    texts = rows.groupBy("digest").agg(F.max("label").alias("label"), F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
     texts = stage(texts, "labelled-texts")
+    sizes = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     order = F.xxhash64("doc_id"), F.col("digest")
     chosen = [texts.where(F.col("label") == value).orderBy(*order).limit(SAMPLE) for value in (0, 1)]
     chosen = chosen[0].unionByName(chosen[1]).select("doc_id", "digest", "label")
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.sha2("text", 256) == F.col("digest"))
     found = found.select("text", F.col("label").cast("int")).mapInArrow(_sketched, "text string, label int, sketch long")
     fold = F.pmod("sketch", F.lit(2)).cast("int").alias("fold")
-    return stage(found.dropDuplicates(["sketch"]).select("text", "label", fold), "sample")
+    return stage(found.dropDuplicates(["sketch"]).select("text", "label", fold), "sample"), sizes
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     sums of the sample's texts come to the driver. Without texts of both classes in both halves nothing is learned, and
     every text has the score 0.
     """
-    sample = _sample(docs, labels, label)
+    sample, stands_for = _sample(docs, labels, label)
     sizes = {r["kind"]: r["n"] for r in sample.groupBy((2 * F.col("label") + F.col("fold")).alias("kind")).agg(F.count("*").alias("n")).collect()}
     if any(sizes.get(k, 0) == 0 for k in range(4)):
         return Model({})
@@ -203,18 +204,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     plain = [r for r in rows if r["label"] == 0]
     model.scale, model.log_k = chance([r["sums"][0] if r["sums"] else 0.0 for r in plain], [r["n"] for r in plain])
     evidence = np.array([_total([model.evidence(s, r["n"]) for s in r["sums"]]) for r in rows])
-    stands_for = {r["label"]: r["n"] for r in _class_sizes(docs, labels, label)}
     y = np.array([r["label"] for r in rows], float)
     weight = np.where(y == 1, stands_for[1] / max(y.sum(), 1), stands_for[0] / max((1 - y).sum(), 1))
     model.intercept, model.slope = _logistic(np.log1p(evidence), y, weight)
     return model
 
 
-def _class_sizes(docs: DataFrame, labels: DataFrame, label: str) -> list:
-    known = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("label"))
-    return docs.select("doc_id").join(known, "doc_id").groupBy("label").agg(F.count("*").alias("n")).collect()
-
-
 def _total(evidence: list[float]) -> float:
     return sum(e for e in evidence if e > SIGNIFICANT)
 
