@@ -30,19 +30,47 @@ def kept_words(
     return without_words(nested, out, stop_words).withColumn(out, F.flatten(out))
 
 
+def numbered_words(df: DataFrame, words: str, numbers: str, names: str) -> DataFrame:
+    """``df`` with the different words of an array in order, and the array with each word's place among them.
+
+    Done inside the row in time n log n: words are sorted with their places, equal ones get one number, and the numbers
+    are sorted back. Nulls are a word of their own, the last one.
+    """
+    rows = df.withColumn("_sorted", F.array_sort(F.transform(words, lambda x, at: F.struct(x.alias("item"), at.alias("at")))))
+    size = F.size("_sorted")
+
+    def begins(at: Column) -> Column:
+        return (at == 0) | ~F.get("_sorted", at)["item"].eqNullSafe(F.get("_sorted", at - 1)["item"])
+
+    none = F.array().cast("array<int>")
+    rows = rows.withColumn("_starts", F.when(size > 0, F.filter(F.sequence(F.lit(0), size - 1), begins)).otherwise(none))
+    runs = F.transform("_starts", lambda at, k: F.array_repeat(k, F.coalesce(F.get("_starts", k + 1), size) - at))
+    placed = F.zip_with("_sorted", F.flatten(runs), lambda word, k: F.struct(word["at"].alias("at"), k.alias("k")))
+    named = F.transform("_starts", lambda at: F.get("_sorted", at)["item"])
+    return rows.withColumns({numbers: F.array_sort(placed)["k"], names: named}).drop("_sorted", "_starts")
+
+
 def sliding_cooccurrence(df: DataFrame, id_col: str, kept: str = "kept", window: int = C.KEYWORD_WINDOW) -> DataFrame:
     """(id, src, dst): unequal words less than ``window`` places apart, both directions.
 
-    A text shorter than the window has no pairs. Pairs are found and told apart inside the row: nothing is shuffled.
+    A text shorter than the window has no pairs. Pairs are found and told apart inside the row, as one number made of
+    the numbers of both words, so the time is in proportion to the tokens, but for the sort; nothing is shuffled.
     """
-    size = F.size(kept)
+    rows = numbered_words(df.select(id_col, kept), kept, "_numbers", "_names")
+    size, n = F.size("_numbers"), F.size("_names").cast("long")
     ways = [
-        F.arrays_zip(F.slice(kept, 1 + a, size - gap).alias("src"), F.slice(kept, 1 + b, size - gap).alias("dst"))
+        F.zip_with(F.slice("_numbers", 1 + a, size - gap), F.slice("_numbers", 1 + b, size - gap), lambda x, y: F.when(x != y, x * n + y))
         for gap in range(1, window)
         for a, b in ((0, gap), (gap, 0))
     ]
-    unequal = F.filter(F.concat(*ways), lambda pair: pair["src"] != pair["dst"])
-    links = each(df, [id_col], F.when(size >= window, F.array_distinct(unequal)), "link")
+    rows = rows.withColumn("_pairs", F.when(size >= window, F.array_distinct(F.array_compact(F.concat(*ways)))))
+    named = F.transform(
+        "_pairs",
+        lambda pair: F.struct(
+            F.get("_names", F.call_function("div", pair, n).cast("int")).alias("src"), F.get("_names", (pair % n).cast("int")).alias("dst")
+        ),
+    )
+    links = each(rows, [id_col], F.filter(named, lambda link: link["src"].isNotNull() & link["dst"].isNotNull()), "link")
     return links.select(id_col, "link.src", "link.dst")
 
 

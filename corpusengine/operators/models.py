@@ -121,6 +121,11 @@ def hashing_tfidf(words_col: str = "words", out: str = "tfidf", n_features: int
     return [HashingTF(inputCol=words_col, outputCol="tf", numFeatures=n_features), IDF(inputCol="tf", outputCol=out)]
 
 
+def spaced_words(df: DataFrame, words_col: str, out: str = "words") -> DataFrame:
+    """``df`` with the lower-case words of a text, cut at every white space, as ``train_naive_bayes`` cuts it."""
+    return Tokenizer(inputCol=words_col, outputCol=out).transform(df)
+
+
 def train_naive_bayes(
     df: DataFrame, words_col: str, label: str, excluded_class: str | None = None, n_features: int = C.HASH_FEATURES,
     path: str | None = None,

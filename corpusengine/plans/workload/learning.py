@@ -9,7 +9,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from corpusengine.functions.votes import majority_vote
-from corpusengine.operators import models
+from corpusengine.operators import bayes, models
 from corpusengine.operators.each import each
 from corpusengine.operators.lookup import attach
 from corpusengine.plans import classify as plan
@@ -144,13 +144,83 @@ def hashing_tfidf(spark, sf):
     return checked.agg(F.sum("tf_double").alias("tf"), F.round(F.max(same), 6).alias("gap"))
 
 
-@query("naive_bayes")
+# Murmur3 (32 bits, seed 42) of the bytes of a term, as Spark ML hashes it.
+def _murmur_sql(term: str, table: str) -> str:
+    size = "4294967296::hugeint"
+
+    def turned(x: str, bits: int) -> str:
+        return f"({x} * {2**bits} % {size} + {x} // {2 ** (32 - bits)})"
+
+    def mixed(steps: list[tuple[str, str]], inner: str) -> str:
+        for name, step in steps:
+            inner = f"(SELECT term, h, body, {step} AS {name} FROM {inner})"
+        return inner
+
+    byte = "('0x' || substr(h, 2 * ({}) + 1, 2))::hugeint"
+    word = " + ".join(f"{byte.format(f'4 * i + {k}')} * {256**k}" for k in range(4))
+    tail = " + ".join(f"CASE WHEN len(h) // 2 % 4 > {k} THEN {byte.format(f'len(h) // 8 * 4 + {k}')} * {256**k} ELSE 0 END" for k in range(3))
+    first, second = f"3432918353 % {size}", f"461845907 % {size}"
+    blocks = f"""(SELECT term, h, list_transform(list_transform(list_transform(
+  range(0, len(h) // 8), lambda i: ({word}) * {first}), lambda k: {turned("k", 15)}), lambda k: k * {second}) AS body
+FROM (SELECT DISTINCT {term} AS term, hex(encode({term})) AS h FROM {table}))"""
+    folded = f"""(SELECT term, h, list_reduce(list_prepend(42::hugeint, body), lambda x, k: ({turned("xor(x, k)", 13)} * 5 + 3864292196) % {size}) AS body
+FROM {blocks})"""
+    steps = [
+        ("t1", f"({tail}) * {first}"),
+        ("t2", f"{turned('t1', 15)} * {second}"),
+        ("x1", "xor(xor(body, t2), (len(h) // 2)::hugeint)"),
+        ("x2", f"xor(x1, x1 // 65536) * 2246822507 % {size}"),
+        ("x3", f"xor(x2, x2 // 8192) * 3266489909 % {size}"),
+        ("x4", "xor(x3, x3 // 65536)"),
+    ]
+    return f"SELECT term, (x4 - CASE WHEN x4 >= 2147483648 THEN {size} ELSE 0 END)::bigint AS hash FROM {mixed(steps, folded)}"
+
+
+# Scores of all classes of the held-out documents, learned from the others without Spanish ones.
+BAYES_SQL = rf"""
+WITH split AS (
+  SELECT doc_id, lang, ('0x' || left(md5(doc_id::varchar), 8))::bigint % 100 < 80 AS train, text FROM documents),
+counts AS (
+  SELECT doc_id, lang, train, term, count(*) AS n
+  FROM (SELECT doc_id, lang, train, unnest(string_split_regex(regexp_replace(lower(text), '\s+$', ''), '\s')) AS term FROM split)
+  WHERE NOT train OR lang <> 'es' GROUP BY ALL),
+hashed AS (SELECT term, (hash % 1000000 + 1000000) % 1000000 AS bucket FROM ({_murmur_sql("term", "counts")})),
+tf AS (SELECT doc_id, lang, train, bucket, sum(n)::double AS tf FROM counts JOIN hashed USING (term) GROUP BY ALL),
+classes AS (
+  SELECT lang AS class, count(*) AS n, ln(count(*) + 1) - ln(sum(count(*)) OVER () + count(*) OVER ()) AS prior,
+    sum(count(*)) OVER () AS total, row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS i
+  FROM split WHERE train AND lang <> 'es' GROUP BY lang),
+idf AS (SELECT bucket, ln((any_value(total) + 1) / (count(*) + 1)) AS idf FROM tf, (SELECT any_value(total) AS total FROM classes) WHERE train GROUP BY bucket),
+sums AS (SELECT lang AS class, bucket, sum(tf * idf) AS s FROM tf JOIN idf USING (bucket) WHERE train GROUP BY ALL),
+rest AS (SELECT class, ln(sum(s) + 1000000) AS rest FROM sums GROUP BY class),
+weights AS (
+  SELECT doc_id, bucket, tf * coalesce(idf, ln((SELECT any_value(total) FROM classes) + 1)) AS w FROM tf LEFT JOIN idf USING (bucket) WHERE NOT train),
+scored AS (
+  SELECT doc_id, class, any_value(prior) + sum(w * (coalesce(ln(s + 1), 0) - rest)) AS score, any_value(i) AS i
+  FROM (SELECT * FROM weights, (SELECT * FROM classes JOIN rest USING (class))) LEFT JOIN sums USING (class, bucket) GROUP BY doc_id, class),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i) = 1)
+SELECT doc_id, lang, i::double AS prediction_nb, class AS "nbClass", round(score, 3) AS score FROM best JOIN split USING (doc_id)"""
+
+
+@query("naive_bayes", BAYES_SQL)
 def naive_bayes(spark, sf):
     """Trained without one class, stored, loaded, applied to the held-out part."""
     train, test = _split(documents(spark, sf, "text", "lang"))
     path = scratch_path(spark, "naive-bayes")
-    models.train_naive_bayes(train, "text", "lang", excluded_class="es", n_features=1 << 16, path=path)
-    return PipelineModel.load(path).transform(test).select("doc_id", "lang", "prediction_nb", "nbClass")
+    models.train_naive_bayes(train, "text", "lang", excluded_class="es", path=path)
+    score = F.round(F.array_max(vector_to_array("rawPrediction")), 3).alias("score")
+    return PipelineModel.load(path).transform(test).select("doc_id", "lang", "prediction_nb", "nbClass", score)
+
+
+@query("naive_bayes_table", BAYES_SQL)
+def naive_bayes_table(spark, sf):
+    """The same classes and scores from a model that is a table."""
+    words = models.spaced_words(documents(spark, sf, "text", "lang"), "text")
+    train, test = _split(words)
+    model = bayes.fit_bayes_table(train, "words", "lang", excluded_class="es")
+    found = bayes.apply_bayes_table(test, "words", model)
+    at = F.array_position(F.array(*map(F.lit, model.labels)), F.col("nbClass")).cast("double") - 1
+    return found.select("doc_id", "lang", at.alias("prediction_nb"), "nbClass", F.round(F.array_max("scores"), 3).alias("score"))
 
 
 @query("svm")

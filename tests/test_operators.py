@@ -1,6 +1,8 @@
 import math
 import random
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -185,6 +187,30 @@ def test_cooccurrence(spark):
     assert got == {(1, a, b) for a in "abc" for b in "abc" if a != b}
 
 
+def test_cooccurrence_of_nulls_repeats_and_short_texts(spark):
+    docs = [(1, ["b", None, "a", "b"]), (2, []), (3, None), (4, ["x", "x", "x"]), (5, ["z", "y", "z", "y"])]
+    frame = spark.createDataFrame(docs, "id int, kept array<string>")
+    for window in (2, 3):
+        expected = set()
+        for i, words in docs:
+            if words and len(words) >= window:
+                pairs = {(x, y) for k, x in enumerate(words) for y in words[k + 1 : k + window] if x and y and x != y}
+                expected |= {(i, *p) for x, y in pairs for p in ((x, y), (y, x))}
+        rows = [tuple(r) for r in keywords.sliding_cooccurrence(frame, "id", window=window).collect()]
+        assert sorted(rows) == sorted(expected)
+
+
+def test_cooccurrence_time_follows_the_tokens(spark):
+    def seconds(n):
+        words = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda k: (k * k % 7919).cast("string"))
+        start = time.perf_counter()
+        keywords.sliding_cooccurrence(spark.range(1).select("id", words.alias("kept")), "id").count()
+        return time.perf_counter() - start
+
+    seconds(1_000)
+    assert seconds(40_000) < 4 * seconds(10_000) + 1
+
+
 @pytest.mark.parametrize("window", [2, 5])
 def test_word_ranks_agree_with_model(spark, window):
     docs = random_docs(window, 40, WORDS, 30)
