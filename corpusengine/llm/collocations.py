@@ -18,13 +18,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window as W
+from pyspark.sql import DataFrame, SparkSession, functions as F, Window as W
 
 from corpusengine.llm.registry import query
 from corpusengine.operators.lookup import attach
 from corpusengine.session import scratch_path, stage
 
-SHARDS = 3
+SHARDS = 2
 LONGEST = 3
 # A filter has at least BITS bits for each phrase, as long as it is not larger than FILTER_BITS (64 MB).
 BITS = 12
@@ -160,6 +160,11 @@ class Counts:
         if self.step < self.shards:
             at = np.flatnonzero(self.single[2:]) + 2
             yield from self._batches(1, [at], np.full(len(at), -1), self.single[at])
+            langs = dict.fromkeys(self.langs[2:], 0)
+            for lang, n in zip(self.langs[2:], self.single[2:].tolist(), strict=False):
+                langs[lang] += n
+            columns = [[0] * len(langs), [*langs], [""] * len(langs), [-1] * len(langs), [*langs.values()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PHRASES, strict=True)], schema=_PHRASES)
         mask = (1 << PLACES) - 1
         if self.longer[2]:
             keys, n = merged(self.longer[2])
@@ -194,7 +199,10 @@ def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 def counted(shard: DataFrame, step: int, shards: int, words: list, pairs: list) -> DataFrame:
-    """(k, lang, phrase, since, n) of a shard's texts, of what is counted in this step; several rows a phrase."""
+    """(k, lang, phrase, since, n) of a shard's texts, of what is counted in this step; several rows a phrase.
+
+    The phrase of length 0 stands for all words of a language.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts(step, shards, *(Steps([(t, np.frombuffer(b.value, np.uint8)) for t, b in part]) for part in (words, pairs)))
@@ -251,21 +259,23 @@ def frequent_phrases(docs: DataFrame, threshold: int, shards: int = SHARDS, lang
     rows.write.partitionBy("shard").parquet(path)
     dealt = spark.read.schema("lang string, text string, shard int").parquet(path)
     filters: dict[int, list] = {1: [], 2: []}
-    going, done, totals = None, [], None
+    going, done = None, []
     step, last = 0, shards - 1
     while step <= last:
         shard = dealt.where(F.col("shard") == step % shards).drop("shard")
         found = counted(shard, step, shards, filters[1], filters[2]).withColumn("hit", F.lit(None).cast("int"))
         found = found if going is None else found.unionByName(going)
-        found = found.groupBy("k", "lang", "phrase").agg(F.max("since").alias("since"), F.sum("n").alias("n"), F.min("hit").alias("hit"))
+        # Tasks have added up what they read, so rows are dealt as they are and added up once.
+        found = found.repartition("lang", "phrase").groupBy("lang", "phrase").agg(
+            F.max("k").alias("k"), F.max("since").alias("since"), F.sum("n").alias("n"), F.min("hit").alias("hit")
+        )
         hit = F.coalesce("hit", F.when(F.col("n") >= threshold, F.lit(step)))
-        found = stage(found.withColumn("hit", hit), f"phrases-{step}")
         complete = F.col("since") + shards <= step
-        done.append(found.where(complete & (F.col("n") >= threshold)).select("k", "lang", "phrase", "n"))
-        going = found.where(~complete)
-        if step == shards - 1:
-            totals = stage(found.where(F.col("k") == 1).groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
-        fresh = found.where((F.col("hit") == step) & (F.col("k") < LONGEST))
+        kept = ~complete | (F.col("n") >= threshold) | (F.col("k") == 0)
+        found = stage(found.withColumns({"hit": hit, "complete": complete}).where(kept), f"phrases-{step}")
+        done.append(found.where("complete").select("k", "lang", "phrase", "n"))
+        going = found.where("NOT complete").drop("complete")
+        fresh = found.where((F.col("hit") == step) & F.col("k").isin(list(filters)))
         for k, n in sorted((r["k"], r["n"]) for r in fresh.groupBy("k").agg(F.count("*").alias("n")).collect()):
             bits = bloom(fresh.where(F.col("k") == k), n)
             filters[k].append((step, spark.sparkContext.broadcast(bits)))
@@ -274,7 +284,8 @@ def frequent_phrases(docs: DataFrame, threshold: int, shards: int = SHARDS, lang
     whole = done[0]
     for part in done[1:]:
         whole = whole.unionByName(part)
-    return stage(whole, "frequent-phrases"), totals
+    whole = stage(whole, "frequent-phrases")
+    return whole.where("k > 0"), whole.where("k = 0").select("lang", "n")
 
 
 def collocations(
@@ -287,31 +298,19 @@ def collocations(
     Best are those of high score, then of high count, then in order of their bytes. Arithmetic is in decimals.
     """
     phrases, totals = frequent_phrases(docs, threshold, shards, lang)
-
-    def of(k: int, count: str, name: str) -> DataFrame:
-        return phrases.where(F.col("k") == k).select("lang", F.col("phrase").alias(name), F.col("n").alias(count))
-
-    def part(first: int) -> Column:
-        return F.substring_index("phrase", " ", first)
-
-    twos = of(2, "a", "phrase").withColumns({"x": part(1), "y": part(-1)})
-    twos = attach(attach(twos, of(1, "l1", "x"), ["lang", "x"]), of(1, "r1", "y"), ["lang", "y"])
-    threes = of(3, "a", "phrase").withColumns({"x": part(1), "y": part(-1), "xy": part(2), "yz": part(-2)})
-    covers = threes.select("lang", F.explode(F.array("xy", "yz")).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
-    for name, k, count in (("x", 1, "l1"), ("yz", 2, "r1"), ("xy", 2, "l2"), ("y", 1, "r2")):
-        threes = attach(threes, of(k, count, name), ["lang", name])
-    twos = twos.join(covers, ["lang", "phrase"], "left").where(~F.coalesce(100 * F.col("longer") >= covered * F.col("a"), F.lit(False)))
-    twos = twos.select("lang", "phrase", "a", "l1", "r1", F.lit(None).cast("long").alias("l2"), F.lit(None).cast("long").alias("r2"))
-    both = twos.unionByName(threes.select("lang", "phrase", "a", "l1", "r1", "l2", "r2"))
-
-    def score(l: str, r: str) -> Column:
-        wide = "cast({} as decimal(14,0))".format
-        return F.expr(f"({wide('a')} * {wide('a')} * cast(1000000 as decimal(7,0))) div ({wide(l)} * {wide(r)})")
-
-    both = both.withColumns({"s1": score("l1", "r1"), "s2": score("l2", "r2")})
-    second = F.coalesce(F.col("s2") < F.col("s1"), F.lit(False))
-    chosen = [F.when(second, F.col(f"{c}2")).otherwise(F.col(f"{c}1")).alias(name) for c, name in (("l", "l"), ("r", "r"), ("s", "score"))]
-    scored = both.select("lang", "phrase", "a", *chosen)
+    cut = F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut")
+    cuts = phrases.where("k > 1").select("k", "lang", "phrase", F.col("n").alias("a"), cut)
+    cuts = cuts.withColumns({"head": F.expr("substring_index(phrase, ' ', cut)"), "tail": F.expr("substring_index(phrase, ' ', cut - k)")})
+    for side, count in (("head", "l"), ("tail", "r")):
+        counts = phrases.select("lang", F.col("phrase").alias(side), F.col("n").alias(count))
+        cuts = stage(attach(cuts, counts, ["lang", side]), f"cuts-{side}")
+    wide = "cast({} as decimal(14,0))".format
+    score = F.expr(f"({wide('a')} * {wide('a')} * cast(1000000 as decimal(7,0))) div ({wide('l')} * {wide('r')})")
+    lowest = F.min(F.struct(score.alias("score"), "cut", "l", "r")).alias("low")
+    scored = cuts.groupBy("lang", "phrase", "k", "a").agg(lowest).select("lang", "phrase", "k", "a", "low.l", "low.r", "low.score")
+    longer = cuts.where("k > 2").select("lang", "a", F.explode(F.array("head", "tail")).alias("phrase")).where(F.contains("phrase", F.lit(" ")))
+    longer = longer.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
+    scored = scored.join(longer, ["lang", "phrase"], "left").where(~F.coalesce(100 * F.col("longer") >= covered * F.col("a"), F.lit(False)))
     order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return attach(best, totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
