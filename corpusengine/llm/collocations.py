@@ -30,6 +30,7 @@ LONGEST = 3
 BITS = 12
 FILTER_BITS = 1 << 29
 BLOCK_BITS = 1 << 16
+PROBES = 3
 # A task counts so many words at once, and hands on its counts when it holds so many phrases or words.
 CHUNK = 2_000_000
 HELD = 3_000_000
@@ -54,10 +55,10 @@ def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(32)
 
 
-def places(h: np.ndarray, bits: int) -> list[np.ndarray]:
-    """Three places of each hash in a filter of so many bits, a power of two."""
+def place(h: np.ndarray, j: int, bits: int) -> np.ndarray:
+    """The j-th place of each hash in a filter of so many bits, a power of two. A phrase has PROBES places."""
     step = h >> np.uint64(32) | np.uint64(1)
-    return [(h + np.uint64(j) * step & np.uint64(bits - 1)).astype(np.int64) for j in range(3)]
+    return (h + np.uint64(j) * step & np.uint64(bits - 1)).astype(np.int64)
 
 
 class Steps:
@@ -69,9 +70,11 @@ class Steps:
     def of(self, h: np.ndarray) -> np.ndarray:
         found = np.full(len(h), NEVER, np.int16)
         for step, bits in sorted(self.filters, key=lambda f: -f[0]):
-            has = np.ones(len(h), bool)
-            for at in places(h, 8 * len(bits)):
-                has &= (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            has = np.arange(len(h))
+            for j in range(PROBES):
+                # Only what all places before speak for is looked up again.
+                at = place(h[has] if j else h, j, 8 * len(bits))
+                has = has[np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)]
             found[has] = step
         return found
 
@@ -104,7 +107,7 @@ class Counts:
         self.single = np.zeros(2, np.int64)
         self.longer: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {2: [], 3: []}
         self.texts: list[np.ndarray] = []
-        self.waiting = 0
+        self.waiting, self.full = 0, False
 
     def add(self, lang: str, text: bytes) -> bool:
         """Whether so much is held that it should be handed on."""
@@ -139,7 +142,7 @@ class Counts:
                     pair[known] = self.pair_steps.of(pair_hash(self.hashes[a[known]], self.hashes[a[known + 1]]))
                     on = np.flatnonzero(self.now(np.maximum(pair[:-1], pair[1:])))
                     self._keep(3, (a[on] << PLACES | a[on + 1]) << PLACES | a[on + 2])
-        return len(self.words) >= 1 << PLACES - 1 or sum(len(u) for part in self.longer.values() for u, _ in part) >= HELD
+        return len(self.words) >= 1 << PLACES - 1 or self.full
 
     def _learn(self) -> None:
         known = len(self.hashes)
@@ -149,10 +152,10 @@ class Counts:
             self.since = np.concatenate([self.since, self.word_steps.of(h)])
 
     def _keep(self, k: int, keys: np.ndarray) -> None:
-        part = self.longer[k]
-        part.append(np.unique(keys, return_counts=True))
-        if len(part) > 8 or sum(len(u) for u, _ in part) >= HELD // 2:
-            self.longer[k] = [merged(part)]
+        self.longer[k].append(np.unique(keys, return_counts=True))
+        if sum(len(u) for u, _ in self.longer[k]) >= HELD:
+            self.longer[k] = [merged(self.longer[k])]
+            self.full |= len(self.longer[k][0][0]) >= HELD // 2
 
     def phrases(self) -> Iterator[pa.RecordBatch]:
         """Everything counted so far."""
@@ -179,17 +182,24 @@ class Counts:
         self.start()
 
     def _batches(self, k: int, at: list[np.ndarray], since: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        words, names = self.words, list(self.ids)
+        number = {lang: i for i, lang in enumerate(names)}
+        lang_of = np.fromiter(map(number.get, self.langs[2:]), np.int32, len(words) - 2) if names else np.zeros(0, np.int32)
         for i in range(0, len(n), 1 << 16):
             part = slice(i, i + (1 << 16))
-            rows = list(zip(*(x[part].tolist() for x in at), strict=True))
-            words = self.words
-            phrases = [b" ".join([words[x] for x in row]) for row in rows]
-            langs = [self.langs[row[0]] for row in rows]
-            columns = [np.full(len(rows), k), langs, phrases, since[part], n[part]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PHRASES, strict=True)], schema=_PHRASES)
+            first, *rest = (x[part].tolist() for x in at)
+            phrases = [words[x] for x in first]
+            for more in rest:
+                phrases = [phrase + b" " + words[x] for phrase, x in zip(phrases, more, strict=True)]
+            langs = pa.array(names, pa.string()).take(pa.array(lang_of[at[0][part] - 2]))
+            columns = [pa.array(np.full(len(first), k), pa.int32()), langs, pa.array(phrases, pa.string())]
+            columns += [pa.array(since[part], pa.int32()), pa.array(n[part], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, schema=_PHRASES)
 
 
 def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if len(parts) == 1:
+        return parts[0]
     keys = np.concatenate([u for u, _ in parts])
     n = np.concatenate([c for _, c in parts])
     order = np.argsort(keys, kind="stable")
@@ -228,7 +238,8 @@ def bloom(phrases: DataFrame, n: int) -> bytes:
             ]
             if rows:
                 h = np.array(rows, np.uint64)
-                at = np.concatenate(places(h[:, 0] if h.shape[1] == 1 else pair_hash(h[:, 0], h[:, 1]), bits))
+                h = h[:, 0] if h.shape[1] == 1 else pair_hash(h[:, 0], h[:, 1])
+                at = np.concatenate([place(h, j, bits) for j in range(PROBES)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(at // BLOCK_BITS, pa.int32()), pa.array(at % BLOCK_BITS, pa.int32())], ["block", "at"]
                 )
