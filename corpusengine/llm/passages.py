@@ -260,7 +260,7 @@ def with_passages(docs: DataFrame, model: Model, out: str = "passages", score: s
             rows = [passages(data, model) for data in _texts(batch)]
             totals = [model.intercept + model.slope * math.log1p(sum(p[3] for p in row)) for row in rows]
             made = pa.array([[dict(zip(keys, p, strict=True)) for p in row] for row in rows], shape)
-            scores = pa.array([1 / (1 + math.exp(min(-t, 700.0))) for t in totals], pa.float64())
+            scores = pa.array([1 / (1 + math.exp(-t)) if t > -700 else 0.0 for t in totals], pa.float64())
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], made, scores], [*names, out, score])
 
     return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, f"{kinds}, `{out}` {SEGMENTS}, `{score}` double")

@@ -13,9 +13,9 @@ import os
 import re
 from array import array
 
-# Entries kept in a worker before its memory of units, or of their parts, starts afresh.
-KEPT_UNITS = 300_000
-KEPT_PARTS = 600_000
+# Entries of a generation of a worker's memory of units, and of their parts.
+KEPT_UNITS = 250_000
+KEPT_PARTS = 350_000
 
 # The letters a word is put together from without asking how the library normalises it: composed Latin ones.
 LAST_LATIN = "\u024f"
@@ -32,7 +32,29 @@ def byte_letters() -> dict[int, str]:
     return {byte: chr(byte) for byte in shown} | {byte: chr(256 + k) for k, byte in enumerate(hidden)}
 
 
-class UnitIds(dict):
+class Memory(dict):
+    """What was found out, in two generations: a full one becomes the older one, whose entries come back as they are
+    met again, and what the older one still holds by then is forgotten. So frequent entries stay."""
+
+    def __init__(self, kept: int):
+        super().__init__()
+        self.kept, self.older = kept, {}
+
+    def recall(self, key: str) -> bytes | None:
+        """An entry of the older generation, which is young again by that."""
+        found = self.older.get(key)
+        if found is not None:
+            self.note(key, found)
+        return found
+
+    def note(self, key: str, found: bytes) -> None:
+        if len(self) >= self.kept:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+
+
+class UnitIds(Memory):
     """unit -> its ids as little-endian unsigned 32-bit integers; a unit not yet seen is asked of the library.
 
     A word of Latin letters is one piece, and closing marks behind it are another: the merges of such a word are
@@ -45,29 +67,27 @@ class UnitIds(dict):
         from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        super().__init__()
+        super().__init__(KEPT_UNITS)
         self.tokenizer, self.model = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = self.model.encode_special_tokens = True
         self.spaced = isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel)
         self.model.normalizer = self.model.pre_tokenizer = None
         self.letters = byte_letters()
-        self.parts: dict[str, bytes] = {}
+        self.parts = Memory(KEPT_PARTS)
 
     def ask(self, unit: str) -> bytes:
         return array("I", self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
 
     def part(self, part: str, letters: bool) -> bytes:
         """The ids of a piece: of letters, with their space if there is one, or of marks."""
-        found = self.parts.get(part)
+        found = self.parts.get(part) or self.parts.recall(part)
         if found is None:
-            if len(self.parts) >= KEPT_PARTS:
-                self.parts.clear()
             if letters:
                 spelt = part.encode().decode("latin-1").translate(self.letters)
                 found = array("I", self.model.encode(spelt, add_special_tokens=False).ids).tobytes()
             else:
                 found = self.ask(part)
-            self.parts[part] = found
+            self.parts.note(part, found)
         return found
 
     def made(self, unit: str) -> bytes:
@@ -84,11 +104,11 @@ class UnitIds(dict):
         return self.ask(unit)
 
     def __missing__(self, unit: str) -> bytes:
-        found = self.made(" " + unit if self.spaced else unit)
-        if len(unit) <= 64:
-            if len(self) >= KEPT_UNITS:
-                self.clear()
-            self[unit] = found
+        found = self.recall(unit)
+        if found is None:
+            found = self.made(" " + unit if self.spaced else unit)
+            if len(unit) <= 64:
+                self.note(unit, found)
         return found
 
     def encode(self, text: str) -> bytes:
