@@ -59,3 +59,5 @@ LABEL_EXCLUSIONS = {"军事": ["娱乐", "旅游", "体育", "汽车"]}
 WORD_VECTOR_SIZE = 200
 HASH_FEATURES = 1_000_000
 SPLIT_SEED = 1231
+# Words that word vectors are learned for, at most; the driver holds two vectors of each.
+VOCABULARY_BOUND = 200_000

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LinearSVC,
+    LinearSVCModel,
     MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
     NaiveBayes,
@@ -22,16 +23,35 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame, functions as F
 
 from corpusengine import constants as C
-from corpusengine.operators.evaluate import evaluator_f1
+from corpusengine.operators.each import each
+from corpusengine.operators.evaluate import member_scores
+from corpusengine.session import stage
 from corpusengine.sources import load_model, save_model
 
 
+# Rows that a task learns from in each round.
+LEARNING_BYTES = 16 << 20
+# Words that a task learns vectors from.
+LEARNING_TOKENS = 250_000
+
+
 def _saved(model, path: str | None):
     if path:
         save_model(model, path)
     return model
 
 
+def for_learning(df: DataFrame, row_bytes: int, name: str = "learning") -> DataFrame:
+    """``df``, stored, in as many partitions as its rows need and no more: a round of learning is a task for each.
+
+    ``row_bytes`` is what a row takes in memory. With rows counted, small inputs are one partition and large ones grow
+    with their size, whatever the partitions before.
+    """
+    rows = stage(df, name)
+    parts = max(1, -(-rows.count() * row_bytes // LEARNING_BYTES))
+    return rows.repartition(parts) if parts > 1 else rows.coalesce(1)
+
+
 def train_label_index(df: DataFrame, label: str, out: str = "indexedClass", path: str | None = None) -> StringIndexerModel:
     """Labels by falling frequency, then by name."""
     indexer = StringIndexer(inputCol=label, outputCol=out, stringOrderType="frequencyDesc", handleInvalid="error")
@@ -42,6 +62,19 @@ def space_tokenizer(words_col: str, out: str = "words") -> RegexTokenizer:
     return RegexTokenizer(inputCol=words_col, outputCol=out, pattern=C.TOKEN_SEPARATOR)
 
 
+def vocabulary_plan(words: DataFrame, words_col: str = "words", max_words: int = C.VOCABULARY_BOUND) -> tuple[int, int]:
+    """The least count a word needs so that at most ``max_words`` have it, and the partitions to learn in.
+
+    From the table of all word counts. Words that are as frequent as the first one left out are left out too.
+    """
+    counts = each(words, [], words_col, "word").groupBy("word").agg(F.count("*").alias("n"))
+    counts = stage(counts, "word-counts")
+    tokens = counts.agg(F.sum("n")).first()[0] or 0
+    top = counts.orderBy(F.desc("n")).limit(max_words + 1).agg(F.count("*").alias("words"), F.min("n").alias("least")).first()
+    min_count = top["least"] + 1 if top["words"] > max_words else 1
+    return min_count, max(1, -(-tokens // LEARNING_TOKENS))
+
+
 def train_word2vec(
     df: DataFrame,
     words_col: str,
@@ -49,14 +82,19 @@ def train_word2vec(
     size: int = C.WORD_VECTOR_SIZE,
     path: str | None = None,
     seed: int = C.SPLIT_SEED,
+    max_words: int = C.VOCABULARY_BOUND,
     **settings,
 ) -> PipelineModel:
     """Tokenise and learn word vectors; the model adds ``words`` and the mean vector of a text.
 
-    ``numPartitions`` spreads the learning, ``minCount`` bounds the vocabulary the driver holds.
+    The driver holds the vocabulary, so it has at most ``max_words`` words, the most frequent ones, whatever the size of
+    the corpus: ``minCount`` follows from their counts and ``numPartitions`` from the number of tokens, unless given.
     """
-    learner = Word2Vec(inputCol="words", outputCol=out, vectorSize=size, seed=seed, **{"minCount": 1, **settings})
-    return _saved(Pipeline(stages=[space_tokenizer(words_col), learner]).fit(df), path)
+    if not {"minCount", "numPartitions"} <= settings.keys():
+        min_count, parts = vocabulary_plan(space_tokenizer(words_col).transform(df.select(words_col)), "words", max_words)
+        settings = {"minCount": min_count, "numPartitions": parts, **settings}
+    learner = Word2Vec(inputCol="words", outputCol=out, vectorSize=size, seed=seed, **settings)
+    return _saved(Pipeline(stages=[space_tokenizer(words_col), learner]).fit(df.select(words_col)), path)
 
 
 def word2vec_fit_transform(
@@ -79,8 +117,10 @@ def train_mlp(
     learner = MultilayerPerceptronClassifier(
         layers=layers, featuresCol=features, labelCol=label, predictionCol=prediction, maxIter=max_iter, seed=seed
     )
-    model = learner.setRawPredictionCol("").setProbabilityCol("").fit(df)
-    return _saved(model, path)
+    rows = df.select(features, label)
+    if not df.storageLevel.useMemory:
+        rows = for_learning(rows, 8 * layers[0])
+    return _saved(learner.setRawPredictionCol("").setProbabilityCol("").fit(rows), path)
 
 
 def train_mlp_ensemble(
@@ -89,7 +129,7 @@ def train_mlp_ensemble(
     """One perceptron per layer list; member i predicts ``prediction_i``. All learn from the same rows."""
     if paths is not None and len(paths) != len(layer_specs):
         raise ValueError("one path per layer list")
-    rows = df.select(features, label).persist()
+    rows = for_learning(df.select(features, label), 8 * max(sizes[0] for sizes in layer_specs), "members").persist()
     try:
         return [
             train_mlp(rows, layers, features, label, f"prediction_{i}", paths[i] if paths else None, **settings)
@@ -113,7 +153,7 @@ def apply_mlp_ensemble(df: DataFrame, models: list) -> DataFrame:
 
 
 def member_f1(df: DataFrame, label: str, members: int) -> list[float]:
-    return [evaluator_f1(df, label, f"prediction_{i}") for i in range(members)]
+    return list(member_scores(df, label, [f"prediction_{i}" for i in range(members)]).values())
 
 
 def hashing_tfidf(words_col: str = "words", out: str = "tfidf", n_features: int = C.HASH_FEATURES) -> list:
@@ -143,12 +183,18 @@ def train_naive_bayes(
     return _saved(Pipeline(stages=stages).fit(indexer.transform(df)), path)
 
 
+def train_svm(df: DataFrame, features: str, label: str, max_iter: int = 200, reg: float = 0.01) -> LinearSVCModel:
+    """A binary linear support vector machine; labels are 1 and 0."""
+    rows, first = df.select(features, label), df.select(features).first()
+    width = len(first[0]) if first else 1
+    return LinearSVC(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg).fit(for_learning(rows, 8 * width))
+
+
 def run_svm(
     train: DataFrame, test: DataFrame, id_col: str, features: str, label: str, max_iter: int = 200, reg: float = 0.01
 ) -> DataFrame:
-    """(id, prediction) of a binary linear support vector machine."""
-    learner = LinearSVC(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg)
-    model = learner.fit(train.select(features, label))
+    """(id, prediction) of a machine learned from ``train``."""
+    model = train_svm(train, features, label, max_iter, reg)
     return model.transform(test.select(id_col, features)).select(id_col, "prediction")
 
 

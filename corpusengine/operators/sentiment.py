@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from corpusengine import constants as C
+from corpusengine.functions.fold import scorer
 from corpusengine.functions.text import round_half_up_2, split_clauses, tokens, trim_control
 from corpusengine.operators.each import each
-from corpusengine.operators.lookup import attach
+from corpusengine.operators.lookup import attach, is_small
+from corpusengine.session import stage
 
 
 def modifier_dictionary(lexicon: DataFrame, adverbs: DataFrame, negations: DataFrame) -> DataFrame:
@@ -23,9 +25,8 @@ def modifier_dictionary(lexicon: DataFrame, adverbs: DataFrame, negations: DataF
     )
 
 
-def clause_sentiment(
+def with_clauses(
     df: DataFrame,
-    id_col: str,
     title: str,
     content: str,
     lexicon: DataFrame,
@@ -33,21 +34,58 @@ def clause_sentiment(
     negations: DataFrame,
     mode: str = "word",
     marks: str = C.CLAUSE_MARKS,
+    out: str = "clauses",
 ) -> DataFrame:
-    """(id, clause, score) of clauses with a sentiment word, and of clause 0 in any case.
+    """``df`` with the scores of the clauses of each row: clause 0 in any case, and those with a sentiment word.
 
     A sentiment word is changed by the negations and adverbs between it and the sentiment word before it. Before the
     first one they count from position 1, so the token at position 0 changes nothing.
+
+    Rows stay where they are, whatever their ids and however many have the same text: the dictionary, whose size is
+    measured first, goes to the tasks and a clause is folded over there. A dictionary that is too large to be sent is
+    joined with the tokens instead, by a number that each row gets; there too no two rows meet.
     """
-    clauses = each(df, [id_col], split_clauses(title, content, marks), "clause", "text")
-    words = clauses.select(id_col, "clause", F.posexplode_outer(tokens("text", mode)).alias("pos", "word"))
-    words = words.withColumn("word", trim_control("word"))
-    known = attach(words, modifier_dictionary(lexicon, adverbs, negations), "word", "left")
+    words = modifier_dictionary(lexicon, adverbs, negations).where(F.col("word").isNotNull())
+    clauses = split_clauses(title, content, marks)
+    if is_small(words):
+        entries = {row["word"]: (row["weight"], row["adverb"], row["negates"]) for row in words.toLocalIterator()}
+        lists = F.transform(clauses, lambda text: F.transform(tokens(text, mode), trim_control))
+        return df.withColumn(out, scorer(entries)(lists))
+    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "numbered-rows")
+    found = _joined_clauses(rows, "_row", clauses, words, mode)
+    listed = found.groupBy("_row").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("clause").cast("int").alias("clause"), "score"))).alias(out)
+    )
+    return rows.drop(out).join(listed, "_row", "left").select(*[c for c in df.columns if c != out], out)
+
+
+def clause_sentiment(
+    df: DataFrame,
+    id_col: str,
+    title: str,
+    content: str,
+    lexicon: DataFrame,
+    adverbs: DataFrame,
+    negations: DataFrame,
+    mode: str = "word",
+    marks: str = C.CLAUSE_MARKS,
+) -> DataFrame:
+    """(id, clause, score) of clauses with a sentiment word, and of clause 0 in any case; scores as in ``with_clauses``.
+
+    Rows of equal ids are parts of one document: different scores of a clause add up, equal ones count once.
+    """
+    rows = with_clauses(df.select(id_col, title, content), title, content, lexicon, adverbs, negations, mode, marks, "_clauses")
+    found = each(rows, [id_col], "_clauses", "_found").select(id_col, "_found.clause", "_found.score")
+    return found.groupBy(id_col, "clause").agg(F.sum_distinct("score").alias("score"))
+
+
+def _joined_clauses(df: DataFrame, id_col: str, clauses: Column, words: DataFrame, mode: str) -> DataFrame:
+    parts = each(df, [id_col], clauses, "clause", "text")
+    found = parts.select(id_col, "clause", F.posexplode_outer(tokens("text", mode)).alias("pos", "word"))
+    known = attach(found.withColumn("word", trim_control("word")), words, "word", "left")
     # Only dictionary words go on, and one row per document, so that none is lost.
     is_anchor = (F.col("clause") == 0) & (F.coalesce("pos", F.lit(0)) == 0)
     known = known.where(F.col("negates").isNotNull() | is_anchor)
-    # Rows of equal ids and texts are one document; the rows stay where the windows below want them.
-    known = known.repartition(id_col, "clause").dropDuplicates([id_col, "clause", "pos"])
 
     before = W.partitionBy(id_col, "clause").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
     is_sentiment = F.col("weight").isNotNull()
@@ -78,14 +116,26 @@ def _shares(clauses: DataFrame, id_col: str) -> DataFrame:
     return clauses.groupBy(id_col).agg(positive.alias("positive"), negative.alias("negative"))
 
 
-def sentiment_percent(clauses: DataFrame, id_col: str, out: str = "sentiment") -> DataFrame:
-    """(id, [positive share, negative share]) from clause scores; [0.5, 0.5] without a signal."""
+def _share(part: Column, other: Column) -> Column:
+    whole = part + other
+    return F.when(whole == 0, 0.5).otherwise(round_half_up_2(part / F.nullif(whole, F.lit(0.0))))
+
+
+def percent_in_row(clauses: Column | str) -> Column:
+    """[positive share, negative share] of an array of clause scores; [0.5, 0.5] without a signal."""
+
+    def total(sign: int) -> Column:
+        return F.aggregate(
+            clauses, F.lit(0.0), lambda sum_, c: sum_ + F.when((c["score"] >= 0) == (sign > 0), sign * c["score"]).otherwise(0.0)
+        )
 
-    def share(part: str) -> Column:
-        whole = F.col("positive") + F.col("negative")
-        return F.when(whole == 0, 0.5).otherwise(round_half_up_2(F.col(part) / F.nullif(whole, F.lit(0.0))))
+    return F.array(_share(total(1), total(-1)), _share(total(-1), total(1)))
 
-    return _shares(clauses, id_col).select(id_col, F.array(share("positive"), share("negative")).alias(out))
+
+def sentiment_percent(clauses: DataFrame, id_col: str, out: str = "sentiment") -> DataFrame:
+    """(id, [positive share, negative share]) from clause scores; [0.5, 0.5] without a signal."""
+    shares = F.array(_share(F.col("positive"), F.col("negative")), _share(F.col("negative"), F.col("positive")))
+    return _shares(clauses, id_col).select(id_col, shares.alias(out))
 
 
 def sentiment_sign(clauses: DataFrame, id_col: str, out: str = "sentiment") -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from corpusengine.functions.text import origin_flag
 from corpusengine.operators.keywords import with_keywords
 from corpusengine.operators.places import with_region
-from corpusengine.operators.sentiment import clause_sentiment, sentiment_percent
+from corpusengine.operators.sentiment import percent_in_row, with_clauses
 from corpusengine.operators.summary import with_summary
 from corpusengine.plans.classify import Classifier, classify_text
 
@@ -55,9 +55,8 @@ def enrich(
 ) -> DataFrame:
     """``df`` with ``original``, ``keywords``, ``summary``, ``sentiment`` and ``region``, and the class if asked for.
 
-    Every row keeps its columns and gets new ones, whatever its id; rows are neither lost nor multiplied. All but the
-    sentiment is computed inside the row. Sentiment looks words up in dictionaries, so it is computed per different
-    text and joined once, by a hash of title and text.
+    Every row keeps its columns and gets new ones, whatever its id; rows are neither lost nor multiplied. Everything is
+    computed inside the row: with dictionaries of usual size nothing is shuffled, and equal texts never meet.
     """
     c = columns
     base = df if classifier is None else classify_text(df, c.id, classifier, brands, c.words, **(rules or {}))
@@ -65,9 +64,7 @@ def enrich(
     base = with_keywords(base, c.tagged_title, c.tagged_text, words.stop_words, words.remove, **(keyword_options or {}))
     base = with_summary(base, c.text, stop_words=words.stop_words, **(summary_options or {}))
     base = with_region(base, c.title_places, c.text_places, **(region_options or {}))
-    key = F.sha2(F.to_json(F.struct(F.col(c.title).alias("title"), F.col(c.text).alias("text"))), 256)
-    texts = df.select(key.alias("_text"), c.title, c.text)
-    clauses = clause_sentiment(
-        texts, "_text", c.title, c.text, words.sentiment, words.adverbs, words.negations, **(sentiment_options or {})
+    base = with_clauses(
+        base, c.title, c.text, words.sentiment, words.adverbs, words.negations, out="_clauses", **(sentiment_options or {})
     )
-    return base.withColumn("_text", key).join(sentiment_percent(clauses, "_text"), "_text", "left").drop("_text")
+    return base.withColumn("sentiment", percent_in_row("_clauses")).drop("_clauses")

@@ -8,9 +8,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
+from corpusengine import constants as C
 from corpusengine.functions.votes import majority_vote
-from corpusengine.operators import bayes, models
+from corpusengine.operators import bayes, forward, models
 from corpusengine.operators.each import each
+from corpusengine.operators.evaluate import evaluator_f1, weighted_f1
 from corpusengine.operators.lookup import attach
 from corpusengine.plans import classify as plan
 from corpusengine.plans.enrich import Columns, Dictionaries, enrich as enrich_plan
@@ -30,8 +32,11 @@ from corpusengine.plans.workload.texts import ORIGIN_SQL, origin_line
 from corpusengine.session import scratch_path, stage
 from corpusengine.sources import load_model, save_model, scan_parquet
 
-VECTOR_SIZE = 16
-HIDDEN_LAYERS = [[], [8], [12]]
+# Classifiers and word vectors are learned from at most so many documents, those with the smallest hash of their id, and
+# applied to all. Sizes and rounds are the operators' own: 200 numbers a word, five members, 200 rounds.
+FIT_ROWS = 2_000
+HIDDEN_LAYERS = [[], [8], [12], [16], [16, 8]]
+SLOPE = 0.01
 RULES = {"evidence_labels": ["de"], "fallback": "en", "exclusions": {"fr": ["es", "de"]}}
 
 
@@ -39,8 +44,12 @@ def _split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return models.train_test_split_by_key(df, "doc_id")
 
 
+def _for_fit(df: DataFrame, key: str = "doc_id") -> DataFrame:
+    return stage(df.orderBy(F.xxhash64(key), key).limit(FIT_ROWS), "fit")
+
+
 def _classifier(df: DataFrame) -> plan.Classifier:
-    return plan.train(df, "lang", "text", HIDDEN_LAYERS, vector_size=VECTOR_SIZE, max_iter=40, maxIter=1, numPartitions=8)
+    return plan.train(_for_fit(df), "lang", "text", HIDDEN_LAYERS)
 
 
 def _vectors(spark, sf) -> DataFrame:
@@ -72,14 +81,20 @@ def _mean_gap(applied: DataFrame, model: PipelineModel, keys: list[str]) -> Data
 SPACE_TOKENS_SQL = "len(list_filter(string_split(lower(text), ' '), lambda x: x <> ''))"
 
 
-@query("word2vec", f"SELECT doc_id, {SPACE_TOKENS_SQL} AS tokens, 0.0::double AS gap FROM documents")
+@query("word2vec", f"SELECT doc_id, {SPACE_TOKENS_SQL} AS tokens, 0.0::double AS gap, 0.0::double AS refit FROM documents")
 def word2vec(spark, sf):
-    """Fit on the training part, store, load, apply to all; a text's vector is the mean of its words'."""
+    """Fit on the training part, store, load, apply to all; a text's vector is the mean of its words', and a second fit
+    with the same seed gives the same ones."""
     path = scratch_path(spark, "word2vec")
     df = documents(spark, sf)
-    train, _ = _split(df)
-    models.train_word2vec(train, "text", size=VECTOR_SIZE, path=path, maxIter=1, numPartitions=8)
-    return _mean_gap(models.apply_word2vec(df, path), PipelineModel.load(path), ["doc_id"])
+    train = _for_fit(_split(df)[0])
+    # Learned in one partition, vectors are the same whenever they are learned; the sample is small enough for that.
+    models.train_word2vec(train, "text", path=path, numPartitions=1)
+    again = models.train_word2vec(train, "text", out="again", numPartitions=1)
+    both = again.transform(models.apply_word2vec(df, path).drop("words"))
+    apart = F.array_max(F.zip_with(vector_to_array("wordVec"), vector_to_array("again"), lambda x, y: F.abs(x - y)))
+    both = both.withColumn("refit", F.round(apart, 3))
+    return _mean_gap(both, PipelineModel.load(path), ["doc_id", "refit"])
 
 
 @query(
@@ -89,32 +104,60 @@ def word2vec(spark, sf):
 )
 def word2vec_fit_transform(spark, sf):
     """Short texts: both parts with their vectors, from one model."""
-    talk = scan_parquet(spark, f"{sf}/conversations.parquet", spread_by="conv_id")
+    talk = scan_parquet(spark, f"{sf}/conversations.parquet")
     train, test = models.train_test_split_by_key(talk, "conv_id")
     path = scratch_path(spark, "word2vec")
-    parts = models.word2vec_fit_transform(train, test, "text", path=path, size=VECTOR_SIZE, maxIter=1, numPartitions=8)
+    parts = models.word2vec_fit_transform(train, test, "text", path=path)
     rows = [part.withColumn("in_train", F.lit(i == 0)) for i, part in enumerate(parts)]
     return _mean_gap(rows[0].unionByName(rows[1]), PipelineModel.load(path), ["conv_id", "turn", "in_train"])
 
 
-@query("mlp_ensemble")
+HELD_OUT_SQL = "('0x' || left(md5({}::varchar), 8))::bigint % 100 >= 80"
+
+
+@query(
+    "mlp_ensemble",
+    f"""SELECT vec_id, label::double AS label, 5 AS equal_members, true AS majority FROM embeddings
+WHERE {HELD_OUT_SQL.format("vec_id")}""",
+)
 def mlp_ensemble(spark, sf):
-    """Members on the stored embeddings, saved and loaded, with their majority."""
+    """Five members on the stored embeddings, saved and loaded: how many predict what their stored weights say, and
+    whether the vote is the label that most of them predict, the first one of equals."""
     train, test = models.train_test_split_by_key(_vectors(spark, sf), "vec_id")
-    layers = [[64, 10], [64, 16, 10]]
+    layers = [[64, *hidden, 10] for hidden in HIDDEN_LAYERS]
     paths = [scratch_path(spark, "mlp") for _ in layers]
-    models.train_mlp_ensemble(train, layers, "features", "label", paths, max_iter=30)
+    members = models.train_mlp_ensemble(train, layers, "features", "label", paths)
     scored = models.apply_mlp_ensemble(test, paths)
-    vote = majority_vote(F.array("prediction_0", "prediction_1"))
-    return scored.select("vec_id", "label", "prediction_0", "prediction_1", vote.alias("prediction"))
+    said = [f"prediction_{i}" for i in range(len(layers))]
+    for i, (member, sizes) in enumerate(zip(members, layers)):
+        scored = forward.with_forward(scored, vector_to_array("features"), member.weights, sizes, f"out_{i}")
+    equal = sum(((F.col(p) == forward.predicted(F.col(f"out_{i}"))).cast("int") for i, p in enumerate(said)), F.lit(0))
+    votes = [sum(((F.col(p) == label).cast("int") for p in said), F.lit(0)) for label in range(10)]
+    elected = F.array_position(F.array(*votes), F.greatest(*votes)).cast("double") - 1
+    return scored.select(
+        "vec_id", "label", equal.alias("equal_members"), (majority_vote(F.array(*said)) == elected).alias("majority")
+    )
 
 
-@query("mlp_fit_predict")
+@query(
+    "mlp_fit_predict",
+    f"""SELECT vec_id, label::double AS label, true AS same, 1.0::double AS total, 0.0::double AS gap FROM embeddings
+WHERE {HELD_OUT_SQL.format("vec_id")}""",
+)
 def mlp_fit_predict(spark, sf):
+    """One perceptron, stored and loaded: prediction and probabilities are those of its stored weights."""
     path = scratch_path(spark, "mlp")
     train, test = models.train_test_split_by_key(_vectors(spark, sf), "vec_id")
-    models.train_mlp(train, [64, 10], "features", "label", path=path, max_iter=30)
-    return models.apply_mlp(test, path).select("vec_id", "label", "prediction")
+    layers = [64, 32, 10]
+    models.train_mlp(train, layers, "features", "label", path=path)
+    stored = load_model(spark, path)
+    applied = stored.setProbabilityCol("probability").transform(test)
+    applied = forward.with_forward(applied, vector_to_array("features"), stored.weights, layers, "outputs")
+    chances = forward.probabilities(F.col("outputs"))
+    gap = F.array_max(F.zip_with(chances, vector_to_array("probability"), lambda x, y: F.abs(x - y)))
+    total = F.aggregate(chances, F.lit(0.0), lambda a, x: a + x)
+    same = F.col("prediction") == forward.predicted(F.col("outputs"))
+    return applied.select("vec_id", "label", same.alias("same"), F.round(total, 6).alias("total"), F.round(gap, 6).alias("gap"))
 
 
 @query(
@@ -223,10 +266,24 @@ def naive_bayes_table(spark, sf):
     return found.select("doc_id", "lang", at.alias("prediction_nb"), "nbClass", F.round(F.array_max("scores"), 3).alias("score"))
 
 
-@query("svm")
+@query(
+    "svm",
+    f"SELECT vec_id, true AS same, true AS optimal FROM embeddings WHERE {HELD_OUT_SQL.format('vec_id')}",
+)
 def svm(spark, sf):
+    """Predictions are the sides of the margin, and no direction makes the regularised hinge loss of the training rows
+    fall by more than SLOPE per standard deviation."""
     train, test = models.train_test_split_by_key(_vectors(spark, sf), "vec_id")
-    return models.run_svm(train, test, "vec_id", "features", "positive", max_iter=50)
+    train = stage(train, "svm-train")
+    reg = 0.01
+    model = models.train_svm(train, "features", "positive", reg=reg)
+    weights = forward.stored_numbers(spark, model.coefficients)
+    rows = train.select(vector_to_array("features").alias("x"), "positive")
+    state = stage(forward.hinge_optimality(rows, "x", "positive", weights, model.intercept, reg), "svm-state")
+    applied = forward.with_margin(model.transform(test), vector_to_array("features"), model.coefficients, model.intercept, "margin")
+    same = (F.col("prediction") == 1) == (F.col("margin") > 0)
+    optimal = state.select(F.col("slope") <= SLOPE).scalar()
+    return applied.select("vec_id", same.alias("same"), optimal.alias("optimal"))
 
 
 @query(
@@ -241,23 +298,64 @@ def save_load_model(spark, sf):
     return load_model(spark, path).transform(df).select("doc_id", "indexedClass")
 
 
-@query("evaluate_pipeline")
+@query(
+    "evaluate_pipeline",
+    "SELECT unnest(['member_0', 'member_1', 'member_2', 'member_3', 'member_4', 'ensemble']) AS model, true AS same, true AS good",
+)
 def evaluate_pipeline(spark, sf):
-    """Weighted F1 of members and of their majority on the held-out part."""
+    """Weighted F1 of members and of their majority on the held-out part, from one pass over the stored predictions: the
+    same as SQL and as Spark ML's evaluator make of them, and good."""
     train, test = _split(documents(spark, sf, "text", "lang"))
-    members, ensemble = plan.evaluate(test, _classifier(train))
-    rows = [(f"member_{i}", f1) for i, f1 in enumerate(members)] + [("ensemble", ensemble)]
-    return spark.createDataFrame(rows, "model string, f1 double")
+    classifier = _classifier(train)
+    members, ensemble = plan.evaluate(test, classifier)
+    scored = models.apply_mlp_ensemble(classifier.indexer.transform(classifier.vectors.transform(test)), classifier.members)
+    names = [f"prediction_{i}" for i in range(len(HIDDEN_LAYERS))]
+    stored = stage(scored.select("indexedClass", *names, majority_vote(F.array(*names)).alias("prediction")), "predictions")
+    rows = []
+    for name, column, f1 in zip([*(f"member_{i}" for i in range(len(names))), "ensemble"], [*names, "prediction"], [*members, ensemble]):
+        by_sql = weighted_f1(stored, "indexedClass", column).first()[0]
+        rows.append((name, abs(f1 - by_sql) < 1e-9 and abs(f1 - evaluator_f1(stored, "indexedClass", column)) < 1e-9, f1 > 0.5))
+    return spark.createDataFrame(rows, "model string, same boolean, good boolean")
 
 
-@query("classify_text")
+@query(
+    "classify_text",
+    f"SELECT doc_id, lang, 5 AS equal_members, true AS elected FROM documents WHERE {HELD_OUT_SQL.format('doc_id')}",
+)
 def classify_text(spark, sf):
+    """Held-out documents with their class: how many members predict what their weights say of the text's vector, and
+    whether the class follows from the predictions by counting them in SQL."""
     df = documents(spark, sf, "text", "lang")
     train, test = _split(df)
+    classifier = _classifier(train)
     brands = values(spark, "brand string", *BRANDS)
-    classified = plan.classify_text(test, "doc_id", _classifier(train), brands, words_col="text", **RULES)
-    predictions = [f"prediction_{i}" for i in range(len(HIDDEN_LAYERS))]
-    return classified.select("doc_id", "lang", *predictions, "docClass")
+    names = [f"prediction_{i}" for i in range(len(HIDDEN_LAYERS))]
+    classified = plan.classify_text(test, "doc_id", classifier, brands, words_col="text", **RULES)
+    for i, (member, hidden) in enumerate(zip(classifier.members, HIDDEN_LAYERS)):
+        layers = [C.WORD_VECTOR_SIZE, *hidden, len(classifier.indexer.labels)]
+        classified = forward.with_forward(classified, vector_to_array("wordVec"), member.weights, layers, f"out_{i}")
+    equal = sum(((F.col(p) == forward.predicted(F.col(f"out_{i}"))).cast("int") for i, p in enumerate(names)), F.lit(0))
+    rows = stage(
+        classified.select("doc_id", "lang", F.array(*names).alias("said"), equal.alias("equal_members"), "docClass", "text"), "classified"
+    )
+    labels = spark.createDataFrame(list(enumerate(classifier.indexer.labels)), "place int, label string")
+    by_hand = spark.sql(
+        """
+        WITH votes AS (
+          SELECT doc_id, place, label, count(*) AS n FROM (SELECT doc_id, explode(said) AS p FROM {rows})
+          JOIN {labels} ON p = place GROUP BY doc_id, place, label),
+        evidence AS (SELECT doc_id, text RLIKE 'ation|schen|eaux l' AS has_brand FROM {rows}),
+        backed AS (
+          SELECT doc_id, label, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, place) AS r
+          FROM votes JOIN evidence USING (doc_id) WHERE label <> 'de' OR has_brand),
+        leaders AS (SELECT doc_id, label AS leader FROM backed WHERE r = 1)
+        SELECT doc_id, array_join(transform(array_sort(collect_list(struct(r, label))), x -> x.label), ' ') AS counted
+        FROM backed JOIN leaders USING (doc_id) WHERE leader <> 'fr' OR label NOT IN ('es', 'de') GROUP BY doc_id""",
+        rows=rows,
+        labels=labels,
+    )
+    elected = F.col("docClass") == F.coalesce("counted", F.lit("en"))
+    return rows.join(by_hand, "doc_id", "left").select("doc_id", "lang", "equal_members", elected.alias("elected"))
 
 
 @query(
@@ -323,9 +421,7 @@ OUTPUTS = [
 def enrich(spark, sf):
     """Class, origin, keywords, summary, sentiment and region of every document."""
     df = _enrichment_input(spark, sf)
-    classifier = plan.train(
-        df, "lang", "text", HIDDEN_LAYERS[:2], vector_size=VECTOR_SIZE, max_iter=20, maxIter=1, numPartitions=8
-    )
+    classifier = _classifier(df)
     return _enriched(spark, sf, classifier, df).selectExpr("lang", "docClass", *OUTPUTS)
 
 

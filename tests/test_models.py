@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from corpusengine.operators import bayes, models
+from corpusengine.operators import bayes, evaluate, forward, models
 
 TEXTS = [
     (1, "red green red", "a"),
@@ -80,3 +80,57 @@ def test_terms_that_all_rows_have_meet_as_sums(spark):
     model = bayes.fit_bayes_table(rows, "words", "class")
     assert model.features.count() == 1
     assert model.features.first().logs[0] == pytest.approx(math.log(1 + 2000 * math.log(2001 / 2001)))
+
+
+def test_forward_is_the_perceptron(spark):
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    rows = spark.range(120).select(
+        F.array(*[F.sin(F.col("id") * (k + 1)) for k in range(3)]).alias("x"), (F.col("id") % 3).cast("double").alias("label")
+    )
+    rows = rows.withColumn("features", array_to_vector("x"))
+    for layers in ([3, 3], [3, 4, 3], [3, 5, 4, 3]):
+        model = models.train_mlp(rows, layers, "features", "label", max_iter=20)
+        assert len(model.weights) == sum((n + 1) * m for n, m in zip(layers, layers[1:]))
+        applied = forward.with_forward(model.setProbabilityCol("p").transform(rows), F.col("x"), model.weights, layers, "out")
+        for r in applied.select("prediction", vector_to_array("p").alias("p"), "out", forward.probabilities(F.col("out")).alias("q"), forward.predicted(F.col("out")).alias("said")).collect():
+            assert r.said == r.prediction and r.q == pytest.approx(list(r.p))
+
+
+def test_hinge_slope_is_zero_at_the_optimum_only(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    rows = spark.range(400).select(
+        F.array(F.sin("id"), F.cos(F.col("id") * 2), 5 * F.sin(F.col("id") * 3)).alias("x"),
+        (F.sin("id") + 0.3 * F.cos(F.col("id") * 5) > 0).cast("double").alias("label"),
+    )
+    model = models.train_svm(rows.withColumn("features", array_to_vector("x")), "features", "label", reg=0.01)
+    weights = [float(w) for w in model.coefficients]
+
+    def state(numbers, intercept):
+        return forward.hinge_optimality(rows, "x", "label", forward.stored_numbers(spark, numbers), intercept, 0.01).first()
+
+    best = state(weights, model.intercept)
+    assert best.slope <= 0.05
+    for moved, shift in (([w * 1.3 for w in weights], 0.0), ([weights[0], weights[1] + 0.3, weights[2]], 0.0), (weights, 0.4)):
+        worse = state(moved, model.intercept + shift)
+        assert worse.slope > best.slope + 0.005 and worse.objective > best.objective
+
+
+def test_member_scores_in_one_pass(spark):
+    rows = [(0.0, 0.0, 1.0), (0.0, 1.0, 1.0), (1.0, 1.0, 1.0), (2.0, 0.0, 1.0), (2.0, 2.0, 0.0)]
+    frame = spark.createDataFrame(rows, "label double, a double, b double")
+    scores = evaluate.member_scores(frame, "label", ["a", "b"])
+    for name in ("a", "b"):
+        assert scores[name] == pytest.approx(evaluate.evaluator_f1(frame, "label", name))
+        assert scores[name] == pytest.approx(evaluate.weighted_f1(frame, "label", name).first().f1)
+    assert evaluate.member_scores(frame.where("label > 5"), "label", ["a"]) == {"a": 0.0}
+
+
+def test_vocabulary_is_bounded_by_measured_counts(spark):
+    words = spark.createDataFrame([(["a"] * 5 + ["b"] * 3 + ["c", "d"],), (["b", "c"],), (None,)], "words array<string>")
+    assert models.vocabulary_plan(words, max_words=4) == (1, 1)
+    # c has two, d one: three words fit with a count of two.
+    assert models.vocabulary_plan(words, max_words=3) == (2, 1)
+    assert models.vocabulary_plan(words, max_words=1) == (5, 1)
+    assert models.vocabulary_plan(words.where("words is null")) == (1, 1)

@@ -110,17 +110,29 @@ def test_brand_contains_agrees_for_any_list_length(spark, monkeypatch):
     names = spark.createDataFrame([("audi ",), ("bmw",), ("b",)], "brand string")
     docs = docs.unionByName(spark.createDataFrame([(1, "none"), (None, "audi tt"), (None, "none")], docs.schema))
     expected = [(1, True), (2, False), (3, True), (4, False), (5, True), (1, False), (None, True), (None, False)]
-    for bound in (brands.LITERAL_BRANDS, 1, 0):
-        monkeypatch.setattr(brands, "LITERAL_BRANDS", bound)
+    for small in (True, False):
+        monkeypatch.setattr(brands, "is_small", lambda found, small=small: small)
         got = [(r.id, r.has_brand) for r in brands.brand_contains(docs, "t", names).collect()]
         assert sorted(got, key=repr) == sorted(expected, key=repr)
-    blank = spark.createDataFrame([("",), (None,)], "brand string")
-    for bound in (brands.LITERAL_BRANDS, 0):
-        monkeypatch.setattr(brands, "LITERAL_BRANDS", bound)
+        blank = spark.createDataFrame([("",), (None,)], "brand string")
         got = {r.t: r.has_brand for r in brands.brand_contains(docs.where("t IS NULL OR t = 'b'"), "t", blank).collect()}
         assert got == {None: False, "b": True}
 
 
+def test_any_number_of_brands_is_found_as_by_contains(spark):
+    rng = random.Random(3)
+    letters = "abäß日😀"
+    names = ["".join(rng.choices(letters, k=rng.randint(1, 7))) for _ in range(3000)] + ["x" * 400]
+    rows = ["".join(rng.choices(letters + "cdefgh", k=rng.randint(0, 60))) for _ in range(300)] + ["x" * 399, "x" * 401, "", None]
+    few = spark.createDataFrame([(n,) for n in names if len(n) > 4], "brand string")
+    kept = [n for n in names if len(n) > 4]
+    texts = spark.createDataFrame([(t,) for t in rows], "t string")
+    got = [(r.t, r.has_brand) for r in brands.brand_contains(texts, "t", few).collect()]
+    expected = [(t, t is not None and any(n in t for n in kept)) for t in rows]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    assert {flag for _, flag in expected} == {True, False}
+
+
 def test_join_results(spark):
     articles = spark.createDataFrame([(1, "a"), (2, "b")], "docId int, text string")
     groups = spark.createDataFrame([(1, "g1", "s"), (1, "g2", "s"), (3, "g3", "s")], "docId int, groupId string, signature string")
@@ -170,6 +182,31 @@ def test_clause_sentiment_against_model(spark):
     assert found == {i: pytest.approx(2 * model.clause_score(words, *as_dicts, ["not", "never"])) for i, words in docs}
 
 
+def test_clauses_folded_and_joined_are_the_same(spark, monkeypatch):
+    lexicon = spark.createDataFrame([("good", 1.5), ("bad", -1.0), ("very", 0.25)], "word string, weight double")
+    adverbs = spark.createDataFrame([("very", 2.0), ("so", 0.5), ("not", 3.0)], "word string, weight double")
+    negations = spark.createDataFrame([("not",), ("no",), (None,)], "word string")
+    pool = ["good", "bad", "very", "so", "not", "no", "x", "y"]
+    texts = [" ".join(words) for _, words in random_docs(11, 60, pool, 12)]
+    rows = [(k % 50, t, None if k % 9 == 0 else f"{t}。{texts[-k]}") for k, t in enumerate(texts)] + [(None, None, None), (7, "", "")]
+    frame = spark.createDataFrame(rows, "id int, t string, c string").withColumn("clauses", F.lit("clash"))
+    results = []
+    for small in (True, False):
+        monkeypatch.setattr(sentiment, "is_small", lambda words, small=small: small)
+        found = sentiment.with_clauses(frame, "t", "c", lexicon, adverbs, negations, mode="space")
+        assert found.columns == frame.columns
+        results.append(sorted((str(r.id), str(r.t), str(r.c), [(c.clause, round(c.score, 9)) for c in r.clauses]) for r in found.collect()))
+    assert results[0] == results[1] and len(results[0]) == len(rows)
+
+
+def test_sentiment_of_a_row_needs_no_exchange(spark):
+    one = [spark.createDataFrame([("good", 1.0)], "word string, weight double")] * 2 + [spark.createDataFrame([("no",)], "word string")]
+    frame = spark.range(1000).select("id", F.lit("").alias("t"), F.lit(None).cast("string").alias("c"))
+    found = sentiment.with_clauses(frame, "t", "c", *one).withColumn("sentiment", sentiment.percent_in_row("clauses"))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r.sentiment) for r in found.collect()} == {(0.5, 0.5)}
+
+
 def test_sentiment_totals(spark):
     clauses = spark.createDataFrame([(1, 2.0), (1, -1.0), (2, 0.0), (3, 1.0), (3, -2.0)], "id int, score double")
     shares = {r.id: r.sentiment for r in sentiment.sentiment_percent(clauses, "id").collect()}
