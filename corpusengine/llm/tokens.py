@@ -68,10 +68,10 @@ class UnitIds(Memory):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         super().__init__(KEPT_UNITS)
-        self.tokenizer, self.model = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = self.model.encode_special_tokens = True
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.tokenizer.encode_special_tokens = True
         self.spaced = isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel)
-        self.model.normalizer = self.model.pre_tokenizer = None
         self.letters = byte_letters()
         self.parts = Memory(KEPT_PARTS)
 
@@ -83,8 +83,11 @@ class UnitIds(Memory):
         found = self.parts.get(part) or self.parts.recall(part)
         if found is None:
             if letters:
-                spelt = part.encode().decode("latin-1").translate(self.letters)
-                found = array("I", self.model.encode(spelt, add_special_tokens=False).ids).tobytes()
+                if part.isascii():
+                    spelt = part.replace(" ", self.letters[32])
+                else:
+                    spelt = part.encode().decode("latin-1").translate(self.letters)
+                found = array("I", [token.id for token in self.model.tokenize(spelt)]).tobytes()
             else:
                 found = self.ask(part)
             self.parts.note(part, found)
@@ -98,7 +101,7 @@ class UnitIds(Memory):
         word = unit.rstrip(MARKS)
         letters = word[1:] if self.spaced and word[:1] == " " else word
         folded = word if self.spaced else word.lower()
-        if len(unit) <= 64 and letters.isalpha() and max(letters) <= LAST_LATIN and len(folded) == len(word):
+        if len(unit) <= 64 and letters.isalpha() and (letters.isascii() or max(letters) <= LAST_LATIN) and len(folded) == len(word):
             marks = unit[len(word) :]
             return self.part(folded, True) + (self.part(marks, False) if marks else b"")
         return self.ask(unit)
