@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import xxhash
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s=/"']+)""")
 _CUE_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _NUMBERS = re.compile(r"\d+")
@@ -49,6 +49,12 @@ NO_WORDS = frozenset(
     " overlay newsletter subscribe subscription signup signin login comment comments commentlist disqus respond reply"
     " replies related recommended recommendations share sharing social toolbar pagination pager skip copyright".split()
 )
+# Ids inside of an article are often made of its titles ("related-work"). There an id tells only if all of its words do,
+# but for those that name boxes.
+BOXES = frozenset(
+    "area bar block body box col column container content group inner item items link links list main outer panel post"
+    " posts row section sections story stories wrap wrapper zone article articles page the top bottom left right".split()
+)
 # These are no part of an article only when they stand outside of it.
 NO_OUTSIDE = frozenset("header masthead".split())
 CONTENT = frozenset("article main".split())
@@ -135,7 +141,12 @@ def outside(node: Node, in_content: bool) -> bool:
         return True
     if any("display:none" in style.replace(" ", "").lower() for style in node.get("style")):
         return True
-    words = {word.lower() for value in node.get("class", "id") for word in _CUE_WORD.findall(value)}
+    if node.tag in HEADINGS:
+        return False
+    words = {word.lower() for value in node.get("class") for word in _CUE_WORD.findall(value)}
+    ids = {word.lower() for value in node.get("id") for word in _CUE_WORD.findall(value)}
+    if not in_content or ids <= NO_WORDS | BOXES:
+        words |= ids
     return bool(words & NO_WORDS) or (not in_content and bool(words & NO_OUTSIDE))
 
 
@@ -187,12 +198,13 @@ def blocks(root: Node) -> list[tuple[str, list[int]]]:
 class Part:
     """A part of a page's layout: a container, a list of like ones, or a run of text."""
 
-    __slots__ = ("content", "label", "nodes", "parts")
+    __slots__ = ("content", "label", "nodes", "parts", "size")
 
     def __init__(self, label: str, nodes: list[Node]):
         self.label, self.nodes = label, nodes
         self.parts: list[Part] = []
-        self.content = 0
+        # A hash of all text, and the characters of a run of text (0 for a container).
+        self.content = self.size = 0
 
 
 def label(node: Node) -> str:
@@ -219,7 +231,8 @@ def layout(nodes: list[Node], name: str = "#root", level: int = 0) -> Part:
     for named, members in groups:
         if named == "#text":
             part = Part(named, members)
-            part.content = xxhash.xxh64_intdigest("".join(_texts(members))) >> 1
+            text = "".join(_texts(members))
+            part.content, part.size = xxhash.xxh64_intdigest(text) >> 1, len(text)
         else:
             part = layout(members, named, level + 1)
         whole.parts.append(part)

@@ -23,7 +23,6 @@ from corpusengine.session import stage
 
 # Pieces in a partition: enough that best fit wastes next to nothing, and a second's work.
 PARTITION_PIECES = 50_000
-EXCHANGES = 4
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = f"{PIECE}, sequence_id long, offset long, again boolean, bins long"
 
@@ -121,9 +120,9 @@ def pack(cut: DataFrame, capacity: int) -> DataFrame:
 
     placed, used = _round(rest, n, capacity, 0)
     settled = []
-    for k in range(1, EXCHANGES + 1):
-        if used <= bound:
-            break
+    k = 0
+    while used > bound:
+        k += 1
         pool = placed.where("again").drop("sequence_id", "offset", "again", "bins")
         n, before = placed.where("again").agg(F.count("*"), F.count_distinct("sequence_id")).first()
         if not n:
@@ -151,7 +150,7 @@ def _round(rest: DataFrame, n: int, capacity: int, number: int) -> tuple[DataFra
         again = free > 0 if len(free) > bound else emptiest & (free > 0)
         first = np.zeros(len(lengths), np.int64)
         first[0] = len(free)
-        ids = (number << 58) + (key[0].as_py() << 26) + sequence
+        ids = (number << 50) + (key[0].as_py() << 26) + sequence
         made = {"sequence_id": ids, "offset": offset, "again": again[sequence], "bins": first}
         for name, values in made.items():
             table = table.append_column(name, pa.array(values))

@@ -27,7 +27,11 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusengine.llm.registry import documents, query
 from corpusengine.llm.tokens import unit_ids
-from corpusengine.session import scratch_path
+from corpusengine.operators.lookup import attach
+from corpusengine.session import scratch_path, stage
+
+# Bytes of text in a data file, about; the ids of a text take about as many.
+FILE_BYTES = 256 << 20
 
 HEAD = struct.Struct("<QI")
 BODY = struct.Struct("<Bq")
@@ -88,10 +92,14 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int | No
             ]
             yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["frame"])
 
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    # As many files as shuffles have partitions, and more where they would be too large to be read back whole.
+    parts = -(-size // FILE_BYTES)
+    more = [parts] if parts > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
     ordered = (
         docs.select(F.col("doc_id").cast("long"), "text")
         .withColumn("_tie", F.xxhash64("text"))
-        .repartitionByRange("doc_id", "_tie")
+        .repartitionByRange(*more, "doc_id", "_tie")
         .sortWithinPartitions("doc_id", "_tie", "text")
         .select("doc_id", "text")
     )
@@ -138,10 +146,12 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
 def starts(index: DataFrame) -> DataFrame:
     """The index with ``start``, the ids of all documents before this one; a running sum over files, not documents."""
     shards = index.groupBy("shard").agg(F.sum("n_tokens").alias("_n"))
-    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    # Names grow longer from the hundred thousandth file on, so they are ordered by their number.
+    number = F.regexp_extract("shard", r"part-(\d+)", 1).cast("long")
+    earlier = Window.orderBy(number, "shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = shards.select("shard", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     # One row per file of the writer.
-    return index.join(F.broadcast(shards), "shard").withColumn("start", F.col("_before") + F.col("before")).drop("_before")
+    return attach(index, stage(shards, "shard-starts"), "shard").withColumn("start", F.col("_before") + F.col("before")).drop("_before")
 
 
 def read_records(spark: SparkSession, folder: str, wanted: DataFrame | None = None) -> DataFrame:

@@ -164,6 +164,38 @@ def apply_rules(docs: DataFrame, limits: Limits = Limits(), host: str = "source"
     return rows.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 
 
-@query("op7_rules")
+OP7_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS filled
+  FROM documents),
+placed AS (SELECT id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM docs),
+windows AS (
+  SELECT id, i, w, lead(w, 1) OVER words AS x, lead(w, 2) OVER words AS y FROM placed WINDOW words AS (PARTITION BY id ORDER BY i)),
+again AS (SELECT id, i, y IS NOT NULL AND count(*) OVER (PARTITION BY id, w, x, y) > 1 AS again FROM windows),
+repeated AS (
+  SELECT id, count(*) FILTER (covered) AS n FROM (
+    SELECT id, bool_or(again) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS covered FROM again)
+  GROUP BY id),
+lines AS (
+  SELECT id, host, words, lower(trim(line)) AS key, strlen(line) AS size
+  FROM (SELECT id, host, lower(array_to_string(words, ' ')) AS words, unnest(filled) AS line FROM docs)),
+frequent AS (SELECT host, key FROM lines GROUP BY host, key HAVING count(DISTINCT words) > 50),
+left_over AS (
+  SELECT id, sum(size) AS whole, coalesce(sum(size) FILTER (f.key IS NULL), 0) AS stays
+  FROM lines LEFT JOIN frequent f USING (host, key) GROUP BY id),
+counted AS (
+  SELECT doc_id, len(words)::bigint AS n_words, length(array_to_string(words, ''))::bigint AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint AS n_symbols, (len(filled) - len(list_distinct(filled)))::bigint AS n_dup_lines,
+    coalesce(r.n, 0)::bigint AS n_repeat_words, coalesce(stays, 0) AS stays, coalesce(whole, 0) AS whole
+  FROM docs LEFT JOIN repeated r USING (id) LEFT JOIN left_over USING (id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 5 * stays >= whole AS kept
+FROM counted"""
+
+
+@query("op7_rules", OP7_SQL)
 def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decide(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop(KEY, "removed")

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -76,6 +77,53 @@ def test_constant_parts_of_a_host_are_left_out(spark):
     assert wrapper.extract(frame.where("1 = 0")).count() == 0
 
 
+def texts_of(page):
+    return [text for text, _ in dom.blocks(dom.parse(page))]
+
+
+def test_titles_as_ids_and_open_quotes_lose_nothing():
+    page = """<article><h2 id="related-work">Related work</h2><p>Body 0</p><section id="navigation-systems"><p>Stars</p></section>
+<div id="related-posts"><p>More</p></div><h3 class="share">Sharing</h3><div class="share-bar">Tell</div></article>"""
+    assert texts_of(page) == ["Related work", "Body 0", "Stars", "Sharing"]
+    assert texts_of('<p>hello <a href="x>link</a> world</p>') == ["hello link world"]
+    assert texts_of("<p>one <a title='>two</a> three</p>") == ["one two three"]
+    # As in a browser, a quote that ends later holds everything before its end.
+    assert texts_of('<p>a <b class="x>lost">c</b></p>') == ["a c"]
+    assert texts_of("<p>" + '<a "' * 2000)[0].startswith("<a")
+
+
+def shop(layout, k, article, note):
+    head = "<div><span>Best shop of the town</span></div>" if layout else "<table><tr><td>Our old paper</td></tr></table><div><div>since 1900</div></div>"
+    body = "".join(f"<p>{sentence}</p>" for sentence in article.split("|"))
+    return f"<html><body>{head}<section><div>{body}</div></section><div><em>{note}</em></div><div><p>All rights and wrongs</p></div></body></html>"
+
+
+@pytest.mark.parametrize("variants", [40, 4])
+def test_an_article_with_many_variants_is_no_template(spark, variants):
+    one = "The same article|that many pages hold, with other notes."
+    rows = [(k, f"http://h.org/{k}", shop(1, k, one, f"note {k}")) for k in range(variants)]
+    rows += [(100 + k, f"http://h.org/{k}", shop(1, k, f"Article {k}|of its own, number {k}.", f"note {100 + k}")) for k in range(20)]
+    got = {r.page_id: r.text.split("\n") for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(variants):
+        assert got[k] == [*one.split("|"), f"note {k}"]
+    for k in range(20):
+        assert got[100 + k] == [f"Article {k}", f"of its own, number {k}.", f"note {100 + k}"]
+
+
+def test_each_layout_of_a_host_has_its_template(spark):
+    rows = [(k, f"http://h.org/{k}", shop(k % 2, k, f"Text {k}|and more {k}", f"n {k}")) for k in range(24)]
+    # Copies of an error page, and empty pages, outnumber the rest and decide nothing.
+    rows += [(100 + k, "http://h.org/e", "<html><body><b>Not found</b></body></html>") for k in range(60)] + [(200, "http://h.org/", None), (201, "http://h.org/", "")]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrapper.extract(table).collect()}
+    for k in range(24):
+        assert got[k] == f"Text {k}\nand more {k}\nn {k}"
+    assert {got[100 + k] for k in range(60)} == {"Not found"} and got[200] == got[201] == ""
+    _, templates = wrapper.induce(table)
+    assert len({slot >> wrapper.LAYOUT_BITS for slot in templates.first().template}) == 2
+
+
+
 def blocks(page):
     return [text for text, _ in dom.blocks(dom.parse(page))]
 
