@@ -143,8 +143,9 @@ def count_corpus(docs: DataFrame, depth: int) -> DataFrame:
 
     counted = docs.select("text", "_train").mapInArrow(run, "kind int, key long, n long")
     learned = F.sum(F.when(F.col("kind") == ASKED, 0).otherwise(F.col("n")))
-    kind = F.when(F.col("kind") == WORD, WORD).otherwise(RUN).alias("kind")
-    return counted.groupBy(kind, "key").agg(learned.alias("n"), F.sum("n").alias("times"))
+    # Tasks have added up what they read, so rows are dealt as they are and added up once.
+    counted = counted.withColumn("_kind", F.when(F.col("kind") == WORD, WORD).otherwise(RUN)).repartition("_kind", "key")
+    return counted.groupBy(F.col("_kind").alias("kind"), "key").agg(learned.alias("n"), F.sum("n").alias("times"))
 
 
 def most_frequent(counts: DataFrame, limit: int, count: str = "n") -> Column:
