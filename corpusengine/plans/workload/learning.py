@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Tokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusengine import constants as C
 from corpusengine.functions.votes import majority_vote
@@ -417,23 +417,36 @@ OUTPUTS = [
 ]
 
 
-@query("enrich")
+_WHOLE_TEXT_SHARES = PERCENT_SQL.replace("title || '。' || content", "title || '。' || text")
+_ENRICHED_SQL = f"""SELECT doc_id, original, keywords, summary, positive, negative, region
+FROM ({ORIGIN_SQL}) JOIN ({KEYWORDS_SQL}) USING (doc_id) JOIN ({SUMMARY_SQL}) USING (doc_id)
+  JOIN ({_WHOLE_TEXT_SHARES}) USING (doc_id) JOIN ({REGION_SQL}) USING (doc_id)"""
+
+
+def _leader(labels: list[str], names: list[str]) -> Column:
+    """The label with the most votes that the rules leave, the one of the lower place if equal."""
+    branded = F.col("text").rlike("|".join(brand for (brand,) in BRANDS))
+    votes = []
+    for place, label in enumerate(labels):
+        n = sum(((F.col(p) == place).cast("int") for p in names), F.lit(0))
+        allowed = (n > 0) & (F.lit(label not in RULES["evidence_labels"]) | branded)
+        votes.append(F.when(allowed, F.struct((-n).alias("down"), F.lit(place).alias("place"), F.lit(label).alias("label"))))
+    return F.coalesce(F.array_min(F.array(*votes))["label"], F.lit(RULES["fallback"]))
+
+
+@query("enrich", f"SELECT lang, true AS leads, e.* FROM ({_ENRICHED_SQL}) e JOIN documents USING (doc_id)")
 def enrich(spark, sf):
-    """Class, origin, keywords, summary, sentiment and region of every document."""
+    """Class, origin, keywords, summary, sentiment and region of every document; the class begins with the label that
+    the members' predictions elect."""
     df = _enrichment_input(spark, sf)
     classifier = _classifier(df)
-    return _enriched(spark, sf, classifier, df).selectExpr("lang", "docClass", *OUTPUTS)
+    enriched = _enriched(spark, sf, classifier, df)
+    leader = _leader(classifier.indexer.labels, [f"prediction_{i}" for i in range(len(HIDDEN_LAYERS))])
+    leads = F.substring_index("docClass", " ", 1) == leader
+    return enriched.withColumn("leads", leads).selectExpr("lang", "leads", *OUTPUTS)
 
 
-_WHOLE_TEXT_SHARES = PERCENT_SQL.replace("title || '。' || content", "title || '。' || text")
-
-
-@query(
-    "enrich_unclassified",
-    f"""SELECT doc_id, original, keywords, summary, positive, negative, region
-FROM ({ORIGIN_SQL}) JOIN ({KEYWORDS_SQL}) USING (doc_id) JOIN ({SUMMARY_SQL}) USING (doc_id)
-  JOIN ({_WHOLE_TEXT_SHARES}) USING (doc_id) JOIN ({REGION_SQL}) USING (doc_id)""",
-)
+@query("enrich_unclassified", _ENRICHED_SQL)
 def enrich_unclassified(spark, sf):
     """All enrichments but the learned one."""
     return _enriched(spark, sf).selectExpr(*OUTPUTS)
