@@ -106,12 +106,29 @@ class UnitIds(Memory):
             return self.part(folded, True) + (self.part(marks, False) if marks else b"")
         return self.ask(unit)
 
+    def plain(self, unit: str) -> bytes:
+        """As ``made``, but a unit that is a word with marks behind it, or without, is put together here at once."""
+        word = unit.rstrip(MARKS)
+        if len(unit) < 64 and word.isalpha() and (word.isascii() or max(word) <= LAST_LATIN):
+            key = " " + word if self.spaced else word.lower()
+            if self.spaced or len(key) == len(word):
+                found = self.parts.get(key) or self.part(key, True)
+                if len(word) == len(unit):
+                    return found
+                marks = unit[len(word) :]
+                return found + (self.parts.get(marks) or self.part(marks, False))
+        return self.made(" " + unit if self.spaced else unit)
+
     def __missing__(self, unit: str) -> bytes:
-        found = self.recall(unit)
+        found = self.older.get(unit)
         if found is None:
-            found = self.made(" " + unit if self.spaced else unit)
-            if len(unit) <= 64:
-                self.note(unit, found)
+            found = self.plain(unit)
+            if len(unit) > 64:
+                return found
+        if len(self) >= self.kept:
+            self.note(unit, found)
+        else:
+            self[unit] = found
         return found
 
     def encode(self, text: str) -> bytes:
