@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import model
-from corpusengine.functions import votes
+from corpusengine.functions import fold, votes
 from corpusengine.operators import bm25, brands, each, evaluate, joins, keywords, lookup, places, sentiment, summary, templates
 from corpusengine.operators.tfidf import tfidf
 
@@ -413,3 +413,22 @@ def test_search(spark):
                     scores[i] = scores.get(i, 0) + idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * len(words) / mean))
         best = sorted(((-round(s, 6), i) for i, s in scores.items()))[:5]
         assert [(r.id, r.score) for r in sorted(found, key=lambda r: r.place) if r.q == q] == [(i, pytest.approx(-s)) for s, i in best]
+
+
+def test_shares_of_endless_sums(spark):
+    """One endless sum outweighs the other; of two, and without a number, no share can be told."""
+    inf, nan = math.inf, math.nan
+    rows = [("a", [inf, -3.0]), ("b", [2.0, -inf]), ("c", [inf, -inf]), ("d", [nan, -1.0]), ("e", [1.5e308, -1.5e308])]
+    df = spark.createDataFrame(rows, "id string, scores array<double>")
+    clauses = each.each(df, ["id"], "scores", "score")
+    expected = {"a": [1.0, 0.0], "b": [0.0, 1.0], "c": [None, None], "d": [None, None], "e": [0.5, 0.5]}
+    assert {r.id: r.sentiment for r in sentiment.sentiment_percent(clauses, "id").collect()} == expected
+    in_row = sentiment.percent_in_row(F.transform("scores", lambda x: F.struct(x.alias("score"))))
+    assert {r.id: r.s for r in df.select("id", in_row.alias("s")).collect()} == expected
+
+
+def test_products_leave_no_range_on_the_way():
+    entries = {"good": (1.0, None, False), "very": (None, 4.0, False), "little": (None, 0.25, False)}
+    assert fold.clause_score(["x"] + ["very"] * 600 + ["little"] * 600 + ["good"], entries) == 1.0
+    assert fold.clause_score(["x"] + ["little"] * 600 + ["very"] * 601 + ["good"], entries) == 4.0
+    assert fold.clause_score(["x"] + ["very"] * 600 + ["good"], entries) == math.inf
