@@ -3,13 +3,15 @@ import random
 
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import model
-from corpusengine.functions import fold, votes
+from corpusengine.functions import fold, solve, votes
 from corpusengine.operators import bm25, brands, each, evaluate, joins, keywords, lookup, places, sentiment, summary, templates
 from corpusengine.operators.tfidf import tfidf
+from corpusengine.plans.workload import QUERIES
 
 
 def random_docs(seed, n, vocabulary, longest):
@@ -432,3 +434,17 @@ def test_products_leave_no_range_on_the_way():
     assert fold.clause_score(["x"] + ["very"] * 600 + ["little"] * 600 + ["good"], entries) == 1.0
     assert fold.clause_score(["x"] + ["little"] * 600 + ["very"] * 601 + ["good"], entries) == 4.0
     assert fold.clause_score(["x"] + ["very"] * 600 + ["good"], entries) == math.inf
+
+
+def test_ranks_beyond_rounding():
+    """A finite score stays finite, however large; what has no bound is endless."""
+    start, owner = np.array([1e305, 1.0]), np.array([0, 1])
+    assert solve.settle(lambda score: score, start, owner, 1.0, 1, 0.0).tolist() == [1e305, 1.0]
+
+
+def test_endless_ranks_have_no_power(spark, sf, monkeypatch):
+    scores = F.array(*map(F.lit, [12.34567, math.inf, -math.inf, math.nan, 0.0]))
+    monkeypatch.setattr("corpusengine.operators.summary.textrank_sentences", lambda df: df.withColumn("scores", scores))
+    got = QUERIES["textrank_sentences"](spark, sf).where("doc_id = 0").orderBy("sent").collect()
+    assert [r.power for r in got] == [1, None, None, None, 0]
+    assert [str(r.score) for r in got] == ["1.2346", "inf", "-inf", "nan", "0.0"]
