@@ -3,8 +3,10 @@
 import math
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from corpusengine.operators.keywords import keywords, sliding_cooccurrence
 from corpusengine.operators.lookup import attach
@@ -100,3 +102,16 @@ def test_small_dictionaries_are_broadcast_and_large_ones_are_not(spark, sf):
 def test_filters_and_columns_reach_the_scan(spark, sf):
     text = physical(QUERIES["scan_parquet"](spark, sf))
     assert "EqualTo(lang,de)" in text and "ReadSchema: struct<doc_id:bigint,lang:string,source:string>" in text
+
+
+def test_python_gets_small_batches(spark):
+    """Batches are bounded by rows and by bytes: what a plan's Python steps hold does not follow the partitions."""
+
+    @arrow_udf("int")
+    def sizes(rows: pa.Array) -> pa.Array:
+        return pa.array([len(rows)] * len(rows), pa.int32())
+
+    short = spark.range(2000, numPartitions=1).select(sizes(F.col("id").cast("string")).alias("n"))
+    long = spark.range(64, numPartitions=1).select(sizes(F.repeat(F.col("id").cast("string"), 1 << 20)).alias("n"))
+    assert short.agg(F.max("n")).first()[0] == 256
+    assert long.agg(F.max("n")).first()[0] <= 16
