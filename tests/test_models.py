@@ -1,6 +1,7 @@
 """Learned models against their formulas, written out."""
 
 import math
+import threading
 from collections import Counter
 
 import pytest
@@ -134,3 +135,9 @@ def test_vocabulary_is_bounded_by_measured_counts(spark):
     assert models.vocabulary_plan(words, max_words=3) == (2, 1)
     assert models.vocabulary_plan(words, max_words=1) == (5, 1)
     assert models.vocabulary_plan(words.where("words is null")) == (1, 1)
+
+
+def test_fits_run_side_by_side(spark):
+    """Each waits for the other, and the results come in the order asked for."""
+    met = threading.Barrier(2, timeout=20)
+    assert models.together(lambda: (met.wait(), "a")[1], lambda: (met.wait(), "b")[1]) == ["a", "b"]
