@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import ahocorasick
@@ -22,7 +23,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusengine.llm.registry import documents, query
-from corpusengine.llm.tokens import KEPT_PARTS, KEPT_UNITS, cut
+from corpusengine.llm.tokens import KEPT_PARTS, KEPT_UNITS, Memory, cut
+
+# Borders of two tokens whose answers a worker keeps.
+KEPT_BORDERS = 500_000
 
 
 class Ranks:
@@ -35,16 +39,20 @@ class Ranks:
     def __init__(self, tokens: list[bytes], halves: list[tuple[int, int] | None] | None = None):
         self.tokens = tokens
         self.ids = {token: i for i, token in enumerate(tokens)}
-        self.longest = max(map(len, tokens))
+        self.lengths = list(map(len, tokens))
+        self.longest = max(self.lengths)
+        self.borders: dict[int, bool] = {}
         self.pairs: dict[tuple[int, int], int] = {}
         self.halves: list[tuple[int, int] | None] = [None] * len(tokens)
         for i, token in enumerate(tokens):
             if len(token) > 1 and (pair := halves[i] if halves else self._halves_of(i, token)):
                 self.halves[i] = pair
                 self.pairs[pair] = i
+        self.singles = [self.ids.get(bytes([byte])) for byte in range(256)]
+        # A place where none of the longer tokens stays has the token of its byte, so those are not looked for.
         self.finder = ahocorasick.Automaton()
         for i, token in enumerate(tokens):
-            if len(token) == 1 or self.halves[i]:  # a token that no merge leads to never appears
+            if self.halves[i]:  # a token that no merge leads to never appears
                 self.finder.add_word(token.decode("latin-1"), i)
         self.finder.make_automaton()
 
@@ -75,6 +83,13 @@ class Ranks:
             else:
                 return True
 
+    def asked(self, left: int, right: int) -> bool:
+        """``stays``, whose answer is noted in ``borders`` as ``left << 32 | right``."""
+        if len(self.borders) >= KEPT_BORDERS:
+            self.borders.clear()
+        found = self.borders[left << 32 | right] = self.stays(left, right)
+        return found
+
     def encode(self, data: bytes) -> list[int]:
         whole = self.ids.get(data)
         if whole is not None and (self.halves[whole] or len(data) == 1):
@@ -111,28 +126,45 @@ class Prefixes:
         ``later`` has what the last places held before. Once as many of them as the longest token has bytes have
         come out as before, everything that later places depend on is as before, and so are they.
         """
-        ranks, last, tokens = self.ranks, self.last, self.ranks.tokens
-        back = max(0, at - ranks.longest)
-        kept, same = len(self.data) - len(later), 0
-        for end, token in ranks.finder.iter(self.data[back:].decode("latin-1")):
+        ranks, data, last = self.ranks, self.data, self.last
+        lengths, longest, borders, singles = ranks.lengths, ranks.longest, ranks.borders, ranks.singles
+        back = max(0, at - longest)
+        kept, same, place = len(data) - len(later), 0, at
+        found = ranks.finder.iter(data[back:].decode("latin-1")) if len(ranks.finder) else ()
+        for end, token in found:
             end += back
-            if end < len(last):
+            if end < place:
                 continue  # settled already
-            if same >= ranks.longest:
+            while place < end and same < longest:
+                last.append(singles[data[place]])
+                if later:
+                    same = same + 1 if place >= kept and later[place - kept] == last[place] else 0
+                place += 1
+            if same >= longest:
                 break
-            start = end + 1 - len(tokens[token])
-            if start == 0 or ranks.stays(last[start - 1], token):
-                last.append(token)
+            before = end - lengths[token]
+            if before >= 0:
+                left = last[before]
+                stays = borders.get(left << 32 | token)
+                if not (ranks.asked(left, token) if stays is None else stays):
+                    continue
+            last.append(token)
+            if later:
                 same = same + 1 if end >= kept and later[end - kept] == token else 0
+            place += 1
+        if same < longest:
+            last.extend([singles[byte] for byte in data[place:]])
         settled = len(last) - at
         last.extend(later[len(last) - kept :] if len(last) < len(self.data) else [])
         return settled
 
     def ids(self) -> list[int]:
         out, end = [], len(self.data)
+        last, lengths = self.last, self.ranks.lengths
         while end:
-            out.append(self.last[end - 1])
-            end -= len(self.ranks.tokens[out[-1]])
+            token = last[end - 1]
+            out.append(token)
+            end -= lengths[token]
         return out[::-1]
 
 
@@ -146,30 +178,30 @@ def load(path: str) -> Ranks:
     return Ranks([token for _, token in ranked])
 
 
-class UnitIds(dict):
+class UnitIds(Memory):
     """unit of a text -> the ids of its pieces as 4 bytes each; a piece is one match of the pattern."""
 
     def __init__(self, ranks: Ranks, pattern: str):
-        super().__init__()
-        self.ranks, self.pieces, self.parts = ranks, regex.compile(pattern).findall, {}
+        super().__init__(KEPT_UNITS)
+        self.ranks, self.pieces, self.parts = ranks, regex.compile(pattern).findall, Memory(KEPT_PARTS)
 
     def piece(self, piece: str) -> bytes:
-        found = self.parts.get(piece)
+        found = self.parts.get(piece) or self.parts.recall(piece)
         if found is None:
-            if len(self.parts) >= KEPT_PARTS:
-                self.parts.clear()
-            found = np.array(self.ranks.encode(piece.encode()), "<u4").tobytes()
+            ids = self.ranks.encode(piece.encode())
+            found = struct.pack(f"<{len(ids)}I", *ids)
             if len(piece) <= 64:
-                self.parts[piece] = found
+                self.parts.note(piece, found)
         return found
 
     def __missing__(self, unit: str) -> bytes:
         """``unit`` behind a space."""
-        found = b"".join(map(self.piece, self.pieces(" " + unit)))
-        if len(unit) <= 64:
-            if len(self) >= KEPT_UNITS:
-                self.clear()
-            self[unit] = found
+        found = self.recall(unit)
+        if found is None:
+            known = self.parts.get
+            found = b"".join([known(piece) or self.piece(piece) for piece in self.pieces(" " + unit)])
+            if len(unit) <= 64:
+                self.note(unit, found)
         return found
 
     def encode(self, text: str) -> np.ndarray:

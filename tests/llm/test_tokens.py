@@ -215,3 +215,26 @@ def test_bounds_hold_and_exchanges_help(spark, monkeypatch):
     assert placed.count() == 4000
     counts = np.bincount([r[3] for r in rows], minlength=1001)
     assert placed.select("sequence_id").distinct().count() <= packing.lower_bound(counts, 1000) * 1.05 + 2
+
+
+def test_borders_and_frequent_units_are_asked_once(tik, monkeypatch):
+    known = bytepair.load(RANKS)
+    ranks = bytepair.Ranks(known.tokens, known.halves)
+    asked = []
+    monkeypatch.setattr(ranks, "stays", lambda left, right: asked.append((left, right)) or bytepair.Ranks.stays(ranks, left, right))
+    words = [f"{a}erthandin{b}" for a in ("th", "an", "ou") for b in ("er", "at", "ing")]
+    assert [ranks.encode(w.encode()) for w in words] == [tik.encode_ordinary(w) for w in words]
+    assert len(asked) == len(set(asked))
+    monkeypatch.setattr(bytepair, "KEPT_BORDERS", 5)
+    ranks.borders.clear()
+    assert [ranks.encode(w.encode()) for w in words] == [tik.encode_ordinary(w) for w in words] and len(ranks.borders) <= 5
+
+    # A word that comes again and again is kept while rare ones fill the memory.
+    monkeypatch.setattr(bytepair, "KEPT_UNITS", 20)
+    monkeypatch.setattr(bytepair, "KEPT_PARTS", 20)
+    units, pieces = bytepair.UnitIds(ranks, public_tokenizers.PATTERN), []
+    encode = ranks.encode
+    monkeypatch.setattr(ranks, "encode", lambda data: pieces.append(data) or encode(data))
+    text = " ".join(f"rare{k} oftenseenword" for k in range(300))
+    assert units.encode(text).tolist() == tik.encode_ordinary(text)
+    assert pieces.count(b" oftenseenword") == 1 and len(units) <= 20 and len(units.older) <= 20
