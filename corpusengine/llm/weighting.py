@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -38,6 +39,9 @@ CHUNK = 4 << 20
 BLOCK = 2048
 ROWS = 1 << 18
 WORD, RUN, ASKED = 0, 1, 2
+# Texts that are looked up together, by their number as a byte, and their characters, unless one has more.
+TOGETHER = 256
+TOGETHER_CHARS = 1 << 20
 
 _ONE = {n: np.arange(256) >> (7 - n) & 1 for n in range(8)}
 _NODE = {n: (1 << n) - 1 + (np.arange(256) >> (8 - n)) for n in range(8)}
@@ -83,15 +87,53 @@ class Tally:
     def total(self) -> tuple[np.ndarray, np.ndarray]:
         if self.fresh:
             # Sorted bare, which is much faster than with counts; only different keys are sorted again.
-            keys = np.sort(np.concatenate(self.fresh))
+            keys, self.fresh = np.concatenate(self.fresh), []
+            keys.sort()
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
             times = np.diff(np.append(first, len(keys)))
             both = zip(self.counted, (keys[first], times), strict=True)
             self.counted = added(*(np.concatenate(pair) for pair in both))
-            self.fresh = []
         return self.counted
 
 
+def in_order(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys in rising order, each with its row, a number below 256."""
+    if len(keys) and keys.min() >= 0 and keys.max() < 1 << 56:
+        # Both fit in one number, which is sorted much faster than an order is found.
+        both = keys.astype(np.uint64) << np.uint64(8) | rows
+        both.sort()
+        return (both >> np.uint64(8)).astype(np.int64), both.astype(np.uint8)
+    order = np.argsort(keys)
+    return keys[order], rows[order]
+
+
+def look_up(
+    table: tuple[np.ndarray, np.ndarray], found: list[np.ndarray]
+) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
+    """For each array of keys, at most 256: how many are in ``table`` (rising keys, values), the sum of their values,
+    and the other keys."""
+    known, values = table
+    size = len(found)
+    keys, rows = np.concatenate(found), np.repeat(np.arange(size, dtype=np.uint8), [len(x) for x in found])
+    counts, sums, others = np.zeros(size, np.int64), np.zeros(size), []
+    for at in range(0, len(keys), CHUNK):
+        asked, row = in_order(keys[at : at + CHUNK], rows[at : at + CHUNK])
+        if len(known):
+            first = np.flatnonzero(np.concatenate([[True], asked[1:] != asked[:-1]]))
+            times = np.diff(first, append=len(asked))
+            place = np.minimum(np.searchsorted(known, asked[first]), len(known) - 1)
+            hit = known[place] == asked[first]
+            sums += np.bincount(row, np.repeat(np.where(hit, values[place], 0.0), times), size)
+            hit = np.repeat(hit, times)
+            counts += np.bincount(row[hit], minlength=size)
+            asked, row = asked[~hit], row[~hit]
+        others.append((asked, row))
+    keys, rows = (np.concatenate(column) for column in zip(*others, strict=True)) if others else (keys, rows)
+    ends = np.cumsum(np.bincount(rows, minlength=size))
+    offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+    return counts, sums, pa.ListArray.from_arrays(offsets, pa.array(keys[np.argsort(rows, kind="stable")]))
+
+
 def runs(data: bytes, depth: int) -> np.ndarray:
     """For each byte the number of the ``depth`` bytes before it and itself; ends stand before the first byte."""
     padded = np.frombuffer(END * depth + data, np.uint8).astype(np.int64)
@@ -120,14 +162,17 @@ def count_corpus(docs: DataFrame, depth: int) -> DataFrame:
         tallies = {kind: Tally() for kind in (WORD, RUN, ASKED)}
 
         def out(kind: int) -> Iterator[pa.RecordBatch]:
-            keys, counts = tallies[kind].total()
-            for at in range(0, len(keys), 1 << 18):
-                part = slice(at, at + (1 << 18))
-                kinds = np.full(len(keys[part]), kind, np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(kinds), pa.array(keys[part]), pa.array(counts[part])], ["kind", "key", "n"]
-                )
-            tallies[kind] = Tally()
+            keys, n = tallies[kind].total()
+            tallies[kind], times = Tally(), n
+            if kind == RUN:
+                more, asked = tallies[ASKED].total()
+                tallies[ASKED] = Tally()
+                together = np.concatenate([keys, more])
+                learned = np.concatenate([n, np.zeros(len(more), np.int64)])
+                keys, times = added(together, np.concatenate([n, asked]))
+                n = added(together, learned)[1]
+            kinds = np.full(len(keys), kind, np.int32)
+            yield from _batches([kinds, keys, n, times], ["kind", "key", "n", "times"])
 
         for batch in batches:
             for text, train in zip(batch.column("text"), batch.column("_train").to_pylist(), strict=True):
@@ -135,16 +180,15 @@ def count_corpus(docs: DataFrame, depth: int) -> DataFrame:
                 if train:
                     tallies[WORD].add(word_keys(words))
                 tallies[RUN if train else ASKED].add(paths(spelled(words), depth))
-            for kind, tally in tallies.items():
-                if tally.held > CHUNK // 2:  # what is left is mostly different: pass it on
+            for kind, also in ((WORD, WORD), (RUN, ASKED)):
+                if max(len(tallies[k].counted[0]) for k in (kind, also)) > CHUNK // 2:  # mostly different: pass it on
                     yield from out(kind)
-        for kind in tallies:
-            yield from out(kind)
+        yield from out(WORD)
+        yield from out(RUN)
 
-    counted = docs.select("text", "_train").mapInArrow(run, "kind int, key long, n long")
-    learned = F.sum(F.when(F.col("kind") == ASKED, 0).otherwise(F.col("n")))
-    kind = F.when(F.col("kind") == WORD, WORD).otherwise(RUN).alias("kind")
-    return counted.groupBy(kind, "key").agg(learned.alias("n"), F.sum("n").alias("times"))
+    counted = docs.select("text", "_train").mapInArrow(run, "kind int, key long, n long, times long")
+    # A task has added up its own already, so rows are dealt as they are and only added up where they meet.
+    return counted.repartition("key").groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("times").alias("times"))
 
 
 def most_frequent(counts: DataFrame, limit: int, count: str = "n") -> Column:
@@ -527,27 +571,26 @@ def scored(docs: DataFrame, training: Column, depth: int = DEPTH) -> DataFrame:
     kinds = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes if c in kept)
     made = "n_tokens long, _known long, _logs double, _score double, _words array<long>, _runs array<long>"
 
-    def look_up(kind: int, asked: np.ndarray) -> tuple[int, float, np.ndarray]:
-        """How many of the keys are shared, the sum of their values, and the other keys."""
-        keys, values = shared.value[kind]
-        asked = np.sort(asked)
-        at = np.minimum(np.searchsorted(keys, asked), max(len(keys) - 1, 0))
-        hit = keys[at] == asked if len(keys) else np.zeros(len(asked), bool)
-        return int(hit.sum()), float(values[at[hit]].sum()), asked[~hit]
+    def together(texts: pa.Array) -> Iterator[tuple[int, int]]:
+        start, chars = 0, 0
+        for at, size in enumerate(pc.utf8_length(texts).to_pylist()):
+            chars += size or 0
+            if at > start and (at - start == TOGETHER or chars > TOGETHER_CHARS):
+                yield start, at
+                start, chars = at, size or 0
+        if len(texts):
+            yield start, len(texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [*kept, *[field.split()[0] for field in made.split(", ")]]
         for batch in batches:
-            rows = []
-            for text in batch.column("text"):
-                words = tokens(text.as_py() or "")
-                found, logs, rare = look_up(WORD, word_keys(words))
-                _, score, runs = look_up(RUN, paths(spelled(words), depth))
-                rows.append((len(words), found, logs, score, rare, runs))
-            types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)] if rows else []
-            if rows:
-                names = [*kept, *[field.split()[0] for field in made.split(", ")]]
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *columns], names)
+            for start, end in together(batch.column("text")):
+                rows = batch.slice(start, end - start)
+                words = [tokens(text.as_py() or "") for text in rows.column("text")]
+                found, logs, rare = look_up(shared.value[WORD], [word_keys(x) for x in words])
+                _, score, runs = look_up(shared.value[RUN], [paths(spelled(x), depth) for x in words])
+                counts = [pa.array([len(x) for x in words], pa.int64()), pa.array(found), pa.array(logs), pa.array(score)]
+                yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in kept], *counts, rare, runs], names)
 
     partly = docs.select(*kept, "text").mapInArrow(run, f"{kinds}, {made}" if kinds else made)
     partly = stage(partly.withColumn("_row", F.monotonically_increasing_id()), "scores")
@@ -557,7 +600,7 @@ def scored(docs: DataFrame, training: Column, depth: int = DEPTH) -> DataFrame:
         partly.select("_row", F.lit(kind).alias("_kind"), F.explode(keys).alias("key"))
         for kind, keys in ((WORD, "_words"), (RUN, "_runs"))
     ]
-    rare = asked[0].unionByName(asked[1]).join(entries, ["_kind", "key"]).groupBy("_row")
+    rare = asked[0].unionByName(asked[1]).join(entries.hint("shuffle_hash"), ["_kind", "key"]).groupBy("_row")
     word, log = F.col("_kind") == WORD, F.col("log")
     rare = rare.agg(
         F.sum(F.when(word, log)).alias("_more"), F.count_if(word).alias("_found"), F.sum(F.when(~word, log)).alias("_rest")

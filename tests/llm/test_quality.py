@@ -255,6 +255,41 @@ def test_scores_use_every_context(spark, monkeypatch):
     assert all(abs(got[i] - plain_score(spelt[300:301], 5, spelt[i])) < 1e-6 for i in got) and len(got) == 4
 
 
+def test_texts_are_looked_up_together(monkeypatch):
+    """Sums, counts and rest of each text are those of a dictionary, for small keys and large ones, in several parts."""
+    monkeypatch.setattr(weighting, "CHUNK", 64)
+    rng = np.random.default_rng(2)
+    for low, high in ((0, 90), (0, 1 << 56), (-(1 << 62), 1 << 62)):
+        known = np.unique(rng.integers(low, high, 60))
+        values = rng.normal(size=len(known))
+        own = dict(zip(known.tolist(), values.tolist()))
+        texts = [np.concatenate([rng.choice(known, n), rng.integers(low, high, n)]) for n in (0, 3, 50, 0, 40)]
+        for table, chances in (((known, values), own), ((known[:0], values[:0]), {})):
+            counts, sums, rest = weighting.look_up(table, texts)
+            for k, text in enumerate(text.tolist() for text in texts):
+                assert counts[k] == sum(x in chances for x in text) and abs(sums[k] - sum(chances.get(x, 0) for x in text)) < 1e-9
+                assert sorted(rest[k].as_py()) == sorted(x for x in text if x not in chances)
+
+
+def test_a_task_adds_up_its_own_counts(spark, monkeypatch):
+    """Many batches give each run once per task, of all texts together, and rows are not added up again before they are dealt."""
+    monkeypatch.setattr(weighting, "CHUNK", 4000)
+    texts = ["the cat sat on the mat " * 40] * 1200
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    counts = weighting.count_corpus(docs.withColumn("_train", F.col("doc_id") % 7 != 2), 2)
+    plan = counts._jdf.queryExecution().sparkPlan().toString()
+    before, dealt = plan.split("RepartitionBy" if "RepartitionBy" in plan else "Exchange", 1)
+    assert "HashAggregate" in before and "Aggregate" not in dealt
+    rows = counts.where(F.col("kind") == weighting.RUN).collect()
+    wanted, learned = Counter(), Counter()
+    for k, text in enumerate(texts):
+        found = Counter(weighting.paths(weighting.spelled(weighting.tokens(text)), 2).tolist()) if k == 0 else found
+        wanted.update(found)
+        if k % 7 != 2:
+            learned.update(found)
+    assert {r.key: (r.n, r.times) for r in rows} == {key: (learned[key], wanted[key]) for key in wanted}
+
+
 def test_held_out_documents_are_judged_well(spark, sf):
     path = sf.replace("sf0.001", "sf0.01")
     docs, labels = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "labels"))
